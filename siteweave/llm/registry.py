@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from siteweave.llm.html_text import op2_html_text
 from siteweave.llm.mixing import OP6_SQL, op6_source_mix
 from siteweave.llm.secrets import op3_secret_scan
 from siteweave.llm.token_files import op7_token_files
 from siteweave.llm.toxicity import op8_toxicity
 
-QUERIES = {f.__name__: f for f in (op3_secret_scan, op6_source_mix, op7_token_files, op8_toxicity)}
+QUERIES = {f.__name__: f for f in (op2_html_text, op3_secret_scan, op6_source_mix, op7_token_files, op8_toxicity)}
 SQL = {"op6_source_mix": OP6_SQL}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -119,3 +119,37 @@ def schema_with(df: DataFrame, **fields: str) -> T.StructType:
     """df's schema with further fields, given as type strings."""
     more = T.StructType.fromDDL(",".join(f"`{k}` {v}" for k, v in fields.items()))
     return T.StructType([*df.schema.fields, *more.fields])
+
+
+class Recent(dict):
+    """Values of the keys used of late: as a table fills up, it becomes the older one and a new one is begun. A key
+    without a value is given make(key) when it is read."""
+
+    def __init__(self, most: int, make: Callable | None = None) -> None:
+        super().__init__()
+        self.most, self.make, self.older = most, make, {}
+
+    def turn(self, more: int) -> None:
+        if len(self) + more > self.most:
+            self.older = dict(self)
+            self.clear()
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self.turn(1)
+        self[key] = value
+        return value
+
+    def missing(self, keys: set) -> list:
+        """The keys without a value; those with one in the older table move up. All of them can then be read from this one."""
+        self.turn(len(keys))
+        new = []
+        for key in keys:
+            if key not in self:
+                if key in self.older:
+                    self[key] = self.older[key]
+                else:
+                    new.append(key)
+        return new

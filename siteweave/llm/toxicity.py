@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteweave.llm.common import pieces, schema_with, table, utf8
+from siteweave.llm.common import Recent, pieces, schema_with, table, utf8
 
 FIT_TOXIC, FIT_CLEAN, FIT_BYTES = 4_000, 6_000, 1 << 15
 LONGEST = 32
@@ -34,8 +34,8 @@ LONGEST = 32
 SYMBOL, TOXIC_DICT, PLAIN_DICT = 4, 4_096, 32_768
 #: How many standard deviations a window is more common in toxic text, to be trained on as toxic.
 STAND_OUT = 2.5
-#: Windows that a worker remembers.
-CACHED = 600_000
+#: Windows that a worker remembers, twice over at most.
+CACHED = 500_000
 #: Letters and digits in lower case, everything else in ASCII a space; other bytes as they are.
 _FOLD = np.array([b if b >= 128 or chr(b).isalnum() else 0x20 for b in range(256)], dtype=np.uint8)
 _FOLD[0x41:0x5B] += 0x20
@@ -99,14 +99,11 @@ class Scorer:
     """A model at work; it remembers the ratios of the windows it has met."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.known = model, {}
+        self.model, self.known = model, Recent(CACHED)
         self.toxic, self.plain = Lengths(model.toxic), Lengths(model.plain)
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > CACHED:
-            self.known.clear()
-            new = list(words)
+        new = self.known.missing(words)
         for at in range(0, len(new), 50_000):
             part = new[at : at + 50_000]
             self.known.update(zip(part, self.model.ratio[_cells(self.toxic.of(part), self.plain.of(part))].tolist(), strict=True))

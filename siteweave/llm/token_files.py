@@ -20,6 +20,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,14 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteweave.llm.common import fresh, pieces, table
+from siteweave.llm.common import Recent, fresh, pieces, table
 
 _HEAD = struct.Struct("<QI")
 _TAIL = struct.Struct("<I")
 _META = struct.Struct("<BqB")
 _MASK = 0xA282EAD8
-#: Words kept by a worker; the store is emptied beyond this many.
-CACHED_WORDS = 400_000
+#: Words kept by a worker, twice over at most.
+CACHED_WORDS = 500_000
 #: A space next to other white space: there the words can't be taken one by one.
 _LOOSE = re.compile(r" \s|\s ")
 
@@ -89,28 +90,18 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def _learn(self, store: dict[str, bytes], words: set[str], lead: str) -> None:
-        new = [w for w in words if w not in store]
-        if len(store) + len(new) > CACHED_WORDS:
-            store.clear()
-            new = list(words)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            found = self.tokenizer.encode_batch_fast([lead + w for w in part], add_special_tokens=False)
-            store.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(part, found, strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        cut = [None if _LOOSE.search(t) else t.split(" ") for t in texts]
-        self._learn(self.first, {c[0] for c in cut if c}, "")
-        self._learn(self.later, set().union(*(c[1:] for c in cut if c)), " ")
-        whole = [t for t, c in zip(texts, cut, strict=True) if c is None]
-        rest = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False))
-        get = self.later.__getitem__
-        return [np.array(next(rest).ids, dtype="<u4").tobytes() if c is None else self.first[c[0]] + b"".join(map(get, c[1:])) for c in cut]
+        self.first = Recent(CACHED_WORDS // 10, self._ids)
+        self.later = Recent(CACHED_WORDS, lambda word: self._ids(" " + word))
+
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as little-endian unsigned 32-bit numbers."""
+        if _LOOSE.search(text):
+            return self._ids(text)
+        first, *later = text.split(" ")
+        return self.first[first] + b"".join(map(self.later.__getitem__, later))
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -150,8 +141,8 @@ def write(df: DataFrame, folder: str, tokenizer: str, end_id: int, id_column: st
         for batch in pieces(batches, text, 4 << 20):
             if out is None:
                 out = store.open_output_stream(f"{name}.bin.{trial}")
-            for doc_id, ids in zip(batch.column(id_column).to_pylist(), enc.encode([t or "" for t in batch.column(text).to_pylist()]), strict=True):
-                seq = np.frombuffer(ids + end, dtype="<u4")
+            for doc_id, t in zip(batch.column(id_column).to_pylist(), batch.column(text).to_pylist(), strict=True):
+                seq = np.frombuffer(enc.encode(t or "") + end, dtype="<u4")
                 record = frame(pack(doc_id, seq, width))
                 out.write(record)
                 index.append((doc_id or 0, offset, len(seq), tokens))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from siteweave.llm.common import Recent, pieces, schema_with, table, utf8
 
-FIT_TOXIC, FIT_CLEAN, FIT_BYTES = 4_000, 6_000, 1 << 15
+FIT_TOXIC, FIT_CLEAN, FIT_BYTES = 3_000, 4_000, 1 << 14
 LONGEST = 32
 #: Bytes of a symbol, and of the dictionaries in windows' bytes.
 SYMBOL, TOXIC_DICT, PLAIN_DICT = 4, 4_096, 32_768
@@ -137,11 +137,9 @@ def _features(x: np.ndarray) -> np.ndarray:
     return np.array(out)
 
 
-def _doc_counts(docs: list[set[bytes]], code: dict[bytes, int]) -> np.ndarray:
-    out = np.zeros(len(code))
-    for words in docs:
-        out[[code[w] for w in words]] += 1
-    return out
+def _doc_counts(docs: list[np.ndarray], size: int) -> np.ndarray:
+    """The number of documents that each window is in."""
+    return np.bincount(np.concatenate([*docs, np.empty(0, np.int64)]).astype(np.int64), minlength=size).astype(float)
 
 
 def fit(texts: list[str], toxic: list[int], share: float, seed: int = 0) -> Model:
@@ -152,11 +150,12 @@ def fit(texts: list[str], toxic: list[int], share: float, seed: int = 0) -> Mode
         return Model(b"", b"", none, none, none, none, float(share))
     folds = [folded(t) for t in texts]
     half = np.arange(len(y)) % 2 == 0
-    words = [set(windows(t)) for t in folds]
-    code = {w: k for k, w in enumerate(sorted(set().union(*words)))}
+    code: dict[bytes, int] = {}
+    words = [np.unique(np.array([code.setdefault(w, len(code)) for w in windows(t)], dtype=np.int32)) for t in folds]
     names = list(code)
-    pick = lambda want: [words[i] for i in np.flatnonzero(want)]
-    in_toxic, in_plain = _doc_counts(pick(half & y), code), _doc_counts(pick(half & ~y), code)
+    del code
+    count = lambda want: _doc_counts([words[i] for i in np.flatnonzero(want)], len(names))
+    in_toxic, in_plain = count(half & y), count(half & ~y)
     usual = in_plain * (half & y).sum() / max(1, (half & ~y).sum())
     stand_out = ((in_toxic - usual) / np.sqrt(usual + 1) > STAND_OUT) & (in_toxic >= 6 * (usual + 0.5))
     rng = np.random.default_rng(seed)
@@ -166,15 +165,17 @@ def fit(texts: list[str], toxic: list[int], share: float, seed: int = 0) -> Mode
         return [names[i] for i in rng.choice(len(names), n, p=weights / total)] if total else []
 
     dicts = train_dictionary(draw(np.where(stand_out, in_toxic, 0), 30_000), TOXIC_DICT), train_dictionary(draw(np.where(stand_out, 0, in_plain), 80_000), PLAIN_DICT)
-    cells = _cells(Lengths(dicts[0]).of(names), Lengths(dicts[1]).of(names))
+    lengths = [Lengths(d) for d in dicts]
+    cells = np.concatenate([_cells(*(n.of(names[at : at + 50_000]) for n in lengths)) for at in range(0, len(names), 50_000)])
     # The ratios are counted and the document model is fitted on the half that the dictionaries have not seen.
-    held = [np.bincount(cells, _doc_counts(pick(~half & c), code), _GAP * _LEN) for c in (y, ~y)]
+    held = [np.bincount(cells, count(~half & c), _GAP * _LEN) for c in (y, ~y)]
     rare = 5 / max(5.0, held[0].sum())
     p, q = (h / max(1.0, h.sum()) + rare for h in held)
     ratio = np.log(p / q)
+    del names, words
     scorer = Scorer(Model(*dicts, ratio, none, none, none, share))
     fitted = np.flatnonzero(~half)
-    x, t = scorer.features([folds[i] for i in fitted]), y[fitted]
+    x, t = np.concatenate([scorer.features([folds[i] for i in fitted[at : at + 200]]) for at in range(0, len(fitted), 200)]), y[fitted]
     mean, scale = x.mean(0), x.std(0) + 1e-6
     z = np.c_[np.ones(len(x)), (x - mean) / scale]
     prior = min(max(share, 0.01), 0.5)

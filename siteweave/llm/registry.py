@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from siteweave.llm.html_text import op2_html_text
 from siteweave.llm.mixing import OP6_SQL, op6_source_mix
+from siteweave.llm.near_duplicates import OP5_SQL, op5_near_duplicates
 from siteweave.llm.pii import op9_pii_pseudonyms
 from siteweave.llm.secrets import op3_secret_scan
 from siteweave.llm.sentence_pieces import op4_sentencepiece
 from siteweave.llm.token_files import op7_token_files
 from siteweave.llm.toxicity import op8_toxicity
 
-QUERIES = {f.__name__: f for f in (op2_html_text, op3_secret_scan, op4_sentencepiece, op6_source_mix, op7_token_files, op8_toxicity, op9_pii_pseudonyms)}
-SQL = {"op6_source_mix": OP6_SQL}
+QUERIES = {f.__name__: f for f in (op2_html_text, op3_secret_scan, op4_sentencepiece, op5_near_duplicates, op6_source_mix, op7_token_files, op8_toxicity, op9_pii_pseudonyms)}
+SQL = {"op5_near_duplicates": OP5_SQL, "op6_source_mix": OP6_SQL}

@@ -64,6 +64,7 @@ class Model:
             if len(piece) == 1:
                 self.single.add(piece)
         self.auto.make_automaton()
+        self.written = [bytes([self.bytes[i]]) if i in self.bytes else piece.replace(SPACE, " ").encode() for i, piece in enumerate(self.text)]
         self.unknown = lowest - 10
         # A segment is looked up without its leading space, which all have.
         self.known = Recent(CACHED, lambda rest: self.best(SPACE + rest))
@@ -172,7 +173,7 @@ class Model:
         if n < 2:
             return out
         loss = np.array(losses)
-        least = loss.argsort(kind="stable")[: n - 1]
+        least = np.sort(loss.argpartition(n - 2)[: n - 1]) if len(loss) >= n else np.arange(len(loss))
         open_at = [(int(k), self.segment_ways(SPACE + parts[k], n)) for k in least if np.isfinite(loss[k])]
         # A-star over the chain: a state says which way each open segment goes; the next states lose no less.
         heap, seen = [(-best, (0,) * len(open_at))], {(0,) * len(open_at)}
@@ -194,18 +195,8 @@ class Model:
         return out
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids; a run of byte pieces is read as UTF-8."""
-        if self.bytes.keys().isdisjoint(ids):
-            text = "".join(map(self.text.__getitem__, ids)).replace(SPACE, " ")
-        else:
-            out = bytearray()
-            for i in ids:
-                if i in self.bytes:
-                    out.append(self.bytes[i])
-                else:
-                    out += self.text[i].replace(SPACE, " ").encode()
-            text = out.decode("utf-8", "replace")
-        return text.removeprefix(" ")
+        """The text of ids; their bytes, those of byte pieces among them, are read as UTF-8."""
+        return b"".join(map(self.written.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
 
 
 _models: dict[str, Model] = {}

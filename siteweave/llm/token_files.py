@@ -16,7 +16,6 @@ then by id; among equal ids by text). Columns besides id and text are ignored. A
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -25,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +38,7 @@ _MASK = 0xA282EAD8
 #: Words kept by a worker, twice over at most.
 CACHED_WORDS = 500_000
 #: A space next to other white space: there the words can't be taken one by one.
-_LOOSE = re.compile(r" \s|\s ")
+_LOOSE = r" [\s\x0B\x1C-\x1F\x{85}\p{Z}]|[\s\x0B\x1C-\x1F\x{85}\p{Z}] "
 
 
 def masked(data: bytes) -> int:
@@ -96,12 +96,38 @@ class WordEncoder:
     def _ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit numbers."""
-        if _LOOSE.search(text):
-            return self._ids(text)
-        first, *later = text.split(" ")
-        return self.first[first] + b"".join(map(self.later.__getitem__, later))
+    def _learn(self, store: Recent, words: set[str], lead: str) -> None:
+        new = store.missing(words)
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            found = self.tokenizer.encode_batch_fast([lead + w for w in part], add_special_tokens=False)
+            store.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, found, strict=True))
+
+    def encode(self, column: pa.Array, end_id: int) -> Iterator[np.ndarray]:
+        """The ids of each text and the end id. Each distinct word of the column is looked up once."""
+        column = pc.fill_null(column, "")
+        loose = pc.match_substring_regex(column, _LOOSE).to_numpy(zero_copy_only=False)
+        words = pc.split_pattern(column.filter(pa.array(~loose)), " ")
+        offsets = words.offsets.to_numpy()
+        coded = words.values.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self._learn(self.later, set(distinct), " ")
+        # The first word of a text has no space before it; it and the end id get entries of their own behind the others.
+        heads = words.values.take(pa.array(offsets[:-1])).to_pylist()
+        self._learn(self.first, set(heads), "")
+        known = [*map(self.later.__getitem__, distinct), *map(self.first.__getitem__, heads), struct.pack("<I", end_id)]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids, starts = np.frombuffer(b"".join(known), dtype="<u4"), np.cumsum(sizes) - sizes
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        codes[offsets[:-1]] = len(distinct) + np.arange(len(heads))
+        codes = np.insert(codes, offsets[1:], len(known) - 1)
+        each = sizes[codes]
+        upto = np.cumsum(each)
+        flat = ids[np.repeat(starts[codes] - upto + each, each) + np.arange(upto[-1] if len(upto) else 0)]
+        ends = upto[offsets[1:] + np.arange(len(heads))] if len(heads) else upto
+        cut = iter(np.split(flat, ends[:-1]))
+        for text, whole in zip(column, loose, strict=True):
+            yield np.frombuffer(self._ids(text.as_py()) + struct.pack("<I", end_id), dtype="<u4") if whole else next(cut)
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -136,13 +162,11 @@ def write(df: DataFrame, folder: str, tokenizer: str, end_id: int, id_column: st
         store, base = filesystem(folder)
         store.create_dir(base, recursive=True)
         name, trial = f"{base}/shard-{shard:05d}", uuid.uuid4().hex
-        end = struct.pack("<I", end_id)
         index, offset, tokens, out = [], 0, 0, None
-        for batch in pieces(batches, text, 4 << 20):
+        for batch in pieces(batches, text, 8 << 20):
             if out is None:
                 out = store.open_output_stream(f"{name}.bin.{trial}")
-            for doc_id, t in zip(batch.column(id_column).to_pylist(), batch.column(text).to_pylist(), strict=True):
-                seq = np.frombuffer(enc.encode(t or "") + end, dtype="<u4")
+            for doc_id, seq in zip(batch.column(id_column).to_pylist(), enc.encode(batch.column(text), end_id), strict=True):
                 record = frame(pack(doc_id, seq, width))
                 out.write(record)
                 index.append((doc_id or 0, offset, len(seq), tokens))

@@ -90,6 +90,8 @@ class Model:
     def best(self, segment: str) -> tuple[bytes, float, float]:
         """The ids of the best way through a segment, its score, and what the second best loses."""
         # No piece holds two characters that are side by side in none; every way has a boundary between them.
+        if segment[1:].isalpha():
+            return self.parts[segment]
         pairs = self.pairs
         cuts = [k for k in range(1, len(segment)) if segment[k - 1 : k + 1] not in pairs]
         found = [self.parts[segment[a:b]] for a, b in zip([0, *cuts], [*cuts, len(segment)], strict=True)]

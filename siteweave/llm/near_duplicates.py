@@ -30,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteweave.llm.common import LOWER, mix, pieces, table, utf8, word_bounds, written
+from siteweave.llm.common import LOWER, mix, pieces, remove, table, utf8, word_bounds, written
 from siteweave.llm.components import components
 
 POSITIONS = 128
 THRESHOLD = 0.8
 TARGET_RECALL = 0.9999
-#: Nodes up to this many sets are compared exhaustively across components.
-SMALL_NODE = 64
+#: Nodes that take up to this many comparisons across components are compared; larger ones are branched on.
+SMALL_NODE = 50_000
 #: Levels that mixed large nodes are branched further; then they are compared whatever their size.
 MORE_LEVELS = 4
 #: Signatures by which the levels are chosen.
@@ -94,7 +94,7 @@ def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """The minwise tokens of a set: by position, 32 bits of the smallest hash."""
+    """The minwise tokens of a set: by position, 16 bits of the smallest hash."""
     out = np.full(POSITIONS, _EMPTY)
     with np.errstate(over="ignore"):
         for at in range(0, len(shingles), 512):
@@ -103,7 +103,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
             h = (part[None, :] ^ _SEEDS[:, None]) * (_SEEDS[::-1, None] | np.uint64(1))
             h ^= h >> np.uint64(29)
             np.minimum(out, h.min(axis=1), out=out)
-        return (mix(out) >> np.uint64(32)).astype(np.uint32)
+        return (mix(out) >> np.uint64(48)).astype(np.uint16)
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
@@ -115,7 +115,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
             sets = shingle_sets(batch.column("text"), width)
             with np.errstate(over="ignore"):
                 prints = [(int(s.sum(dtype=np.uint64).astype(np.int64)), int(mix(s).sum(dtype=np.uint64).astype(np.int64))) for s in sets]
-            sigs = [signature(s).astype("<u4").tobytes() for s in sets]
+            sigs = [signature(s).astype("<u2").tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([p for p, _ in prints], pa.int64()), pa.array([p for _, p in prints], pa.int64()), pa.array(sigs, pa.binary())],
                 names=["id", "n", "p1", "p2", "sig"],
@@ -137,7 +137,7 @@ def trees_for(level: int, recall: float) -> int:
 
 
 def levels_for(sample: np.ndarray, rows: int) -> int:
-    """The levels after which an unrelated set shares a node with about one other on average."""
+    """The levels after which an unrelated set shares a node with about two others on average."""
     if len(sample) < 2:
         return 1
     agree = np.concatenate([(sample[k] == sample[k + 1 :]).mean(axis=1) for k in range(len(sample) - 1)])
@@ -145,7 +145,7 @@ def levels_for(sample: np.ndarray, rows: int) -> int:
     if not len(usual):
         return 2
     for level in range(2, 7):
-        if rows * ((usual / THRESHOLD) ** level).mean() <= 4:
+        if rows * ((usual / THRESHOLD) ** level).mean() <= 2:
             return level
     return 7
 
@@ -160,7 +160,7 @@ def _branch(sigs: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np.n
 
 
 def paths(sigs: DataFrame, levels: int, trees: int, threshold: float, node: str | None = None) -> DataFrame:
-    """(node, id) of the nodes that each set reaches `levels` below the roots, or below the nodes in its column `node`."""
+    """(node, id, n, short) of the nodes that each set reaches `levels` below the roots, or below the nodes in its column `node`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,39 +168,56 @@ def paths(sigs: DataFrame, levels: int, trees: int, threshold: float, node: str
                 part = batch.slice(at, 256)
                 if not part.num_rows:
                     continue
-                s = np.frombuffer(b"".join(part.column("sig").to_pylist()), "<u4").reshape(-1, POSITIONS)
+                s = np.frombuffer(b"".join(part.column("sig").to_pylist()), "<u2").reshape(-1, POSITIONS)
                 ids = part.column("id").to_numpy()
                 if node:
                     starts = [part.column(node).to_numpy().astype(np.int64).view(np.uint64)]
                 else:
                     starts = [np.full(len(s), mix(np.array([t + 1], np.uint64))[0]) for t in range(trees)]
-                got_nodes, got_ids = [], []
+                n = part.column("n").to_numpy()
+                short = _short(s)
+                got_nodes, got_rows = [], []
                 for nodes in starts:
                     row = np.arange(len(s))
                     for _ in range(levels):
                         child, nodes = _branch(s[row], nodes, threshold)
                         row = row[child]
                     got_nodes.append(nodes)
-                    got_ids.append(ids[row])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got_nodes).view(np.int64)), pa.array(np.concatenate(got_ids))], names=["node", "id"])
+                    got_rows.append(row)
+                row = np.concatenate(got_rows)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got_nodes).view(np.int64)), pa.array(ids[row]), pa.array(n[row]), pa.array(short[row])], names=["node", "id", "n", "short"])
 
-    return sigs.mapInArrow(run, "node long, id long").distinct()
+    return sigs.mapInArrow(run, "node long, id long, n long, short long")
+
+
+def _short(sigs: np.ndarray) -> np.ndarray:
+    """Four bits of 16 positions of each signature, in one number."""
+    bits = (sigs[:, :: POSITIONS // 16] & 15).astype(np.uint64)
+    return (bits << (np.arange(16, dtype=np.uint64) * np.uint64(4))[None, :]).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def _likely(x: str, y: str, threshold: float):
+    """The sizes allow the threshold, and 6 of the 16 short positions agree (at the threshold 1 pair in 60,000 falls short)."""
+    other = F.col(f"{x}.short").bitwiseXOR(F.col(f"{y}.short"))
+    other = other.bitwiseOR(F.shiftrightunsigned(other, 1))
+    other = other.bitwiseOR(F.shiftrightunsigned(other, 2)).bitwiseAND(F.lit(0x1111111111111111))
+    small, large = F.least(f"{x}.n", f"{y}.n"), F.greatest(f"{x}.n", f"{y}.n")
+    return (small >= threshold * large - 1e-9) & (F.bit_count(other) <= 10)
 
 
 def _agreeing(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
-    """The distinct pairs (a, b) whose signatures don't rule the threshold out."""
+    """The pairs (a, b) whose signatures don't rule the threshold out."""
     need = threshold - _SLACK
 
     @F.pandas_udf("boolean")
     def alike(x, y):
         import pandas as pd
 
-        return pd.Series([(np.frombuffer(a, "<u4") == np.frombuffer(b, "<u4")).mean() >= need for a, b in zip(x, y, strict=True)])
+        return pd.Series([(np.frombuffer(a, "<u2") == np.frombuffer(b, "<u2")).mean() >= need for a, b in zip(x, y, strict=True)])
 
-    left = sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa"), F.col("n").alias("na"))
-    right = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb"), F.col("n").alias("nb"))
-    sized = pairs.join(right, "b").join(left, "a").where(F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9)
-    return sized.where(alike("sa", "sb")).select("a", "b")
+    left = sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa"))
+    right = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb"))
+    return pairs.join(right, "b").join(left, "a").where(alike("sa", "sb")).select("a", "b")
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -239,31 +256,37 @@ def links(docs: DataFrame, sigs: DataFrame, width: int, percent: int, recall: fl
     threshold = percent / 100
     rows = sigs.count()
     sample = sigs.orderBy(F.xxhash64("id"), "id").limit(SAMPLED).select("sig").collect()
-    arr = np.array([np.frombuffer(r["sig"], "<u4") for r in sample]).reshape(-1, POSITIONS)
+    arr = np.array([np.frombuffer(r["sig"], "<u2") for r in sample]).reshape(-1, POSITIONS)
     level = levels_for(arr, rows)
-    placed = paths(sigs.select("id", "sig"), level, trees_for(level, recall), threshold)
-    heads = placed.groupBy("node").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    nodes = written(placed.join(heads, "node").select("node", "size", "a", "id"), "nodes")
-    star = nodes.where("a <> id").select("a", F.col("id").alias("b")).distinct()
-    found = written(confirm(_agreeing(star, sigs, threshold), docs, width, percent), "edges")
-    named = written(components(found), "components")
+    placed = paths(sigs.select("id", "n", "sig"), level, trees_for(level, recall), threshold)
+    item = F.struct("id", "n", "short")
+    heads = placed.groupBy("node").agg(F.min(item).alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
+    nodes = written(placed.withColumn("item", item).join(heads, "node").select("node", "item", "head"), "nodes")
+    star = nodes.where("item.id <> head.id").where(_likely("item", "head", threshold)).select(F.col("head.id").alias("a"), F.col("item.id").alias("b")).distinct()
+    tried = written(_agreeing(star, sigs, threshold), "star")
+    edges = [written(confirm(tried, docs, width, percent), "edges")]
+    named = written(components(edges[0]), "components")
     # Nodes whose sets are not all in one component yet: small ones are compared, large ones branched on.
-    tried = star
-    edges = [found]
     for more in range(MORE_LEVELS + 1):
-        labelled = nodes.select("node", "size", "id").join(named, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        mixed = labelled.groupBy("node").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("node")
+        labelled = nodes.select("node", "item", F.col("item.id").alias("id")).join(named, "id", "left").select("node", "item", F.coalesce("component", "id").alias("c"))
+        shares = labelled.groupBy("node", "c").agg(F.count(F.lit(1)).alias("k"))
+        main = shares.groupBy("node").agg(F.sum("k").alias("size"), F.max(F.struct("k", "c")).alias("main"))
+        mixed = main.select("node", F.col("main.c").alias("main"), ((F.col("size") - F.col("main.k")) * F.col("size")).alias("work")).where("work > 0")
         open_ = written(labelled.join(mixed, "node"), "open")
-        here = open_ if more == MORE_LEVELS else open_.where(F.col("size") <= SMALL_NODE)
-        x, y = (here.select("node", F.col("id").alias(i), F.col("component").alias(c)) for i, c in (("a", "ca"), ("b", "cb")))
-        pairs = x.join(y, "node").where("a < b and ca <> cb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        here = open_ if more == MORE_LEVELS else open_.where(F.col("work") <= SMALL_NODE)
+        # Each set outside the node's largest component meets all sets of other components.
+        x = here.where("c <> main").select("node", F.col("item").alias("x"), F.col("c").alias("cx"), "main")
+        y = here.select("node", F.col("item").alias("y"), F.col("c").alias("cy"))
+        met = x.join(y, "node").where("cx <> cy and (cy = main or x.id < y.id)").where(_likely("x", "y", threshold))
+        pairs = met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
         edges.append(written(confirm(_agreeing(pairs, sigs, threshold), docs, width, percent), "edges"))
-        large = open_.where(F.col("size") > SMALL_NODE)
+        remove(nodes)
+        large = open_.where(F.col("work") > SMALL_NODE)
         if more == MORE_LEVELS or not large.limit(1).count():
             break
-        deeper = paths(large.select("node", "id").join(sigs.select("id", "sig"), "id"), 1, 1, threshold, "node")
-        sizes = deeper.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        nodes = written(deeper.join(sizes, "node").select("node", "size", "id"), "nodes")
+        deeper = paths(large.select("node", F.col("item.id").alias("id"), "item.n").join(sigs.select("id", "sig"), "id"), 1, 1, threshold, "node")
+        nodes = written(deeper.select("node", item.alias("item")), "nodes")
+        remove(open_)
     joined = edges[0]
     for e in edges[1:]:
         joined = joined.unionByName(e)
@@ -281,6 +304,7 @@ def classes(docs: DataFrame, width: int, percent: int = 80, recall: float = TARG
     member = every.select("id", "n", "p1", "p2").join(same, ["p1", "p2", "n"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
     member = written(member, "members")
     reps = written(every.where("n > 0").join(same.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "sig"), "representatives")
+    remove(every)
     named = links(rows, reps, width, percent, recall).select(F.col("id").alias("rep"), "component")
     return member.join(named, "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
 

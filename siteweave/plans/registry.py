@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from siteweave.plans import linkage, triage
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+QUERIES = {**linkage.QUERIES, **triage.QUERIES}
+SQL = {**linkage.SQL, **triage.SQL}

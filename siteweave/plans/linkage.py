@@ -124,7 +124,7 @@ def geo_key_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MASTER = """r AS (SELECT concat(coalesce(e.sitio_id, '----'), '-', coalesce(v.visita_id, '----')) AS registro_id, CASE WHEN e.sitio_id IS NOT NULL AND v.visita_id IS NOT NULL THEN 'edan+visita' WHEN e.sitio_id IS NOT NULL THEN 'solo_edan' ELSE 'solo_visita' END AS fuente,
  e.sitio_id, v.visita_id, f.match_method, CASE WHEN coalesce(trim(e.direccion_norm), '') IN ('', '-') THEN v.direccion_norm ELSE e.direccion_norm END AS direccion_unificada, CASE WHEN coalesce(trim(e.barrio), '') IN ('', '-') THEN v.barrio ELSE e.barrio END AS barrio_unificado,
  CASE WHEN v.lat IS NOT NULL AND v.coords_fuente = 'exif' THEN 1 WHEN e.lat IS NOT NULL AND e.coords_fuente = 'exif' THEN 2 WHEN e.lat IS NOT NULL AND e.coords_fuente <> 'geocode' THEN 3 WHEN v.lat IS NOT NULL AND v.coords_fuente <> 'geocode' THEN 4 WHEN e.lat IS NOT NULL THEN 5 WHEN v.lat IS NOT NULL THEN 6 END AS rk,
- e.lat AS elat, e.lon AS elon, v.lat AS vlat, v.lon AS vlon, e.coords_fuente AS ef, v.coords_fuente AS vf, greatest(e.n_fallecidos, v.n_fallecidos) AS n_fallecidos_total, f.trust, coalesce(e.road, v.road) AS road1
+ e.lat AS elat, e.lon AS elon, v.lat AS vlat, v.lon AS vlon, e.coords_fuente AS ef, v.coords_fuente AS vf, CAST(greatest(e.n_fallecidos, v.n_fallecidos) AS DOUBLE) AS n_fallecidos_total, f.trust, coalesce(e.road, v.road) AS road1
  FROM eh e FULL OUTER JOIN final f ON f.sitio_id = e.sitio_id FULL OUTER JOIN vh v ON v.visita_id = f.visita_id),
  i AS (SELECT registro_id, fuente, sitio_id, visita_id, match_method, direccion_unificada, barrio_unificado, CASE WHEN rk IN (1, 4, 6) THEN vlat ELSE elat END AS lat, CASE WHEN rk IN (1, 4, 6) THEN vlon ELSE elon END AS lon, coalesce(CASE WHEN rk IN (1, 4, 6) THEN vf WHEN rk IS NOT NULL THEN ef END, '') AS coords_fuente, n_fallecidos_total,
  CASE WHEN fuente = 'edan+visita' THEN trust ELSE round(0.2::DOUBLE + CASE WHEN road1 <> 0 THEN 0.1 ELSE 0.0 END::DOUBLE + CASE WHEN rk IS NOT NULL THEN 0.1 ELSE 0.0 END::DOUBLE + CASE WHEN coalesce(trim(barrio_unificado), '') NOT IN ('', '-') THEN 0.05 ELSE 0.0 END::DOUBLE, 2) END AS trust_score FROM r)"""

@@ -35,7 +35,7 @@ SYMBOL, TOXIC_DICT, PLAIN_DICT = 4, 4_096, 32_768
 #: How many standard deviations a window is more common in toxic text, to be trained on as toxic.
 STAND_OUT = 2.5
 #: Windows that a worker remembers, twice over at most.
-CACHED = 500_000
+CACHED = 200_000
 #: Letters and digits in lower case, everything else in ASCII a space; other bytes as they are.
 _FOLD = np.array([b if b >= 128 or chr(b).isalnum() else 0x20 for b in range(256)], dtype=np.uint8)
 _FOLD[0x41:0x5B] += 0x20

@@ -38,7 +38,8 @@ def nearest(left: DataFrame, right: DataFrame, key: str, radius_m: float, order:
 def _edges(ring: Column) -> Column:
     """Edges of a ring of (x, y) structs as structs of two ends; the ring closes itself."""
     n = F.size(ring)
-    return F.transform(ring, lambda p, k: F.struct(p["x"].alias("ax"), p["y"].alias("ay"), ring[(k + 1) % n]["x"].alias("bx"), ring[(k + 1) % n]["y"].alias("by")))
+    after = lambda k: F.get(ring, (k + 1) % n)
+    return F.transform(ring, lambda p, k: F.struct(p["x"].alias("ax"), p["y"].alias("ay"), after(k)["x"].alias("bx"), after(k)["y"].alias("by")))
 
 
 def _crossings(ring: Column, x: Column, y: Column) -> Column:
@@ -56,13 +57,13 @@ def covered(rings: Column, x: Column, y: Column) -> Column:
     on = lambda e: ((e["bx"] - e["ax"]) * (y - e["ay"]) == (e["by"] - e["ay"]) * (x - e["ax"])) & x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"])) & y.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"]))
     edge = F.exists(rings, lambda r: F.exists(_edges(r), on))
     holes = F.slice(rings, F.lit(2), F.greatest(F.size(rings) - 1, F.lit(0)))
-    return edge | (in_ring(rings[0], x, y) & ~F.exists(holes, lambda r: in_ring(r, x, y)))
+    return edge | (in_ring(F.get(rings, F.lit(0)), x, y) & ~F.exists(holes, lambda r: in_ring(r, x, y)))
 
 
 def containing(points: DataFrame, polygons: DataFrame, key: str, test, cell: float = 0.01, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """The first polygon (by pos) that holds each point: polygons (pos, rings, ...) are dealt to the grid cells of their
     bounding box, points to theirs, and `test(rings, x, y)` decides. Points outside all polygons are left out."""
-    xs, ys = (F.flatten(F.transform("rings", lambda r, f=f: F.transform(r, lambda p: p[f]))) for f in ("x", "y"))
+    xs, ys = F.flatten(F.transform("rings", lambda r: r["x"])), F.flatten(F.transform("rings", lambda r: r["y"]))
     span = lambda v: F.sequence(F.floor(F.array_min(v) / cell).cast("long"), F.floor(F.array_max(v) / cell).cast("long"))
     tiled = polygons.withColumn("cell_x", F.explode(span(xs))).withColumn("cell_y", F.explode(span(ys)))
     placed = points.withColumns({"cell_x": F.floor(F.col(lon) / cell), "cell_y": F.floor(F.col(lat) / cell)})

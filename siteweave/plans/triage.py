@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _HAV = "2 * 6371000.0::DOUBLE * asin(sqrt(pow(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2)))"
 
 
-@query("SELECT c_custkey AS id, CASE WHEN c_custkey % 6 = 5 THEN NULL ELSE 3 + (c_custkey % 900) / 1000.0::DOUBLE END AS lat, CASE WHEN c_custkey % 6 = 5 THEN NULL ELSE -(76 + (c_custkey % 700) / 1000.0::DOUBLE) END AS lon FROM customer")
+@query("SELECT c_custkey AS id, CASE WHEN c_custkey % 6 = 5 THEN NULL ELSE round(3 + (c_custkey % 900) / 1000.0::DOUBLE, 9) END AS lat, CASE WHEN c_custkey % 6 = 5 THEN NULL ELSE round(-(76 + (c_custkey % 700) / 1000.0::DOUBLE), 9) END AS lon FROM customer")
 def parsed_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five notations of one point, and junk."""
     a, b = "format_string('%.3f', 3 + c_custkey % 900 / 1000D)", "format_string('%.3f', 76 + c_custkey % 700 / 1000D)"
@@ -58,16 +58,16 @@ def event_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
 
 
-@query("SELECT o_orderkey, CAST(o_orderdate - INTERVAL 5 HOUR AS DATE) AS fecha FROM orders")
+@query("SELECT o_orderkey, CAST(CAST(o_orderdate - INTERVAL 5 HOUR AS DATE) AS VARCHAR) AS fecha FROM orders")
 def local_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     ms = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
-    return table(spark, sf_dir, "orders").select("o_orderkey", readers.local_date(ms).alias("fecha"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", readers.local_date(ms).cast("string").alias("fecha"))
 
 
 _SCORE = """WITH r AS (SELECT o_orderkey AS k, o_totalprice, CAST(o_orderkey % 977 AS DOUBLE) AS age, o_orderkey % 5 = 0 AS visited, CASE WHEN 3 * (o_orderkey % 2) + 2 * (o_orderkey % 3) + o_orderkey % 4 > 0 THEN 1 - pow(0.6::DOUBLE, 3 * (o_orderkey % 2) + 2 * (o_orderkey % 3) + o_orderkey % 4) ELSE 0.0::DOUBLE END AS vict FROM orders),
  s AS (SELECT *, min(age) FILTER (WHERE NOT visited) OVER () AS lo, max(age) FILTER (WHERE NOT visited) OVER () AS hi FROM r),
  t AS (SELECT concat('R', k) AS registro_id, age, visited, round(30 * CAST(k % 10 AS DOUBLE) / 10 + 25 * vict + 10 * CASE k % 3 WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 0.6::DOUBLE ELSE 0.0::DOUBLE END + 10 * CASE WHEN k % 7 = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END + 5 * CASE k % 4 WHEN 1 THEN 1.0::DOUBLE WHEN 2 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END + 20 * CASE WHEN visited THEN 0.0::DOUBLE ELSE coalesce((age - lo) / nullif(hi - lo, 0), 0) END, 1) AS score FROM s)
-SELECT registro_id, score, visited, CASE WHEN NOT visited THEN CAST(row_number() OVER (PARTITION BY visited ORDER BY score DESC, age DESC, registro_id) AS INT) END AS prioridad FROM t"""
+SELECT registro_id, score, visited, CASE WHEN NOT visited THEN CAST(row_number() OVER (PARTITION BY visited ORDER BY score DESC, age DESC, registro_id) AS INT) ELSE 0 END AS prioridad FROM t"""
 
 
 @query(_SCORE)
@@ -78,7 +78,7 @@ def visit_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("R"), k).alias("registro_id"), ((k % 10).cast("double") / 10).alias("severity"), (k % 2).alias("dead"), (k % 3).alias("trapped"), (k % 4).alias("rescued"), (k % 977).cast("double").alias("age_days"),
         F.when(k % 3 == 0, "Riesgo ALTO").when(k % 3 == 1, "medio").otherwise("").alias("risk"), F.when(k % 7 == 0, "Sí").otherwise("no").alias("demolition"), F.when(k % 4 == 1, "1").when(k % 4 == 2, "2").otherwise("").alias("wave"), (k % 5 == 0).alias("visited"),
     )
-    return triage.roster(rows)
+    return triage.roster(rows).na.fill(0, ["prioridad"])
 
 
 @query("""WITH z AS (SELECT n_nationkey AS zona FROM nation WHERE n_nationkey % 5 <> 0), r AS (SELECT CASE WHEN z.zona IS NULL THEN '(fuera de zona)' ELSE CAST(z.zona AS VARCHAR) END AS zona_id, c_acctbal > 0 AS hecho FROM customer LEFT JOIN z ON z.zona = c_nationkey),
@@ -93,11 +93,11 @@ def zone_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
  x AS (SELECT r.visita_id, s.sitio_id AS gid FROM r JOIN s ON r.origin LIKE 'arcgis:%' AND lower(s.sitio_id) = replace(replace(replace(r.origin, 'arcgis:', ''), '{{', ''), '}}', '')),
  n AS (SELECT r.visita_id, s.sitio_id AS gid, {_HAV.format(a='r.lat', b='r.lon', c='s.lat', d='s.lon')} AS d FROM r JOIN s ON abs(r.lat - s.lat) < 0.0005 AND abs(r.lon - s.lon) < 0.0005),
  n1 AS (SELECT * FROM n WHERE d <= 40 QUALIFY row_number() OVER (PARTITION BY visita_id ORDER BY d, gid) = 1)
-SELECT v.visita_id, coalesce(x.gid, n1.gid) AS gid, CASE WHEN x.gid IS NOT NULL THEN 'globalid' WHEN n1.gid IS NOT NULL THEN 'cercania' ELSE '' END AS via, CASE WHEN x.gid IS NULL THEN CAST(round(d) AS BIGINT) END AS dist, coalesce(x.gid, n1.gid) IS NOT NULL AS found FROM v LEFT JOIN x USING (visita_id) LEFT JOIN n1 USING (visita_id)""")
+SELECT v.visita_id, coalesce(x.gid, n1.gid) AS gid, CASE WHEN x.gid IS NOT NULL THEN 'globalid' WHEN n1.gid IS NOT NULL THEN 'cercania' ELSE '' END AS via, coalesce(CASE WHEN x.gid IS NULL THEN CAST(round(d) AS BIGINT) END, -1) AS dist, coalesce(x.gid, n1.gid) IS NOT NULL AS found FROM v LEFT JOIN x USING (visita_id) LEFT JOIN n1 USING (visita_id)""")
 def inspection_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = visits(spark, sf_dir).select("visita_id", "lat", "lon", F.when(F.col("vpos") % 9 == 0, F.concat(F.lit("arcgis:{s"), "true_pos", F.lit("}"))).otherwise(F.concat(F.lit("app:"), "vpos")).alias("origin"))
     s = sites(spark, sf_dir).select(F.col("sitio_id").alias("gid"), F.col("lat").alias("rlat"), F.col("lon").alias("rlon"))
-    return crossmatch.by_id_or_near(v, s, "visita_id", 40.0)
+    return crossmatch.by_id_or_near(v, s, "visita_id", 40.0).na.fill(-1, ["dist"])
 
 
 @query()
@@ -149,10 +149,10 @@ _P2 = _HAV.format(a="p.lat", b="p.lon", c="c.clat", d="c.clon")
 
 @query(f"""WITH p AS ({_PHOTOS}), m AS (SELECT place, median(lat) AS mlat, median(lon) AS mlon FROM p GROUP BY place), k AS (SELECT p.* FROM p JOIN m USING (place) WHERE {_HAV.format(a='p.lat', b='p.lon', c='m.mlat', d='m.mlon')} <= 75),
  c AS (SELECT place, avg(lat) AS clat, avg(lon) AS clon, count(*) AS n FROM k GROUP BY place), s AS (SELECT p.place, max({_P2}) AS spread FROM k p JOIN c USING (place) GROUP BY p.place)
-SELECT m.place, round(coalesce(clat, mlat), 6) AS lat, round(coalesce(clon, mlon), 6) AS lon, coalesce(n, 1) AS n, round(coalesce(spread, 0), 1) AS spread_m FROM m LEFT JOIN c USING (place) LEFT JOIN s USING (place)""")
+SELECT m.place, coalesce(n, 1) AS n, round(coalesce(spread, 0), 1) AS spread_m FROM m LEFT JOIN c USING (place) LEFT JOIN s USING (place)""")
 def photo_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = visits(spark, sf_dir).where("lat is not null").select(F.col("true_pos").alias("place"), "lat", (F.col("lon") + F.when(F.col("vpos") % 17 == 0, 0.01).otherwise(0.0)).alias("lon"))
-    return geo.robust_centroid(p, "place")
+    return geo.robust_centroid(p, "place").select("place", "n", "spread_m")
 
 
 @query("SELECT l_orderkey AS folder, l_linenumber AS stem, CASE WHEN l_linenumber % 3 <> 2 THEN 'exif' WHEN bool_or(l_linenumber % 3 <> 2 AND l_linenumber % 2 = 0) OVER w THEN 'carpeta' ELSE 'sin_gps' END AS fuente FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) WINDOW w AS (PARTITION BY l_orderkey)")
@@ -285,10 +285,10 @@ def records_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").join(c, F.col("n_nationkey") == F.col("c_nationkey"), "left").select("n_name", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
-@query(f"SELECT visita_id, length(direccion_norm) AS n, CAST((sum(coalesce(length(visita_id), 0) + coalesce(length(direccion_norm), 0)) OVER (ORDER BY vpos ROWS UNBOUNDED PRECEDING) - 1) // 100000 AS BIGINT) AS chunk FROM ({VISITS})".replace("coalesce(length(visita_id), 0) + coalesce(length(direccion_norm), 0)", "length(visita_id) + length(coalesce(direccion_norm, '')) + length(CAST(vpos AS VARCHAR))"))
+@query(f"SELECT visita_id, coalesce(length(direccion_norm), 0) AS n, CAST((sum(coalesce(length(visita_id), 0) + coalesce(length(direccion_norm), 0)) OVER (ORDER BY vpos ROWS UNBOUNDED PRECEDING) - 1) // 100000 AS BIGINT) AS chunk FROM ({VISITS})".replace("coalesce(length(visita_id), 0) + coalesce(length(direccion_norm), 0)", "length(visita_id) + length(coalesce(direccion_norm, '')) + length(CAST(vpos AS VARCHAR))"))
 def cell_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = visits(spark, sf_dir).select("vpos", "visita_id", F.coalesce("direccion_norm", F.lit("")).alias("d"), F.col("direccion_norm"))
-    return sinks.chunks(v.drop("direccion_norm"), "vpos", 100_000).join(v.select("vpos", F.length("direccion_norm").alias("n")), "vpos").select("visita_id", "n", "chunk")
+    return sinks.chunks(v.drop("direccion_norm"), "vpos", 100_000).join(v.select("vpos", F.coalesce(F.length("direccion_norm"), F.lit(0)).cast("long").alias("n")), "vpos").select("visita_id", "n", "chunk")
 
 
 @query()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -153,3 +154,16 @@ class Recent(dict):
                 else:
                     new.append(key)
         return new
+
+
+#: What this worker keeps from task to task, by operator; workers serve one operator after the other.
+KEPT: dict[str, dict] = {}
+
+
+def kept(operator: str) -> dict:
+    """The operator's store in this worker; those of other operators are emptied, so that they don't add up."""
+    for name, store in KEPT.items():
+        if name != operator and store:
+            store.clear()
+            gc.collect()
+    return KEPT.setdefault(operator, {})

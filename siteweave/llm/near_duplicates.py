@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteweave.llm.common import LOWER, mix, pieces, remove, table, utf8, word_bounds, written
+from siteweave.llm.common import LOWER, kept, mix, pieces, remove, table, utf8, word_bounds, written
 from siteweave.llm.components import components
 
 POSITIONS = 128
@@ -45,7 +45,7 @@ SAMPLED = 1_000
 #: A pair is confirmed on the full sets unless its signatures agree in fewer positions: 5 standard deviations below the threshold.
 _SLACK = 5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / POSITIONS)
 #: Partners of one set that a task confirms at a time.
-_BLOCK = 256
+_BLOCK = 128
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _SEEDS = mix(np.arange(1, POSITIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _STEP = np.uint64(0x100000001B3)
@@ -111,7 +111,8 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     schema = "id long, n long, p1 long, p2 long, sig binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", 2 << 20):
+        kept("near_duplicates")
+        for batch in pieces(batches, "text", 1 << 20):
             sets = shingle_sets(batch.column("text"), width)
             with np.errstate(over="ignore"):
                 prints = [(int(s.sum(dtype=np.uint64).astype(np.int64)), int(mix(s).sum(dtype=np.uint64).astype(np.int64))) for s in sets]
@@ -232,6 +233,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     texts = wanted.join(docs, "id").select("a", "block", "id", "text")
 
     def run(group: pa.Table) -> pa.Table:
+        kept("near_duplicates")
         group = group.combine_chunks()
         ids = group.column("id").to_numpy()
         a = group.column("a")[0].as_py()

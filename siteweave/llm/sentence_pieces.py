@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from siteweave.llm.common import Recent, pieces, schema_with, table
+from siteweave.llm.common import Recent, kept, pieces, schema_with, table
 
 SPACE = "▁"
 #: Stands for a literal U+2581 while a text is encoded; a lone surrogate, so no text from a file holds it.
@@ -141,9 +141,10 @@ class Model:
                 forward[e[1]] = max(forward[e[1]], forward[e[0]] + e[2])
                 by_end[e[1]].append(e)
             known, serial = [], itertools.count()
-            heap = [(-forward[-1], next(serial), len(segment), 0.0, None)]
+            # Among equal totals the way nearest to the start goes on, so ties don't spread the search.
+            heap = [(-forward[-1], len(segment), next(serial), 0.0, None)]
             while heap and len(known) < n:
-                total, _, at, gone, path = heapq.heappop(heap)
+                total, at, _, gone, path = heapq.heappop(heap)
                 if not at:
                     ids = []
                     while path:
@@ -152,7 +153,7 @@ class Model:
                     known.append((-total, self.as_ids(ids)))
                     continue
                 for s, _, score, value in by_end[at]:
-                    heapq.heappush(heap, (-(forward[s] + gone + score), next(serial), s, gone + score, (value, path)))
+                    heapq.heappush(heap, (-(forward[s] + gone + score), s, next(serial), gone + score, (value, path)))
             self.ways[segment] = known
         return known[:n]
 
@@ -201,14 +202,12 @@ class Model:
         return b"".join(map(self.written.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
 
 
-_models: dict[str, Model] = {}
-
-
 def model(path: str) -> Model:
     """This worker's model; it lives on from task to task."""
-    if path not in _models:
-        _models[path] = Model(path)
-    return _models[path]
+    models = kept("sentence_pieces")
+    if path not in models:
+        models[path] = Model(path)
+    return models[path]
 
 
 def encode(df: DataFrame, path: str, n: int = SEGMENTATIONS, text: str = "text", into: str = "segmentations") -> DataFrame:

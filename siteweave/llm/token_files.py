@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteweave.llm.common import Recent, fresh, pieces, table
+from siteweave.llm.common import Recent, fresh, kept, pieces, table
 
 _HEAD = struct.Struct("<QI")
 _TAIL = struct.Struct("<I")
@@ -130,14 +130,12 @@ class WordEncoder:
             yield np.frombuffer(self._ids(text.as_py()) + struct.pack("<I", end_id), dtype="<u4") if whole else next(cut)
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """This worker's encoder; workers live on from task to task, and so do the words they know."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    encoders = kept("token_files")
+    if path not in encoders:
+        encoders[path] = WordEncoder(path)
+    return encoders[path]
 
 
 def filesystem(uri: str):

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteweave.llm.common import Recent, pieces, schema_with, table, utf8
+from siteweave.llm.common import Recent, kept, pieces, schema_with, table, utf8
 
 FIT_TOXIC, FIT_CLEAN, FIT_BYTES = 3_000, 4_000, 1 << 14
 LONGEST = 32
@@ -201,9 +201,6 @@ def labelled(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int],
     return [r["text"] for r in rows], [r["toxic"] for r in rows], counts.get(1, 0) / max(1, sum(counts.values()))
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def score(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity") -> DataFrame:
     """df with the score of its text column."""
     keep = [c for c in df.columns if c != into]
@@ -212,14 +209,15 @@ def score(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         key = zlib.crc32(model.toxic + model.plain + model.weights.tobytes())
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(model)
+        scorers = kept("toxicity")
+        if key not in scorers:
+            scorers.clear()
+            scorers[key] = Scorer(model)
         for batch in pieces(batches, text, 4 << 20):
             raw, offsets = utf8(batch.column(text))
             all_bytes = _FOLD[raw].tobytes()
             texts = [all_bytes[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_scorers[key].score(texts), pa.float64())], names=[*keep, into])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scorers[key].score(texts), pa.float64())], names=[*keep, into])
 
     return df.select(*keep).mapInArrow(run, schema_with(df.select(*keep), **{into: "double"}))
 

@@ -125,11 +125,11 @@ def three_source_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Square zones on a lattice, as rings of (x, y), with a hole in the even ones.
 def _zones(spark: SparkSession) -> DataFrame:
     square = lambda x, y, h: "array(" + ", ".join(f"struct({x} + {dx * h} AS x, {y} + {dy * h} AS y)" for dx, dy in ((-1, -1), (1, -1), (1, 1), (-1, 1))) + ")"
-    cx, cy = "(-76.535D + (id % 5) * 0.01D)", "(3.435D + floor(id / 5) * 0.01D)"
+    cx, cy = "(-76.535003D + (id % 5) * 0.01D)", "(3.435003D + floor(id / 5) * 0.01D)"
     return spark.range(25).selectExpr("id AS pos", "concat('Z', id) AS zona_id", f"CASE WHEN id % 2 = 0 THEN array({square(cx, cy, 0.004)}, {square(cx, cy, 0.001)}) ELSE array({square(cx, cy, 0.004)}) END AS rings")
 
 
-_ZONE_SQL = f"""WITH z AS (SELECT i AS pos, concat('Z', i) AS zona_id, -76.535::DOUBLE + (i % 5) * 0.01::DOUBLE AS cx, 3.435::DOUBLE + floor(i / 5) * 0.01::DOUBLE AS cy FROM range(25) t(i))
+_ZONE_SQL = f"""WITH z AS (SELECT i AS pos, concat('Z', i) AS zona_id, -76.535003::DOUBLE + (i % 5) * 0.01::DOUBLE AS cx, 3.435003::DOUBLE + floor(i / 5) * 0.01::DOUBLE AS cy FROM range(25) t(i))
 SELECT s.sitio_id, z.zona_id FROM ({SITES}) s JOIN z ON abs(s.lon - cx) < 0.004 AND abs(s.lat - cy) < 0.004 AND NOT (z.pos % 2 = 0 AND abs(s.lon - cx) < 0.001 AND abs(s.lat - cy) < 0.001)"""
 
 

@@ -250,12 +250,23 @@ TIERS: tuple[tuple[str, Callable], ...] = (("preregistro", preregistro), ("hands
 CHEAP = ("preregistro", "handshake", "vector", "vector_block", "corner", "geo")
 
 
-def cascade(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG, tiers: tuple[str, ...] = CHEAP) -> DataFrame:
-    """(visita_id, sitio_id, match_method, match_score) for each visit; nulls for those that no tier accepts."""
+def cascade(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG, tiers: tuple[str, ...] | None = None) -> DataFrame:
+    """(visita_id, sitio_id, match_method, match_score) for each visit; nulls for those that no tier accepts.
+
+    All tiers run unless some are named; the embedding tier needs the column emb on both sides.
+    """
     named = dict(TIERS)
+    if tiers is None:
+        tiers = tuple(t for t in named if t != "embedding" or ("emb" in v.columns and "emb" in e.columns))
     found = None
+    if not set(tiers) <= set(CHEAP):
+        v, e = v.localCheckpoint(), e.localCheckpoint()
     for k, name in enumerate(t for t, _ in TIERS if t in tiers):
-        left = v if name in CHEAP or found is None else v.join(found.select("visita_id").distinct(), "visita_id", "left_anti")
+        left = v
+        if name not in CHEAP and found is not None:
+            # The plan ends here, as each later tier reads what is left several times.
+            found = found.localCheckpoint()
+            left = v.join(found.select("visita_id").distinct(), "visita_id", "left_anti").localCheckpoint()
         one = named[name](left, e, c).withColumns({"tier": F.lit(k), "match_method": F.lit(name)})
         found = one if found is None else found.unionByName(one)
     first = F.row_number().over(Window.partitionBy("visita_id").orderBy("tier"))

@@ -102,13 +102,28 @@ _GEO_KEY = f"""near AS (SELECT visita_id, sitio_id, pos, d, ok, g, w, lead(d) OV
 
 def matched(spark: SparkSession, sf_dir: str, last: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     v, e = both(spark, sf_dir)
-    m = linkage.cutoff(linkage.trust(linkage.cascade(v, e), v, e))
+    m = linkage.cutoff(linkage.trust(linkage.cascade(v, e, tiers=linkage.CHEAP), v, e))
+    return (linkage.geo_key(m, v, e) if last else m), v, e
+
+
+def with_embeddings(spark: SparkSession, sf_dir: str, v: DataFrame, e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the column emb: a row of embeddings by the number of the site; null where there is none."""
+    emb = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("vec_id is not null").groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min("embedding").alias("emb"))
+    n = emb.agg(F.count(F.lit(1)).alias("n_emb"))  # one row
+    give = lambda d, k: d.crossJoin(F.broadcast(n)).withColumn("vec_id", F.expr(f"try_mod({k}, n_emb)")).join(emb, "vec_id", "left").drop("vec_id", "n_emb")
+    return give(v, "true_pos").persist(), give(e, "pos").persist()
+
+
+def fully_matched(spark: SparkSession, sf_dir: str, last: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """As matched(), through all ten tiers and with the semantic part of the trust."""
+    v, e = with_embeddings(spark, sf_dir, *both(spark, sf_dir))
+    m = linkage.cutoff(linkage.trust(linkage.cascade(v, e), v, e, semantic=True))
     return (linkage.geo_key(m, v, e) if last else m), v, e
 
 
 @query(f"{_PRE}, {_CASCADE} SELECT * FROM m")
 def cascade_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linkage.cascade(*both(spark, sf_dir))
+    return linkage.cascade(*both(spark, sf_dir), tiers=linkage.CHEAP)
 
 
 @query(f"{_PRE}, {_CASCADE}, {_TRUST} SELECT * FROM c")
@@ -176,6 +191,67 @@ def coords_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.coords_by_source(_records(spark, sf_dir))
 
 
+# The queries above stop at the six tiers that their SQL states. These run all ten; SQL has no text or embedding tier.
+def _full_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m, v, e = fully_matched(spark, sf_dir)
+    return integrate.integrated(integrate.master(e.drop("emb"), m, v.drop("emb")))
+
+
+@query()
+def full_cascade_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkage.cascade(*with_embeddings(spark, sf_dir, *both(spark, sf_dir)))
+
+
+@query()
+def full_trusted_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fully_matched(spark, sf_dir, last=False)[0]
+
+
+@query()
+def full_geo_key_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fully_matched(spark, sf_dir)[0]
+
+
+@query()
+def full_site_linkage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _full_records(spark, sf_dir)
+
+
+@query()
+def full_reliable_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return integrate.reliable(_full_records(spark, sf_dir)).select("registro_id", "trust_score", "lat", "lon")
+
+
+@query()
+def full_consolidated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return integrate.consolidated(_full_records(spark, sf_dir))
+
+
+@query()
+def full_match_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.match_metrics(fully_matched(spark, sf_dir)[0])
+
+
+@query()
+def full_trust_by_method(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.by_method(fully_matched(spark, sf_dir)[0])
+
+
+@query()
+def full_trust_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.trust_histogram(fully_matched(spark, sf_dir)[0])
+
+
+@query()
+def full_records_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.by_source(_full_records(spark, sf_dir))
+
+
+@query()
+def full_coords_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.coords_by_source(_full_records(spark, sf_dir))
+
+
 @query(f"SELECT 'coords' AS seccion, unnest(['total', 'con_coords', 'pct']) AS metrica, unnest([n, k, round(100.0 * k / greatest(n, 1), 2)]) AS valor FROM (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(count(lat) AS DOUBLE) AS k FROM ({SITES}))")
 def flat_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.flatten(metrics.coverage(sites(spark, sf_dir)), "coords")

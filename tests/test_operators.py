@@ -92,3 +92,15 @@ def test_zone_rollup_totals(spark):
     recs = spark.createDataFrame([("Z1", True), ("Z1", False), (None, True), ("Z9", False)], "zona_id string, hecho boolean")
     got = {r["zona_id"]: (r["n_total"], r["n_hechos"]) for r in crossmatch.zone_rollup(zones, recs).collect()}
     assert got == {"Z1": (2, 1), "Z2": (0, 0), "(fuera de zona)": (2, 1)}
+
+
+def test_cascade_runs_all_tiers(spark):
+    far = [(k, f"S{k}", f"CL {k + 20} # {k + 50}-1, Cali", "", 3.45 + k * 1e-5, -76.53, "exif", None) for k in range(3)]
+    e = [*far, (3, "S3", "CL 5 # 4-3, Cali", "", 3.45 + 1e-4, -76.53, "exif", None), (4, "S4", "URBANIZACION LOS GUADUALES TORRE", "", None, None, None, None), (5, "S5", "CR", "", None, None, None, None)]
+    v = [("bridge", "CL 5 # 9-99, Cali", "", 3.45, -76.53, "exif", None), ("text", "URBANIZACION LOS GUADUALES TORRES", "", None, None, None, None), ("emb", "ZZ QQ", "", None, None, None, None), ("none", "YY", "", None, None, None, None)]
+    left, right = sides(spark, e, v)
+    got = matched(left, right)
+    assert got["bridge"] == ("S3", "spatial_bridge") and got["text"][0] == "S4" and got["text"][1] in ("tfidf", "fuzzy") and got["none"] == got["emb"] == (None, None)
+    left = left.withColumn("emb", F.when(F.col("visita_id") == "emb", F.array(F.lit(1.0), F.lit(0.0))))
+    right = right.withColumn("emb", F.when(F.col("sitio_id") == "S5", F.array(F.lit(1.0), F.lit(0.1))))
+    assert matched(left, right) == {**got, "emb": ("S5", "embedding")}

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siteweave.functions import text
-from siteweave.functions.similarity import neighbourhoods_agree, token_set_ratio
+from siteweave.functions.similarity import neighbourhoods_agree, token_set
 from siteweave.operators.geo import near_join
 
 
@@ -186,16 +186,65 @@ def tfidf(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
     return _best(met, F.round("sim", 3), F.desc("sim"), k=5, guard=text.coherent(F.col("v_vec"), F.col("e_vec"), strict=True) & _barrio(c))
 
 
-def fuzzy(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
+def fuzzy_top(asked: list[str], sites: list[tuple[int, str]], least: float, k: int = 5) -> list[tuple[str, int, float]]:
+    """(text, pos, ratio): the k best token-set ratios of each text among all sites, at the floor or above; ties by pos.
+
+    Ratios are computed where a bound by shared words and letters allows the floor.
+    """
+    at: dict[str, list[int]] = {}
+    for pos, t in sorted(sites):
+        at.setdefault(t, []).append(pos)
+    texts = [t for t in at if t.split()]
+    words = [sorted(set(t.split())) for t in texts]
+    size = np.array([len(" ".join(w)) for w in words])
+    column = {ch: j for j, ch in enumerate(sorted({" ", *(ch for t in texts for ch in t)}))}
+    letters = lambda w: np.bincount([column[ch] for ch in " ".join(w) if ch in column], minlength=len(column)).astype(np.int32)
+    counts = np.array([letters(w) for w in words]).reshape(len(words), len(column))
+    index: dict[str, list[int]] = {}
+    for j, w in enumerate(words):
+        for one in w:
+            index.setdefault(one, []).append(j)
+    where = {one: np.array(js) for one, js in index.items()}
+    out = []
+    for t in asked:
+        mine = sorted(set(t.split()))
+        if not mine or not texts:
+            continue
+        own = len(" ".join(mine))
+        shared = np.zeros(len(texts))
+        for one in mine:
+            if one in where:
+                shared[where[one]] += len(one) + 1
+        shared = np.maximum(shared - 1, 0)  # the shared words with spaces between
+        bound = np.maximum(200 * np.minimum(counts, letters(mine)).sum(1) / (own + size), 200 * shared / (shared + np.minimum(own, size)))
+        near = [(-r, pos) for j in np.flatnonzero(bound >= least - 1e-6).tolist() if (r := token_set(t, texts[j])) >= least for pos in at[texts[j]][:k]]
+        out += [(t, pos, -r) for r, pos in sorted(near)[:k]]
+    return out
+
+
+def fuzzy(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG, block: int = 4_096, part: int = 512) -> DataFrame:
     """Of the five best token-set ratios at the floor or above, the first that is coherent and whose neighbourhood agrees.
 
-    Candidates share the whole street numbers, or the road where one side has no other number (blocked mode).
+    All sites are candidates: blocks of them of bounded size meet parts of the visits' distinct texts.
     """
-    keyed = lambda d: d.withColumn("corner", F.transform(text.road_numbers(F.col("vec")), lambda n: n.cast("double")))
-    left, right = _sides(keyed(v.where(F.length("canon") >= c.fuzzy_length)), keyed(e.withColumn("handshake", _similarity_text())), "corner", "handshake")
-    met = left.where(F.size("v_corner") > 0).join(right, F.col("v_corner") == F.col("e_corner"))
-    pairs = met.select("v_canon", F.col("e_handshake")).distinct().withColumn("ratio", token_set_ratio(F.col("v_canon"), F.col("e_handshake"))).where(F.col("ratio") >= c.fuzzy_min)
-    return _best(met.join(pairs, ["v_canon", "e_handshake"]), F.round("ratio", 1), F.desc("ratio"), k=5, guard=text.coherent(F.col("v_vec"), F.col("e_vec"), strict=True) & _barrio(c))
+    sites = e.select("pos", _similarity_text().alias("t"))
+    texts = v.where(F.length("canon") >= c.fuzzy_length).select(F.col("canon").alias("t")).distinct()
+    blocks, parts = max(1, -(-sites.count() // block)), max(1, -(-texts.count() // part))
+    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = texts.withColumn("part", dealt("t", parts)).withColumn("block", every(blocks))
+    right = sites.withColumn("block", dealt("pos", blocks)).withColumn("part", every(parts))
+
+    def top(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        got = fuzzy_top(x["t"].tolist(), list(zip(y["pos"].tolist(), y["t"].tolist(), strict=True)), c.fuzzy_min)
+        return pd.DataFrame({"key_text": pd.Series([g[0] for g in got], dtype="object"), "pos": pd.Series([g[1] for g in got], dtype="int64"), "ratio": pd.Series([g[2] for g in got], dtype="float64")})
+
+    found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(top, "key_text string, pos long, ratio double")
+    rank = F.row_number().over(Window.partitionBy("key_text").orderBy(F.desc("ratio"), "pos"))
+    five = found.withColumn("_k", rank).where("_k <= 5").drop("_k")
+    one, two = _sides(v, e)
+    met = one.join(five, F.col("v_canon") == F.col("key_text")).join(two, F.col("pos") == F.col("e_pos"))
+    return _best(met, F.round("ratio", 1), F.desc("ratio"), k=5, guard=text.coherent(F.col("v_vec"), F.col("e_vec"), strict=True) & _barrio(c))
 
 
 def embedding(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG, block: int = 4_096) -> DataFrame:

@@ -104,3 +104,19 @@ def test_cascade_runs_all_tiers(spark):
     left = left.withColumn("emb", F.when(F.col("visita_id") == "emb", F.array(F.lit(1.0), F.lit(0.0))))
     right = right.withColumn("emb", F.when(F.col("sitio_id") == "S5", F.array(F.lit(1.0), F.lit(0.1))))
     assert matched(left, right) == {**got, "emb": ("S5", "embedding")}
+
+
+def test_fuzzy_meets_all_sites(spark):
+    import random
+
+    from siteweave.functions.similarity import token_set
+
+    rng = random.Random(4)
+    words = ["CL", "KR", "5", "38", "120", "EDIFICIO", "EDIFICI0", "SIN", "NUMERO", "LIDO", "LIDOS", "GRANADA"]
+    made = lambda: " ".join(rng.choice(words) for _ in range(rng.randrange(7)))
+    sites, asked = [(k, made()) for k in range(300)], sorted({made() for _ in range(60)})
+    brute = [(t, pos, -r) for t in asked for r, pos in sorted((-token_set(t, s), pos) for pos, s in sites if token_set(t, s) >= 88)[:5]]
+    assert len(brute) > 50 and linkage.fuzzy_top(asked, sites, 88.0) == brute
+    e = [(0, "S0", "CL 38 # 120-5, Cali", "", None, None, None, None), (1, "S1", "PARQUEADERO LOS GUADUALES, Cali", "", None, None, None, None)]
+    left, right = sides(spark, e, [("V", "PARQUEADEROS LOS GUADUALES, Cali", "", None, None, None, None)])
+    assert [r["sitio_id"] for r in linkage.fuzzy(left, right, block=1, part=1).collect()] == ["S1"]

@@ -27,8 +27,9 @@ KEY = "siteweave"
 ROUNDS = 8
 KINDS = ("email", "phone", "card", "ipv4", "ssn", "date")
 
-# Possessive repeats and look-behinds keep the scan linear in the text.
-_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}+\.)++[A-Za-z]{2,24}(?![A-Za-z0-9])"
+# Possessive repeats and look-behinds keep the scan linear in the text. The labels of a domain (at most 127) are given back one
+# by one, as the last may be followed by the full stop of a sentence.
+_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}+\.){1,126}[A-Za-z]{2,24}(?![A-Za-z0-9])"
 _PHONE = r"(?<![\d+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
 _CARD = r"(?<![\d.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})(?!\d)"
 _IPV4 = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"
@@ -36,7 +37,7 @@ _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 _DATE = r"(?<![\d/-])(?:(?:19|20)\d\d-\d\d-\d\d|\d\d/\d\d/(?:19|20)\d\d)(?![\d/-])"
 PATTERN = "|".join((_EMAIL, _SSN, _DATE, _PHONE, _IPV4, _CARD))
 #: Texts without this hold no value.
-_ANY = r"[0-9A-Za-z]@[0-9A-Za-z]|\d[ )./-]{0,2}\d"
+_ANY = r"@[0-9A-Za-z]|\d[ )./-]{0,2}\d"
 
 
 def permute(l: Column, r: Column, a: Column | int, b: Column | int, tweak: Column, key: str) -> Column:

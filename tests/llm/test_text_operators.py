@@ -131,3 +131,11 @@ def test_toxicity_held_out(spark):
     assert auc > 0.85 and (p[~y] >= 0.5).mean() < 0.05
     one = toxicity.fit(["a"], [1], 0.3)
     assert toxicity.Scorer(one).score([b"", b"x"]).tolist() == [0.3, 0.3]
+
+
+def test_addresses_before_punctuation(spark):
+    texts = ["write to bob@example.com. Then", "bob@example.com", "bob@example.com...", "(bob@example.com)", "bob@example.com, or", "bob@example.com.", "bob@mail.example.com.5 of"]
+    got = pii.pseudonymise(spark.createDataFrame([(k, t) for k, t in enumerate([*texts, "bob_@example.com"])], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["n_email"] for r in got] == [1] * 8 and not any("bob" in r["text"] for r in got)
+    local = got[1]["text"].split("@")[0]
+    assert [r["text"] for r in got[:7]] == [t.replace("bob", local) for t in texts]

@@ -8,7 +8,7 @@ to the child (position, token) if a hash of the path so far and the token falls
 two sets at the threshold share one child of a shared node on average. Branching goes on for as many levels as unrelated
 sets need to part (measured on a bounded sample of signatures, so nodes stay small as the table grows), and beyond that
 wherever a node is still large and mixed. Independent trees are added until the chance that some tree keeps a pair at the
-threshold together reaches the target recall.
+threshold together reaches the target recall; for sets in nodes that were branched further, through all their levels.
 
 In a node, each set is first held against the node's smallest id; these pairs are as many as the sets, however large
 the node. Pairs that the signatures leave open are confirmed on the full sets, and their components are found. What is
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -160,8 +161,9 @@ def _branch(sigs: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np.n
     return row, mix(h[hit] + np.uint64(1))
 
 
-def paths(sigs: DataFrame, levels: int, trees: int, threshold: float, node: str | None = None) -> DataFrame:
-    """(node, id, n, short) of the nodes that each set reaches `levels` below the roots, or below the nodes in its column `node`."""
+def paths(sigs: DataFrame, levels: int, trees: int, threshold: float, node: str | None = None, first: int = 0) -> DataFrame:
+    """(node, id, n, short) of the nodes that each set reaches `levels` below the roots of trees `first` and on, or below the
+    nodes in its column `node`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,7 +176,7 @@ def paths(sigs: DataFrame, levels: int, trees: int, threshold: float, node: str
                 if node:
                     starts = [part.column(node).to_numpy().astype(np.int64).view(np.uint64)]
                 else:
-                    starts = [np.full(len(s), mix(np.array([t + 1], np.uint64))[0]) for t in range(trees)]
+                    starts = [np.full(len(s), mix(np.array([t + 1], np.uint64))[0]) for t in range(first, first + trees)]
                 n = part.column("n").to_numpy()
                 short = _short(s)
                 got_nodes, got_rows = [], []
@@ -260,7 +262,8 @@ def links(docs: DataFrame, sigs: DataFrame, width: int, percent: int, recall: fl
     sample = sigs.orderBy(F.xxhash64("id"), "id").limit(SAMPLED).select("sig").collect()
     arr = np.array([np.frombuffer(r["sig"], "<u2") for r in sample]).reshape(-1, POSITIONS)
     level = levels_for(arr, rows)
-    placed = paths(sigs.select("id", "n", "sig"), level, trees_for(level, recall), threshold)
+    trees = trees_for(level, recall)
+    placed = paths(sigs.select("id", "n", "sig"), level, trees, threshold)
     item = F.struct("id", "n", "short")
     heads = placed.groupBy("node").agg(F.min(item).alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
     nodes = written(placed.withColumn("item", item).join(heads, "node").select("node", "item", "head"), "nodes")
@@ -268,31 +271,46 @@ def links(docs: DataFrame, sigs: DataFrame, width: int, percent: int, recall: fl
     tried = written(_agreeing(star, sigs, threshold), "star")
     edges = [written(confirm(tried, docs, width, percent), "edges")]
     named = written(components(edges[0]), "components")
-    # Nodes whose sets are not all in one component yet: small ones are compared, large ones branched on.
-    for more in range(MORE_LEVELS + 1):
-        labelled = nodes.select("node", "item", F.col("item.id").alias("id")).join(named, "id", "left").select("node", "item", F.coalesce("component", "id").alias("c"))
-        shares = labelled.groupBy("node", "c").agg(F.count(F.lit(1)).alias("k"))
-        main = shares.groupBy("node").agg(F.sum("k").alias("size"), F.max(F.struct("k", "c")).alias("main"))
-        mixed = main.select("node", F.col("main.c").alias("main"), ((F.col("size") - F.col("main.k")) * F.col("size")).alias("work")).where("work > 0")
-        open_ = written(labelled.join(mixed, "node"), "open")
-        here = open_ if more == MORE_LEVELS else open_.where(F.col("work") <= SMALL_NODE)
-        # Each set outside the node's largest component meets all sets of other components.
-        x = here.where("c <> main").select("node", F.col("item").alias("x"), F.col("c").alias("cx"), "main")
-        y = here.select("node", F.col("item").alias("y"), F.col("c").alias("cy"))
-        met = x.join(y, "node").where("cx <> cy and (cy = main or x.id < y.id)").where(_likely("x", "y", threshold))
-        pairs = met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-        edges.append(written(confirm(_agreeing(pairs, sigs, threshold), docs, width, percent), "edges"))
-        remove(nodes)
-        large = open_.where(F.col("work") > SMALL_NODE)
-        if more == MORE_LEVELS or not large.limit(1).count():
-            break
-        deeper = paths(large.select("node", F.col("item.id").alias("id"), "item.n").join(sigs.select("id", "sig"), "id"), 1, 1, threshold, "node")
-        nodes = written(deeper.select("node", item.alias("item")), "nodes")
-        remove(open_)
-    joined = edges[0]
-    for e in edges[1:]:
-        joined = joined.unionByName(e)
-    return components(joined)
+    def descend(nodes: DataFrame, named: DataFrame) -> tuple[DataFrame | None, int]:
+        """Adds the links in nodes whose sets are not all in one component yet: small ones are compared, large ones branched
+        on. Gives the ids that were branched and how many levels further."""
+        branched = None
+        for more in range(MORE_LEVELS + 1):
+            labelled = nodes.select("node", "item", F.col("item.id").alias("id")).join(named, "id", "left").select("node", "item", F.coalesce("component", "id").alias("c"))
+            shares = labelled.groupBy("node", "c").agg(F.count(F.lit(1)).alias("k"))
+            main = shares.groupBy("node").agg(F.sum("k").alias("size"), F.max(F.struct("k", "c")).alias("main"))
+            mixed = main.select("node", F.col("main.c").alias("main"), ((F.col("size") - F.col("main.k")) * F.col("size")).alias("work")).where("work > 0")
+            open_ = written(labelled.join(mixed, "node"), "open")
+            here = open_ if more == MORE_LEVELS else open_.where(F.col("work") <= SMALL_NODE)
+            # Each set outside the node's largest component meets all sets of other components.
+            x = here.where("c <> main").select("node", F.col("item").alias("x"), F.col("c").alias("cx"), "main")
+            y = here.select("node", F.col("item").alias("y"), F.col("c").alias("cy"))
+            met = x.join(y, "node").where("cx <> cy and (cy = main or x.id < y.id)").where(_likely("x", "y", threshold))
+            pairs = met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+            edges.append(written(confirm(_agreeing(pairs, sigs, threshold), docs, width, percent), "edges"))
+            remove(nodes)
+            large = open_.where(F.col("work") > SMALL_NODE)
+            if more == MORE_LEVELS or not large.limit(1).count():
+                break
+            if branched is None:
+                branched = written(large.select(F.col("item.id").alias("id")).distinct(), "branched")
+            deeper = paths(large.select("node", F.col("item.id").alias("id"), "item.n").join(sigs.select("id", "sig"), "id"), 1, 1, threshold, "node")
+            nodes = written(deeper.select("node", item.alias("item")), "nodes")
+            remove(open_)
+        return branched, more
+
+    def joined() -> DataFrame:
+        return reduce(DataFrame.unionByName, edges)
+
+    branched, deepest = descend(nodes, named)
+    # A pair that parts in further levels has met in a branched node; more trees of the branched sets make up for these levels.
+    while branched is not None and (enough := trees_for(level + deepest, recall)) > trees:
+        named = written(components(joined()), "components")
+        placed = paths(sigs.join(branched, "id", "left_semi").select("id", "n", "sig"), level, enough - trees, threshold, first=trees)
+        several = placed.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("node")
+        again = written(placed.withColumn("item", item).join(several, "node").select("node", "item"), "nodes")
+        deepest, trees = max(deepest, descend(again, named)[1]), enough
+    return components(joined())
 
 
 def classes(docs: DataFrame, width: int, percent: int = 80, recall: float = TARGET_RECALL, id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -89,3 +89,24 @@ def test_image_copies(spark):
 def test_target_recall(level):
     n = near_duplicates.trees_for(level, 0.999)
     assert 1 - (1 - near_duplicates.survival(level)) ** n >= 0.999
+
+
+def test_branched_nodes_keep_the_recall(spark, monkeypatch):
+    asked = []
+
+    def counted(sigs, levels, trees, threshold, node=None, first=0):
+        asked.append((levels, trees, node, first))
+        return plain(sigs, levels, trees, threshold, node, first)
+
+    plain = near_duplicates.paths
+    monkeypatch.setattr(near_duplicates, "paths", counted)
+    monkeypatch.setattr(near_duplicates, "SMALL_NODE", 0)
+    monkeypatch.setattr(near_duplicates, "MORE_LEVELS", 1)
+    rng = np.random.default_rng(8)
+    frequent = " ".join(f"f{k}" for k in range(30))
+    rows = [(k, frequent + " " + " ".join(rng.choice([f"w{j}" for j in range(900)], 25))) for k in range(60)]
+    got = near_duplicates.classes(spark.createDataFrame(rows, "doc_id long, text string"), 2, recall=0.9).collect()
+    assert {r["id"]: (r["n"], r["component"]) for r in got} == brute_classes(rows)
+    level = asked[0][0]
+    roots = sum(trees for _, trees, node, _ in asked if node is None)
+    assert any(node for _, _, node, _ in asked) and 1 - (1 - near_duplicates.survival(level + 1)) ** roots >= 0.9

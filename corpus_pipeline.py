@@ -19,7 +19,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below one half; the model is fitted on the labels of the documents at hand."""
     ship(spark)
-    model = toxicity.fit(*toxicity.labelled(docs.select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic")))
+    model = toxicity.fit_bags(*toxicity.labelled(docs.select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic")))
     return toxicity.score(docs, model, into="toxic_score").where("toxic_score < 0.5").select(*docs.columns)
 
 

@@ -8,8 +8,8 @@ the toxic one on windows that stand out in toxic text, the other on windows of o
 each window a log-likelihood ratio, read from a table that was counted on labelled texts not used for the dictionaries;
 a logistic model over a document's windows is the calibrated threshold.
 
-The fit sees a bounded sample of labelled rows (FIT_TOXIC and FIT_CLEAN documents, the first FIT_BYTES of each, in the
-order of a hash of the id). Scoring covers all windows of every text. Null and empty texts have no windows and get the
+The fit sees a bounded sample of labelled rows (FIT_TOXIC and FIT_CLEAN documents, whole, in the order of a hash of the
+id); executors count their windows, and the driver gets each document's distinct windows with counts. Scoring covers all windows of every text. Null and empty texts have no windows and get the
 score of that; texts without a label in the sample change nothing. If the sample lacks one of the classes, every score is
 the share of toxic labels. Repeated rows get equal scores; columns besides id and text are kept by score().
 """
@@ -17,7 +17,8 @@ the share of toxic labels. Repeated rows get equal scores; columns besides id an
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from siteweave.llm.common import Recent, kept, pieces, schema_with, table, utf8
 
-FIT_TOXIC, FIT_CLEAN, FIT_BYTES = 3_000, 4_000, 1 << 14
+FIT_TOXIC, FIT_CLEAN = 3_000, 4_000
 LONGEST = 32
 #: Bytes of a symbol, and of the dictionaries in windows' bytes.
 SYMBOL, TOXIC_DICT, PLAIN_DICT = 4, 4_096, 32_768
@@ -142,16 +143,29 @@ def _doc_counts(docs: list[np.ndarray], size: int) -> np.ndarray:
     return np.bincount(np.concatenate([*docs, np.empty(0, np.int64)]).astype(np.int64), minlength=size).astype(float)
 
 
+def bag(text: str | None) -> tuple[bytes, bytes]:
+    """The distinct windows of a text, joined by spaces, and how often each is in it, as 32-bit numbers."""
+    found = Counter(windows(folded(text)))
+    return b" ".join(found), np.fromiter(found.values(), "<i4", len(found)).tobytes()
+
+
 def fit(texts: list[str], toxic: list[int], share: float, seed: int = 0) -> Model:
     """share: of toxic labels among all, to which the scores are calibrated."""
+    return fit_bags(map(bag, texts), toxic, share, seed)
+
+
+def fit_bags(bags: Iterable[tuple[bytes, bytes]], toxic: list[int], share: float, seed: int = 0) -> Model:
+    """fit() on the bags of the texts."""
     y = np.array(toxic, dtype=bool)
     none = np.empty(0)
     if y.all() or not y.any() or min(y.sum(), (~y).sum()) < 4:
         return Model(b"", b"", none, none, none, none, float(share))
-    folds = [folded(t) for t in texts]
     half = np.arange(len(y)) % 2 == 0
     code: dict[bytes, int] = {}
-    words = [np.unique(np.array([code.setdefault(w, len(code)) for w in windows(t)], dtype=np.int32)) for t in folds]
+    words, often = [], []
+    for names, counts in bags:
+        words.append(np.array([code.setdefault(w, len(code)) for w in names.split()], dtype=np.int32))
+        often.append(np.frombuffer(counts, "<i4"))
     names = list(code)
     del code
     count = lambda want: _doc_counts([words[i] for i in np.flatnonzero(want)], len(names))
@@ -172,10 +186,10 @@ def fit(texts: list[str], toxic: list[int], share: float, seed: int = 0) -> Mode
     rare = 5 / max(5.0, held[0].sum())
     p, q = (h / max(1.0, h.sum()) + rare for h in held)
     ratio = np.log(p / q)
-    del names, words
-    scorer = Scorer(Model(*dicts, ratio, none, none, none, share))
+    value = ratio[cells]
+    del names
     fitted = np.flatnonzero(~half)
-    x, t = np.concatenate([scorer.features([folds[i] for i in fitted[at : at + 200]]) for at in range(0, len(fitted), 200)]), y[fitted]
+    x, t = np.array([_features(np.repeat(value[words[i]], often[i])) for i in fitted]), y[fitted]
     mean, scale = x.mean(0), x.std(0) + 1e-6
     z = np.c_[np.ones(len(x)), (x - mean) / scale]
     prior = min(max(share, 0.01), 0.5)
@@ -187,18 +201,27 @@ def fit(texts: list[str], toxic: list[int], share: float, seed: int = 0) -> Mode
     return Model(*dicts, ratio, mean, scale, w, share)
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int], float]:
-    """The bounded sample for fit() and the share of toxic labels, from rows whose crc32(doc_id) mod 5 is not 0."""
+def labelled(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[bytes, bytes]], list[int], float]:
+    """The bounded sample for fit_bags() and the share of toxic labels, from rows whose crc32(doc_id) mod 5 is not 0."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
     counts = dict(known.groupBy("toxic").count().collect())
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = known.where("toxic = 1").orderBy(*order).limit(FIT_TOXIC).unionByName(known.where("toxic = 0").orderBy(*order).limit(FIT_CLEAN))
     # At most FIT_TOXIC + FIT_CLEAN ids, so the broadcast is bounded; repeated ids add their texts, at most one each.
-    rows = docs.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, FIT_BYTES).alias("text")).join(F.broadcast(ids), "doc_id")
-    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
-    rows.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
-    return [r["text"] for r in rows], [r["toxic"] for r in rows], counts.get(1, 0) / max(1, sum(counts.values()))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("toxicity")
+        for batch in pieces(batches, "text", 4 << 20):
+            bags = [bag(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array([w for w, _ in bags], pa.binary()), pa.array([n for _, n in bags], pa.binary())], names=["doc_id", "toxic", "names", "counts"])
+
+    kinds = dict(rows.dtypes)
+    got = rows.mapInArrow(run, f"doc_id {kinds['doc_id']}, toxic {kinds['toxic']}, names binary, counts binary").collect()
+    got.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
+    return [(bytes(r["names"]), bytes(r["counts"])) for r in got], [r["toxic"] for r in got], counts.get(1, 0) / max(1, sum(counts.values()))
 
 
 def score(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity") -> DataFrame:
@@ -224,7 +247,7 @@ def score(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = fit(*labelled(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic")))
+    model = fit_bags(*labelled(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic")))
     scored = score(docs, model, into="score").drop("text")
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -139,3 +139,12 @@ def test_addresses_before_punctuation(spark):
     assert [r["n_email"] for r in got] == [1] * 8 and not any("bob" in r["text"] for r in got)
     local = got[1]["text"].split("@")[0]
     assert [r["text"] for r in got[:7]] == [t.replace("bob", local) for t in texts]
+
+
+def test_fit_sees_whole_texts(spark):
+    long = "plain word " * 20_000 + "slurword"
+    docs = spark.createDataFrame([(1, long), (1, long), (2, "short text"), (3, None), (9, "unlabelled")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    bags, toxic, _ = toxicity.labelled(docs, labels)
+    got = {t: dict(zip(names.split(), np.frombuffer(n, "<i4").tolist(), strict=True)) for (names, n), t in zip(bags, toxic, strict=True) if names}
+    assert got[1] == {b"plain": 20_000, b"word": 20_000, b"slurword": 1}

@@ -6,25 +6,28 @@ form a class at once; the join runs over one representative of each.
 Each set has a signature of POSITIONS minwise tokens. A tree of the join starts with all sets in its root; a set goes on
 to the child (position, token) if a hash of the path so far and the token falls below 1 / (threshold * POSITIONS), so that
 two sets at the threshold share one child of a shared node on average. Branching goes on for as many levels as unrelated
-sets need to part (measured on a bounded sample of signatures, so nodes stay small as the table grows), and beyond that
-wherever a node is still large and mixed. Independent trees are added until the chance that some tree keeps a pair at the
-threshold together reaches the target recall; for sets in nodes that were branched further, through all their levels.
-
-In a node, each set is first held against the node's smallest id; these pairs are as many as the sets, however large
-the node. Pairs that the signatures leave open are confirmed on the full sets, and their components are found. What is
-left are nodes with sets of several components: there all pairs across components are compared. Links inside a component
-change nothing for it and are not looked for.
+sets need to part (measured on a bounded sample of signatures, so nodes stay small as the table grows); what is still
+together then is alike. Independent trees are added until the chance that some tree keeps a pair at the threshold together
+reaches the target recall.
+
+The sets of a node are compared exhaustively on sketches of two bits a position, packed into four numbers. A node gives one
+row a set: the smallest id that such pairs lead to. Nodes beyond NODE sets are held against their smallest id first, and
+what that leaves open meets the node in blocks. The rows' components are groups that no link leaves, small on the whole.
+A group's texts are brought together once, and all its pairs are compared on the full sets: in one task up to GROUP texts;
+beyond that each text is held against PIVOTS of the group, and those that aren't in the group's main component yet meet
+the whole group in blocks of GROUP by GROUP texts. No list of pairs is made at any point, so what is shuffled follows the
+number of documents, however many of them are alike.
 
 Null, empty and blank texts have an empty set and link with nothing. A text with fewer words than a shingle is one shingle of
-all its words. Texts are taken whole. Rows are told apart by their id; rows that repeat an id count as one document with
-the text that sorts first. Null ids take no part. Other columns are ignored by classes() and kept by deduplicate().
+all its words. Texts are taken whole. Rows are told apart by their id, a whole number or a text of one (other texts raise an
+error); rows that repeat an id count as one document with the text that sorts first. Null ids take no part. Other columns,
+whatever their names, are ignored by classes() and kept by deduplicate().
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,16 +40,16 @@ from siteweave.llm.components import components
 POSITIONS = 128
 THRESHOLD = 0.8
 TARGET_RECALL = 0.9999
-#: Nodes that take up to this many comparisons across components are compared; larger ones are branched on.
-SMALL_NODE = 50_000
-#: Levels that mixed large nodes are branched further; then they are compared whatever their size.
-MORE_LEVELS = 4
+#: Sets of a node that one task compares; larger nodes go in blocks.
+NODE = 2_048
+#: Unrelated sets that a set may meet in a node: comparing so many sketches costs about as much as placing the set once more.
+MATES = 32
+#: Texts of a group that one task compares, and texts that those of a larger group are held against first.
+GROUP, PIVOTS = 512, 16
+#: Nodes beyond NODE whose list is sent to all tasks; a longer list is joined by shuffling.
+LISTED = 100_000
 #: Signatures by which the levels are chosen.
 SAMPLED = 1_000
-#: A pair is confirmed on the full sets unless its signatures agree in fewer positions: 5 standard deviations below the threshold.
-_SLACK = 5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / POSITIONS)
-#: Partners of one set that a task confirms at a time.
-_BLOCK = 128
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _SEEDS = mix(np.arange(1, POSITIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _STEP = np.uint64(0x100000001B3)
@@ -139,7 +142,7 @@ def trees_for(level: int, recall: float) -> int:
 
 
 def levels_for(sample: np.ndarray, rows: int) -> int:
-    """The levels after which an unrelated set shares a node with about two others on average."""
+    """The levels after which a set shares a node with about MATES unrelated ones on average."""
     if len(sample) < 2:
         return 1
     agree = np.concatenate([(sample[k] == sample[k + 1 :]).mean(axis=1) for k in range(len(sample) - 1)])
@@ -147,7 +150,7 @@ def levels_for(sample: np.ndarray, rows: int) -> int:
     if not len(usual):
         return 2
     for level in range(2, 7):
-        if rows * ((usual / THRESHOLD) ** level).mean() <= 2:
+        if rows * ((usual / THRESHOLD) ** level).mean() <= MATES:
             return level
     return 7
 
@@ -161,156 +164,224 @@ def _branch(sigs: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np.n
     return row, mix(h[hit] + np.uint64(1))
 
 
-def paths(sigs: DataFrame, levels: int, trees: int, threshold: float, node: str | None = None, first: int = 0) -> DataFrame:
-    """(node, id, n, short) of the nodes that each set reaches `levels` below the roots of trees `first` and on, or below the
-    nodes in its column `node`."""
+def _sketch(sigs: np.ndarray) -> np.ndarray:
+    """Two bits of each position, in four numbers a signature."""
+    bits = (sigs & 3).astype(np.uint64).reshape(len(sigs), 4, POSITIONS // 4)
+    return np.ascontiguousarray((bits << (2 * np.arange(POSITIONS // 4, dtype=np.uint64))).sum(axis=2, dtype=np.uint64).view(np.int64))
+
+
+def most_apart(threshold: float) -> int:
+    """Sketch positions in which a pair at the threshold can differ: 5 standard deviations beyond the mean."""
+    apart = (1 - threshold) * 0.75
+    return math.floor(POSITIONS * (apart + 5 * math.sqrt(apart * (1 - apart) / POSITIONS)))
+
+
+_PLACED = "node long, id long, n long, s0 long, s1 long, s2 long, s3 long"
+_ODD = 0x5555555555555555
+
+
+def paths(sigs: DataFrame, levels: int, trees: int, threshold: float) -> DataFrame:
+    """(node, id, n, sketch) of the nodes that each set reaches `levels` below the roots of the trees."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("near_duplicates")
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                if not part.num_rows:
-                    continue
                 s = np.frombuffer(b"".join(part.column("sig").to_pylist()), "<u2").reshape(-1, POSITIONS)
-                ids = part.column("id").to_numpy()
-                if node:
-                    starts = [part.column(node).to_numpy().astype(np.int64).view(np.uint64)]
-                else:
-                    starts = [np.full(len(s), mix(np.array([t + 1], np.uint64))[0]) for t in range(first, first + trees)]
-                n = part.column("n").to_numpy()
-                short = _short(s)
                 got_nodes, got_rows = [], []
-                for nodes in starts:
-                    row = np.arange(len(s))
+                for t in range(trees):
+                    nodes, row = np.full(len(s), mix(np.array([t + 1], np.uint64))[0]), np.arange(len(s))
                     for _ in range(levels):
                         child, nodes = _branch(s[row], nodes, threshold)
                         row = row[child]
                     got_nodes.append(nodes)
                     got_rows.append(row)
-                row = np.concatenate(got_rows)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got_nodes).view(np.int64)), pa.array(ids[row]), pa.array(n[row]), pa.array(short[row])], names=["node", "id", "n", "short"])
-
-    return sigs.mapInArrow(run, "node long, id long, n long, short long")
-
-
-def _short(sigs: np.ndarray) -> np.ndarray:
-    """Four bits of 16 positions of each signature, in one number."""
-    bits = (sigs[:, :: POSITIONS // 16] & 15).astype(np.uint64)
-    return (bits << (np.arange(16, dtype=np.uint64) * np.uint64(4))[None, :]).sum(axis=1, dtype=np.uint64).view(np.int64)
-
+                row, sketch = np.concatenate(got_rows), _sketch(s)
+                columns = [np.concatenate(got_nodes).view(np.int64), part.column("id").to_numpy()[row], part.column("n").to_numpy()[row], *(sketch[row, k] for k in range(4))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "id", "n", "s0", "s1", "s2", "s3"])
+
+    return sigs.mapInArrow(run, _PLACED)
+
+
+def heads_of(i: np.ndarray, j: np.ndarray, count: int) -> np.ndarray:
+    """For each of `count` items the least one that the links i, j lead to."""
+    head = np.arange(count)
+    while len(i):
+        a, b = head[i], head[j]
+        open_ = a != b
+        i, j, a, b = i[open_], j[open_], a[open_], b[open_]
+        np.minimum.at(head, np.maximum(a, b), np.minimum(a, b))
+        while (head[head] != head).any():
+            head = head[head]
+    return head
+
+
+def _alike(n: np.ndarray, sketch: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs the sizes and sketches don't rule out."""
+    apart = sketch[i] ^ sketch[j]
+    apart = np.bitwise_count((apart | (apart >> np.uint64(1))) & np.uint64(_ODD)).sum(axis=1, dtype=np.int64)
+    return (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9) & (apart <= most_apart(threshold))
+
+
+def _sketches(rows: pa.Table) -> np.ndarray:
+    return np.stack([rows.column(f"s{k}").to_numpy() for k in range(4)], axis=1).view(np.uint64)
+
+
+def in_nodes(placed: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): each set with an alike one in its node, and the smallest id that alike pairs of the node lead to."""
+
+    def compared(rows: pa.Table) -> pa.RecordBatch:
+        node, ids, n, sketch = (rows.column("node").to_numpy(), rows.column("id").to_numpy(), rows.column("n").to_numpy(), _sketches(rows))
+        pairs, live, step = [], np.arange(len(node)), 0
+        while len(live):  # all pairs that are `step` rows apart
+            step += 1
+            live = live[: np.searchsorted(live, len(node) - step)]
+            live = live[node[live] == node[live + step]]
+            for at in range(0, len(live), 1 << 16):
+                i = live[at : at + (1 << 16)]
+                i = i[_alike(n, sketch, i, i + step, threshold)]
+                pairs.append((i, i + step))
+        i, j = (np.concatenate([p[k] for p in pairs]) if pairs else np.empty(0, np.int64) for k in (0, 1))
+        head = heads_of(i, j, len(ids))
+        other = np.flatnonzero(head != np.arange(len(ids)))
+        return pa.RecordBatch.from_arrays([pa.array(ids[other]), pa.array(ids[head[other]])], names=["a", "b"])
 
-def _likely(x: str, y: str, threshold: float):
-    """The sizes allow the threshold, and 6 of the 16 short positions agree (at the threshold 1 pair in 60,000 falls short)."""
-    other = F.col(f"{x}.short").bitwiseXOR(F.col(f"{y}.short"))
-    other = other.bitwiseOR(F.shiftrightunsigned(other, 1))
-    other = other.bitwiseOR(F.shiftrightunsigned(other, 2)).bitwiseAND(F.lit(0x1111111111111111))
-    small, large = F.least(f"{x}.n", f"{y}.n"), F.greatest(f"{x}.n", f"{y}.n")
-    return (small >= threshold * large - 1e-9) & (F.bit_count(other) <= 10)
-
-
-def _agreeing(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose signatures don't rule the threshold out."""
-    need = threshold - _SLACK
-
-    @F.pandas_udf("boolean")
-    def alike(x, y):
-        import pandas as pd
-
-        return pd.Series([(np.frombuffer(a, "<u2") == np.frombuffer(b, "<u2")).mean() >= need for a, b in zip(x, y, strict=True)])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([rest, rows]).combine_chunks() if rest is not None else rows
+            node = rows.column("node").to_numpy()
+            whole = int(np.searchsorted(node, node[-1]))  # the last node may go on in the next batch
+            rest = rows.slice(whole)
+            if whole:
+                yield compared(rows.slice(0, whole))
+        if rest is not None:
+            yield compared(rest)
 
-    left = sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa"))
-    right = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb"))
-    return pairs.join(right, "b").join(left, "a").where(alike("sa", "sb")).select("a", "b")
+    return placed.repartition("node").sortWithinPartitions("node", "id").mapInArrow(run, "a long, b long")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union, on the full sets.
+def dealt(rows: DataFrame, by: str, first, counts: DataFrame, most: int) -> DataFrame:
+    """rows in blocks: those with the condition `first` as chunks of `most`, each with all chunks of the rows. Adds cx, cy and side.
 
-    The texts of b go to a in blocks of bounded size, each with one copy of the text of a.
+    counts: by, k (rows) and f (rows with the condition). A row is in as many blocks as the other side has chunks.
     """
-    sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners"))
-    blocked = pairs.join(sizes, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.ceil(F.col("partners") / _BLOCK))).drop("partners")
-    blocked = written(blocked, "pairs")
-    wanted = blocked.select("a", "block", F.col("b").alias("id")).unionByName(blocked.select("a", "block", F.col("a").alias("id")).distinct())
-    texts = wanted.join(docs, "id").select("a", "block", "id", "text")
+    known = rows.join(counts, by).withColumn("kx", F.ceil(F.col("f") / most)).withColumn("ky", F.ceil(F.col("k") / most)).where("f > 0")
+    hashed = F.xxhash64("id", by)
+    x = known.where(first).withColumn("cx", F.pmod(hashed, "kx")).withColumn("cy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ky") - 1))).withColumn("side", F.lit(0))
+    y = known.withColumn("cy", F.pmod(hashed, "ky")).withColumn("cx", F.explode(F.sequence(F.lit(0).cast("long"), F.col("kx") - 1))).withColumn("side", F.lit(1))
+    return x.unionByName(y.select(x.columns)).drop("k", "f", "kx", "ky")
+
+
+def in_large_nodes(placed: DataFrame, threshold: float) -> DataFrame:
+    """What in_nodes() gives, for nodes of any size: sets alike to the node's smallest id, and the others against all in blocks."""
+    rows = written(placed, "large-nodes")
+    least = rows.groupBy("node").agg(F.min("id").alias("id"))
+    head = least.join(rows, ["node", "id"]).select("node", F.col("id").alias("head"), F.col("n").alias("hn"), *(F.col(f"s{k}").alias(f"h{k}") for k in range(4)))
+    parts = [F.col(f"s{k}").bitwiseXOR(F.col(f"h{k}")) for k in range(4)]
+    apart = sum((F.bit_count(p.bitwiseOR(F.shiftrightunsigned(p, 1)).bitwiseAND(F.lit(_ODD))) for p in parts), F.lit(0))
+    near = (F.least("n", "hn") >= threshold * F.greatest("n", "hn") - 1e-9) & (apart <= most_apart(threshold))
+    held = written(rows.join(head, "node").withColumn("near", near).select(*rows.columns, "head", "near"), "held")
+    counts = held.groupBy("node").agg(F.count(F.lit(1)).alias("k"), F.count_if(~F.col("near")).alias("f"))
 
     def run(group: pa.Table) -> pa.Table:
-        kept("near_duplicates")
         group = group.combine_chunks()
-        ids = group.column("id").to_numpy()
-        a = group.column("a")[0].as_py()
-        sets, seen = [], 0
-        for batch in pieces(group.to_batches(), "text", 2 << 20):
-            sets += shingle_sets(batch.column("text"), width)
-        own = sets[int(np.flatnonzero(ids == a)[0])]
-        out = []
-        for i, s in zip(ids.tolist(), sets, strict=True):
-            seen += 1
-            if i != a:
-                common = np.intersect1d(own, s, assume_unique=True).size
-                if 100 * common >= percent * (len(own) + len(s) - common):
-                    out.append(i)
-        return pa.table({"a": pa.array([a] * len(out), pa.int64()), "b": pa.array(out, pa.int64())})
-
-    return texts.groupBy("a", "block").applyInArrow(run, "a long, b long")
-
-
-def links(docs: DataFrame, sigs: DataFrame, width: int, percent: int, recall: float) -> DataFrame:
-    """(id, component) of the representatives in sigs (id, n, sig) that a link joins to another."""
+        ids, n, sketch, side = group.column("id").to_numpy(), group.column("n").to_numpy(), _sketches(group), group.column("side").to_numpy()
+        xs, ys, pairs = np.flatnonzero(side == 0), np.flatnonzero(side == 1), []
+        for x in xs:
+            j = ys[_alike(n, sketch, np.full(len(ys), x), ys, threshold)]
+            pairs.append((np.full(len(j), x), j))
+        i, j = (np.concatenate([p[k] for p in pairs]) if pairs else np.empty(0, np.int64) for k in (0, 1))
+        head = heads_of(i, j, len(ids))
+        return pa.table({"a": pa.array(ids), "b": pa.array(ids[head])})
+
+    blocks = dealt(held.drop("head"), "node", ~F.col("near"), counts, NODE)
+    met = blocks.groupBy("node", "cx", "cy").applyInArrow(run, "a long, b long")
+    return held.where("near").select(F.col("id").alias("a"), F.col("head").alias("b")).unionByName(met).where("a <> b")
+
+
+def groups(sigs: DataFrame, percent: int, recall: float) -> DataFrame:
+    """(id, component) of groups of representatives in sigs (id, n, sig) that no link leaves; ids alone are left out."""
     threshold = percent / 100
     rows = sigs.count()
     sample = sigs.orderBy(F.xxhash64("id"), "id").limit(SAMPLED).select("sig").collect()
-    arr = np.array([np.frombuffer(r["sig"], "<u2") for r in sample]).reshape(-1, POSITIONS)
-    level = levels_for(arr, rows)
-    trees = trees_for(level, recall)
-    placed = paths(sigs.select("id", "n", "sig"), level, trees, threshold)
-    item = F.struct("id", "n", "short")
-    heads = placed.groupBy("node").agg(F.min(item).alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
-    nodes = written(placed.withColumn("item", item).join(heads, "node").select("node", "item", "head"), "nodes")
-    star = nodes.where("item.id <> head.id").where(_likely("item", "head", threshold)).select(F.col("head.id").alias("a"), F.col("item.id").alias("b")).distinct()
-    tried = written(_agreeing(star, sigs, threshold), "star")
-    edges = [written(confirm(tried, docs, width, percent), "edges")]
-    named = written(components(edges[0]), "components")
-    def descend(nodes: DataFrame, named: DataFrame) -> tuple[DataFrame | None, int]:
-        """Adds the links in nodes whose sets are not all in one component yet: small ones are compared, large ones branched
-        on. Gives the ids that were branched and how many levels further."""
-        branched = None
-        for more in range(MORE_LEVELS + 1):
-            labelled = nodes.select("node", "item", F.col("item.id").alias("id")).join(named, "id", "left").select("node", "item", F.coalesce("component", "id").alias("c"))
-            shares = labelled.groupBy("node", "c").agg(F.count(F.lit(1)).alias("k"))
-            main = shares.groupBy("node").agg(F.sum("k").alias("size"), F.max(F.struct("k", "c")).alias("main"))
-            mixed = main.select("node", F.col("main.c").alias("main"), ((F.col("size") - F.col("main.k")) * F.col("size")).alias("work")).where("work > 0")
-            open_ = written(labelled.join(mixed, "node"), "open")
-            here = open_ if more == MORE_LEVELS else open_.where(F.col("work") <= SMALL_NODE)
-            # Each set outside the node's largest component meets all sets of other components.
-            x = here.where("c <> main").select("node", F.col("item").alias("x"), F.col("c").alias("cx"), "main")
-            y = here.select("node", F.col("item").alias("y"), F.col("c").alias("cy"))
-            met = x.join(y, "node").where("cx <> cy and (cy = main or x.id < y.id)").where(_likely("x", "y", threshold))
-            pairs = met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-            edges.append(written(confirm(_agreeing(pairs, sigs, threshold), docs, width, percent), "edges"))
-            remove(nodes)
-            large = open_.where(F.col("work") > SMALL_NODE)
-            if more == MORE_LEVELS or not large.limit(1).count():
-                break
-            if branched is None:
-                branched = written(large.select(F.col("item.id").alias("id")).distinct(), "branched")
-            deeper = paths(large.select("node", F.col("item.id").alias("id"), "item.n").join(sigs.select("id", "sig"), "id"), 1, 1, threshold, "node")
-            nodes = written(deeper.select("node", item.alias("item")), "nodes")
-            remove(open_)
-        return branched, more
-
-    def joined() -> DataFrame:
-        return reduce(DataFrame.unionByName, edges)
-
-    branched, deepest = descend(nodes, named)
-    # A pair that parts in further levels has met in a branched node; more trees of the branched sets make up for these levels.
-    while branched is not None and (enough := trees_for(level + deepest, recall)) > trees:
-        named = written(components(joined()), "components")
-        placed = paths(sigs.join(branched, "id", "left_semi").select("id", "n", "sig"), level, enough - trees, threshold, first=trees)
-        several = placed.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("node")
-        again = written(placed.withColumn("item", item).join(several, "node").select("node", "item"), "nodes")
-        deepest, trees = max(deepest, descend(again, named)[1]), enough
-    return components(joined())
+    level = levels_for(np.array([np.frombuffer(r["sig"], "<u2") for r in sample]).reshape(-1, POSITIONS), rows)
+    placed = paths(sigs.select("id", "n", "sig"), level, trees_for(level, recall), threshold)
+    large = written(placed.select("node").groupBy("node").count().where(F.col("count") > NODE).select("node"), "large")
+    few = large.count()
+    if few:
+        listed = F.broadcast(large) if few <= LISTED else large.hint("merge")
+        alike = in_nodes(placed.join(listed, "node", "left_anti"), threshold).unionByName(in_large_nodes(placed.join(listed, "node", "left_semi"), threshold))
+    else:
+        alike = in_nodes(placed, threshold)
+    return components(alike)
+
+
+def linked(sets: list[np.ndarray], xs: np.ndarray, ys: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of xs and ys with 100 * intersection >= percent * union, on whole sets."""
+    sizes = np.array([len(s) for s in sets])
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    of_y = np.concatenate([codes[starts[y] : starts[y + 1]] for y in ys])
+    begin = np.concatenate([[0], np.cumsum(sizes[ys])])[:-1]
+    mark = np.zeros(int(codes.max()) + 1, np.int32)
+    found = []
+    for x in xs:
+        own = codes[starts[x] : starts[x + 1]]
+        mark[own] = 1
+        common = np.add.reduceat(mark[of_y], begin)
+        mark[own] = 0
+        j = ys[(100 * common >= percent * (sizes[x] + sizes[ys] - common)) & (ys != x)]
+        found.append((np.full(len(j), x), j))
+    return tuple(np.concatenate([f[k] for f in found]) for k in (0, 1))
+
+
+def confirmed(rows: DataFrame, by: list[str], width: int, percent: int) -> DataFrame:
+    """(a, b) for each group `by` of rows (id, text, side): a text and the smallest id that links of the group lead to.
+
+    Texts of side 0 are compared with all, those of side 1 with those of side 0.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        kept("near_duplicates")
+        group = group.combine_chunks().sort_by("id")
+        ids, side = group.column("id").to_numpy(), group.column("side").to_numpy()
+        sets = [s for batch in pieces(group.to_batches(), "text", 2 << 20) for s in shingle_sets(batch.column("text"), width)]
+        same = np.flatnonzero(ids[1:] == ids[:-1])
+        i, j = linked(sets, np.flatnonzero(side == 0), np.arange(len(ids)), percent) if (side == 0).any() else (same, same)
+        head = heads_of(np.concatenate([i, same]), np.concatenate([j, same + 1]), len(ids))
+        return pa.table({"a": pa.array(ids), "b": pa.array(ids[head])})
+
+    return rows.select(*by, "id", "text", "side").groupBy(*by).applyInArrow(run, "a long, b long").where("a <> b")
+
+
+def links(docs: DataFrame, grouped: DataFrame, width: int, percent: int) -> DataFrame:
+    """(id, component) of the documents in grouped (id, component: the group) that a link joins to another of their group."""
+    of = grouped.select("id", F.col("component").alias("of"))
+    sizes = of.groupBy("of").agg(F.count(F.lit(1)).alias("k"))
+    texts = written(of.join(sizes, "of").join(docs, "id").select("id", "of", "k", "text"), "alike")
+    small = confirmed(texts.where(F.col("k") <= GROUP).withColumn("side", F.lit(0)), ["of"], width, percent)
+    small = written(small.select(F.col("a").alias("id"), F.col("b").alias("component")), "small")
+    small = small.unionByName(small.select(F.col("component").alias("id"), "component").distinct())
+    large = texts.where(F.col("k") > GROUP)
+    if not large.limit(1).count():
+        return small
+    chunks = F.ceil(F.col("k") / GROUP)
+    pivots = large.groupBy("of", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(PIVOTS)).alias("part")).agg(F.min("id").alias("id")).select("id")
+    spread = large.join(pivots, "id").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1))).withColumn("side", F.lit(0))
+    own = large.join(pivots, "id", "left_anti").withColumn("chunk", F.pmod(F.xxhash64("id"), chunks)).withColumn("side", F.lit(1))
+    edges = written(confirmed(spread.unionByName(own), ["of", "chunk"], width, percent), "edges")
+    named = written(components(edges), "named")
+    labelled = written(large.select("id", "of", "k").join(named, "id", "left").select("id", "of", "k", F.coalesce("component", "id").alias("c")), "labelled")
+    main = labelled.groupBy("of", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("of").agg(F.max(F.struct("n", "c")).alias("m"), F.sum("n").alias("k"))
+    counts = written(main.select("of", F.col("m.c").alias("main"), "k", (F.col("k") - F.col("m.n")).alias("f")), "counts")
+    open_ = large.select("id", "text").join(labelled.join(counts.select("of", "main"), "of").select("id", "of", (F.col("c") != F.col("main")).alias("open")), "id")
+    more = confirmed(dealt(open_, "of", F.col("open"), counts.select("of", "k", "f"), GROUP), ["of", "cx", "cy"], width, percent)
+    return small.unionByName(components(edges.unionByName(written(more, "edges"))))
 
 
 def classes(docs: DataFrame, width: int, percent: int = 80, recall: float = TARGET_RECALL, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -325,7 +396,7 @@ def classes(docs: DataFrame, width: int, percent: int = 80, recall: float = TARG
     member = written(member, "members")
     reps = written(every.where("n > 0").join(same.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "sig"), "representatives")
     remove(every)
-    named = links(rows, reps, width, percent, recall).select(F.col("id").alias("rep"), "component")
+    named = links(rows, groups(reps, percent, recall), width, percent).select(F.col("id").alias("rep"), "component")
     return member.join(named, "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
 
 

@@ -91,22 +91,23 @@ def test_target_recall(level):
     assert 1 - (1 - near_duplicates.survival(level)) ** n >= 0.999
 
 
-def test_branched_nodes_keep_the_recall(spark, monkeypatch):
-    asked = []
+def template(rng, count, frequent=30, own=25):
+    shared = " ".join(f"f{k}" for k in range(frequent))
+    return [(k, shared + " " + " ".join(rng.choice([f"w{j}" for j in range(900)], own))) for k in range(count)]
 
-    def counted(sigs, levels, trees, threshold, node=None, first=0):
-        asked.append((levels, trees, node, first))
-        return plain(sigs, levels, trees, threshold, node, first)
 
-    plain = near_duplicates.paths
-    monkeypatch.setattr(near_duplicates, "paths", counted)
-    monkeypatch.setattr(near_duplicates, "SMALL_NODE", 0)
-    monkeypatch.setattr(near_duplicates, "MORE_LEVELS", 1)
+@pytest.mark.parametrize(("node", "group"), [(2048, 512), (8, 512), (2048, 16), (8, 4)])
+def test_large_nodes_and_groups_equal_brute_force(spark, monkeypatch, node, group):
+    monkeypatch.setattr(near_duplicates, "NODE", node)
+    monkeypatch.setattr(near_duplicates, "GROUP", group)
+    monkeypatch.setattr(near_duplicates, "PIVOTS", 3)
     rng = np.random.default_rng(8)
-    frequent = " ".join(f"f{k}" for k in range(30))
-    rows = [(k, frequent + " " + " ".join(rng.choice([f"w{j}" for j in range(900)], 25))) for k in range(60)]
-    got = near_duplicates.classes(spark.createDataFrame(rows, "doc_id long, text string"), 2, recall=0.9).collect()
+    base = [f"b{k}" for k in range(60)]
+    rows = template(rng, 40)
+    for k in range(100, 260):  # copies of one text, edited so that many pairs lie on both sides of the threshold
+        w = list(base)
+        for _ in range(rng.integers(1, 9)):
+            w[rng.integers(len(w))] = f"e{rng.integers(500)}"
+        rows.append((k, " ".join(w)))
+    got = near_duplicates.classes(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
     assert {r["id"]: (r["n"], r["component"]) for r in got} == brute_classes(rows)
-    level = asked[0][0]
-    roots = sum(trees for _, trees, node, _ in asked if node is None)
-    assert any(node for _, _, node, _ in asked) and 1 - (1 - near_duplicates.survival(level + 1)) ** roots >= 0.9

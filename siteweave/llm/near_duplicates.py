@@ -363,7 +363,8 @@ def links(docs: DataFrame, grouped: DataFrame, width: int, percent: int) -> Data
     """(id, component) of the documents in grouped (id, component: the group) that a link joins to another of their group."""
     of = grouped.select("id", F.col("component").alias("of"))
     sizes = of.groupBy("of").agg(F.count(F.lit(1)).alias("k"))
-    texts = written(of.join(sizes, "of").join(docs, "id").select("id", "of", "k", "text"), "alike")
+    # Joined by shuffling at every size: the ids grow with the documents, so they are never sent to all tasks.
+    texts = written(of.join(sizes, "of").hint("merge").join(docs, "id").select("id", "of", "k", "text"), "alike")
     small = confirmed(texts.where(F.col("k") <= GROUP).withColumn("side", F.lit(0)), ["of"], width, percent)
     small = written(small.select(F.col("a").alias("id"), F.col("b").alias("component")), "small")
     small = small.unionByName(small.select(F.col("component").alias("id"), "component").distinct())
@@ -392,9 +393,9 @@ def classes(docs: DataFrame, width: int, percent: int = 80, recall: float = TARG
         rows = rows.groupBy("id").agg(F.min("text").alias("text"))
         every = written(signatures(rows, width), "signatures")
     same = every.where("n > 0").groupBy("p1", "p2", "n").agg(F.min("id").alias("rep"))
-    member = every.select("id", "n", "p1", "p2").join(same, ["p1", "p2", "n"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
+    member = every.select("id", "n", "p1", "p2").join(same.hint("merge"), ["p1", "p2", "n"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
     member = written(member, "members")
-    reps = written(every.where("n > 0").join(same.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "sig"), "representatives")
+    reps = written(every.where("n > 0").join(same.select(F.col("rep").alias("id")).hint("merge"), "id", "left_semi").select("id", "n", "sig"), "representatives")
     remove(every)
     named = links(rows, groups(reps, percent, recall), width, percent).select(F.col("id").alias("rep"), "component")
     return member.join(named, "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))

@@ -74,15 +74,74 @@ def test_neighbours_recall_and_ties(spark):
     assert neighbours.search(df.limit(0), lambda i: i % 50 == 0).count() == 0
 
 
-def test_image_copies(spark):
+def fields(rng, count, size=80):
+    out = [128 + 50 * (f - f.mean()) / f.std() for f in (image_copies._box(image_copies._box(rng.normal(0, 1, (size, size)), 1), 1) for _ in range(count))]
+    return np.clip(np.round(np.stack(out)), 0, 255).astype(np.float32)
+
+
+def resized(image, factor):
+    h, w = (round(n * factor) for n in image.shape)
+    return image_copies._resampled(image.shape[0], h) @ image @ image_copies._resampled(image.shape[1], w).T
+
+
+EDITS = {
+    "crop": lambda x, rng: x[:, :50],
+    "quarter turn": lambda x, rng: np.rot90(x).copy(),
+    "0.5": lambda x, rng: resized(x, 0.5),
+    "0.75": lambda x, rng: resized(x, 0.75),
+    "1.5": lambda x, rng: resized(x, 1.5),
+    "brightness": lambda x, rng: 0.7 * x + 40,
+    "noise": lambda x, rng: x + rng.normal(0, 8, x.shape),
+    "levels": lambda x, rng: np.round(x / 16) * 16,
+    "blur": lambda x, rng: image_copies._box(x, 1),
+}
+
+
+@pytest.mark.parametrize("kind", EDITS)
+def test_image_edits_are_recalled(kind):
+    rng = np.random.default_rng(6)
+    images = fields(rng, 30)
+    got = [image_copies.corners(x[None])[0] for x in images]
+    edited = [image_copies.corners(np.clip(np.round(EDITS[kind](x, rng)), 0, 255).astype(np.float32)[None])[0] for x in images]
+    assert np.mean([image_copies.alike(a, b) for a, b in zip(got, edited, strict=True)]) >= 0.9
+    assert not any(image_copies.alike(got[k], edited[k - 1]) for k in range(30))
+
+
+def brute_copies(rows):
+    """Components of all pairs of images that alike() calls copies."""
+    seen = {i: image_copies.corners(image_copies.read_pgm(d)[None])[0] for i, d in rows if image_copies.read_pgm(d) is not None}
+    label = {i: i for i, _ in rows}
+    for a in seen:
+        for b in seen:
+            if a < b and label[a] != label[b] and image_copies.alike(seen[a], seen[b]):
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = {i: new if c == old else c for i, c in label.items()}
+    return label
+
+
+def test_image_copies_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    wide = fields(rng, 1, 200)[0]
+    rows = [(k, image_copies.write_pgm(x)) for k, x in enumerate(fields(rng, 20))]
+    for k in range(100, 180):  # many crops of one large picture: few overlap with the first
+        y, x, n = rng.integers(0, 110, 2).tolist() + [int(rng.integers(60, 90))]
+        rows.append((k, image_copies.write_pgm(wide[y : y + n, x : x + n])))
+    rows += [(k + 300, image_copies.write_pgm(EDITS["0.75"](image_copies.read_pgm(rows[k][1]), rng))) for k in range(0, 20, 3)]
+    rows += [(400, rows[3][1]), (401, rows[3][1]), (402, b""), (403, None), (404, b"junk"), (405, image_copies.write_pgm(np.full((50, 50), 9.0)))]
+    want = brute_copies(rows)
+    df = spark.createDataFrame([(i, d, "x", 1) for i, d in [*rows, rows[0], rows[0], (None, rows[1][1])]], "media_id long, image binary, bucket string, k int")
+    got = {r["id"]: r["component"] for r in image_copies.classes(df).collect()}
+    assert got.keys() == want.keys()
+    assert np.mean([got[i] == want[i] for i in got]) >= 0.95 and len({got[k] for k in range(100, 180)}) <= 4 and all(got[i] == i for i in (402, 403, 404, 405))
+    assert image_copies.classes(df.limit(0)).count() == 0
+
+
+def test_rendered_copies(spark):
     rng = np.random.default_rng(4)
     vectors = spark.createDataFrame([(k, rng.normal(size=32).tolist()) for k in range(40)] + [(90, None)], "vec_id long, embedding array<double>")
-    images = image_copies.rendered(vectors)
-    got = {r["id"]: r["component"] for r in image_copies.classes(images).collect()}
+    got = {r["id"]: r["component"] for r in image_copies.classes(image_copies.rendered(vectors)).collect()}
     edits = [i for i in got if i < 0 and i != -91]
     assert edits and all(got[i] == got[-1 - i] for i in edits) and len({got[i] for i in range(40)}) == 40
-    flat = spark.createDataFrame([(1, b""), (2, None), (3, b"junk"), (4, image_copies.write_pgm(np.full((50, 50), 9.0)))], "media_id long, image binary")
-    assert {r["id"]: r["component"] for r in image_copies.classes(flat).collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
 
 
 @pytest.mark.parametrize("level", [2, 3])

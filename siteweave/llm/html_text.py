@@ -3,8 +3,10 @@
 A tokenizer feeds a tree builder that supplies the end tags which HTML implies (p, li, dt, dd, option, table parts) and
 closes what is left open. The tree is kept as its walk (open, text, close), so depth costs no recursion. The renderer
 follows it with visibility rules: elements that are never shown, the hidden attribute, inline display:none and
-visibility:hidden, and the page's own style rules for a tag, .class, #id or tag.class. Paragraph-like blocks are set off
-by a blank line, other blocks by a new line; list items get bullets or numbers by depth; cells are padded to columns.
+visibility (inherited; a visible child of a hidden element shows), and the page's own style rules for a tag, .class, #id or
+tag.class. Paragraph-like blocks are set off by a blank line, other blocks by a new line; list items get bullets or numbers
+by depth; cells are padded to columns, also where others span columns or rows above them. Attributes that should be
+numbers and aren't, or have more than nine digits, count as not given.
 
 Null and empty pages give an empty text. Whole pages are rendered, however long. Repeated rows give repeated results;
 columns besides the HTML are kept by extract(), except one named like the result, which it replaces.
@@ -22,11 +24,12 @@ from pyspark.sql import functions as F
 
 from siteweave.llm.common import pieces, schema_with, table
 
-_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*(?:\"[^\"]*\"|'[^']*')?)*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 _RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_HIDES = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
-_SHOWS = re.compile(r"visibility\s*:\s*visible", re.I)
+_NONE = re.compile(r"display\s*:\s*none", re.I)
+_SIGHT = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+_WHOLE = re.compile(r"\s*([+-]?)0*(\d{1,9})(?!\d)")
 _SIMPLE = re.compile(r"(\*|[a-zA-Z][\w-]*)?(?:([.#])([\w-]+))?\Z")
 _GAPS = re.compile(r"[ \t\n\f\r]+")
 
@@ -126,16 +129,30 @@ def tree(page: str) -> Iterator[tuple[str, str, dict[str, str] | None]]:
         yield pop()
 
 
-def hiding_rules(css: str) -> set[tuple[str, str, str]]:
-    """(tag or '', '.' or '#' or '', name) of the simple selectors whose rules hide."""
-    out = set()
-    if _HIDES.search(css):
+def whole_number(value: str, otherwise: int) -> int:
+    """The number that an attribute begins with; numbers beyond nine digits, and no numbers, count as `otherwise`."""
+    m = _WHOLE.match(value)
+    return int(m[1] + m[2]) if m else otherwise
+
+
+def _style(css: str) -> str:
+    """What declarations do to an element: 'none' takes it out, 'hidden' and 'visible' set its sight, '' nothing."""
+    if _NONE.search(css):
+        return "none"
+    sight = _SIGHT.findall(css)
+    return "" if not sight else "visible" if sight[-1].lower() == "visible" else "hidden"
+
+
+def hiding_rules(css: str) -> dict[tuple[str, str, str], str]:
+    """(tag or '', '.' or '#' or '', name) of the simple selectors, with what their rules do."""
+    out = {}
+    if _style(css):
         for m in _RULE.finditer(re.sub(r"/\*.*?\*/", "", css, flags=re.S)):
-            if _HIDES.search(m[2]):
+            if does := _style(m[2]):
                 for selector in m[1].split(","):
                     if s := _SIMPLE.match(selector.strip()):
                         if s[0] and s[0] != "*":
-                            out.add(((s[1] or "").lower().replace("*", ""), s[2] or "", s[3] or ""))
+                            out[(s[1] or "").lower().replace("*", ""), s[2] or "", s[3] or ""] = does
     return out
 
 
@@ -196,9 +213,30 @@ class Flow:
         return "\n".join(self.lines)
 
 
-def _grid(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Rows of (lines, columns spanned) as lines with the columns aligned."""
+def _placed(rows: list[list[tuple[list[str], int, int]]]) -> list[list[tuple[list[str], int]]]:
+    """Rows of (lines, columns, rows) spanned as rows of (lines, columns), with empty cells below those that span rows."""
+    busy: dict[int, int] = {}  # rows that a cell above still takes, by column
+    out = []
+    for row in rows:
+        cells, at, below = [], 0, {}
+        for lines, span, down in row:
+            while busy.get(at):
+                cells.append(([], 1))
+                at += 1
+            cells.append((lines, span))
+            below |= dict.fromkeys(range(at, at + span), down - 1) if down > 1 else {}
+            at += span
+        for k in range(at, max((c for c, n in busy.items() if n), default=-1) + 1):
+            cells.append(([], 1))
+        busy = {c: n - 1 for c, n in busy.items() if n > 1} | {c: n for c, n in below.items() if n}
+        out.append(cells)
+    return out
+
+
+def _grid(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
+    """Rows of (lines, columns spanned, rows spanned) as lines with the columns aligned."""
     widths: list[int] = []
+    rows = _placed(rows)
     for row in rows:
         k = 0
         for lines, span in row:
@@ -222,17 +260,18 @@ def _grid(rows: list[list[tuple[list[str], int]]]) -> list[str]:
 def render(page: str | None) -> str:
     """The visible text of a page."""
     flows, tables, lists = [Flow()], [], []
-    hidden = 0  # depth below a hidden element
+    hidden = 0  # depth below an element that is taken out
     shown: list[bool] = []
+    sight = [True]  # of the open elements: visibility is inherited, and a visible child of a hidden element shows
     pre = 0
-    rules: set[tuple[str, str, str]] = set()
+    rules: dict[tuple[str, str, str], str] = {}
     in_style = pre_starts = False
     for kind, value, attrs in tree(page or ""):
         flow = flows[-1]
         if kind == "text":
             if in_style:
                 rules |= hiding_rules(value)
-            elif not hidden and value:
+            elif not hidden and value and sight[-1]:
                 if pre:
                     value = value.replace("\r\n", "\n")
                     flow.verbatim(value.removeprefix("\n") if pre_starts else value)
@@ -243,23 +282,25 @@ def render(page: str | None) -> str:
         tag = value
         if kind == "open":
             in_style = tag == "style"
-            hides = tag in NEVER or bool(attrs) and _hidden(tag, attrs) or bool(rules) and _by_rule(tag, attrs, rules)
-            if hidden or hides:
+            does = "none" if tag in NEVER else _effect(tag, attrs, rules) if attrs or rules else ""
+            if hidden or does == "none":
                 if tag not in VOID:
                     hidden += 1
                     shown.append(False)
                 continue
+            seen = does == "visible" if does else sight[-1]
             if tag not in VOID:
                 shown.append(True)
+                sight.append(seen)
             if tag == "br":
                 flow.end_line(empty=True)
             elif tag == "hr":
                 flow.block(2)
                 flow.paste(["-" * 8])
                 flow.block(2)
-            elif tag == "img" and attrs.get("alt", "").strip():
+            elif tag == "img" and seen and attrs.get("alt", "").strip():
                 flow.put(attrs["alt"])
-            elif tag == "input" and attrs.get("type", "text").lower() in ("text", "submit", "button", "reset") and attrs.get("value", "").strip():
+            elif tag == "input" and seen and attrs.get("type", "text").lower() in ("text", "submit", "button", "reset") and attrs.get("value", "").strip():
                 flow.put(" " + attrs["value"] + " ")
             elif tag == "table":
                 flow.block(2)
@@ -270,12 +311,11 @@ def render(page: str | None) -> str:
                 if not tables[-1]:
                     tables[-1].append([])
                 flows.append(Flow())
-                span = attrs.get("colspan", "1")
-                tables[-1][-1].append((flows[-1], min(int(span), 1000) if span.isdecimal() and int(span) else 1))
+                across, down = (max(1, min(most, whole_number(attrs.get(name, ""), 1))) for name, most in (("colspan", 1000), ("rowspan", 65534)))
+                tables[-1][-1].append((flows[-1], across, down))
             elif tag in _LIST:
                 flow.block(2 if not lists else 1)
-                start = attrs.get("start", "")
-                lists.append([tag == "ol", int(start) if start.lstrip("-").isdecimal() else 1])
+                lists.append([tag == "ol", whole_number(attrs.get("start", ""), 1)])
             elif tag == "li":
                 flow.block(1)
                 if lists and lists[-1][0]:
@@ -304,9 +344,9 @@ def render(page: str | None) -> str:
         if not shown.pop():
             hidden -= 1
             continue
+        sight.pop()
         if tag == "table" and tables:
-            rows = [[(cell.text().split("\n"), span) for cell, span in row] for row in tables.pop() if row]
-            flow.paste(_grid(rows))
+            flow.paste(_grid([[(cell.text().split("\n"), *spans) for cell, *spans in row] for row in tables.pop() if row]))
             flow.block(2)
         elif tag in ("td", "th") and tables and len(flows) > 1:
             flow.end_line()
@@ -333,14 +373,14 @@ def render(page: str | None) -> str:
     return flows[0].text().strip("\n")
 
 
-def _hidden(tag: str, attrs: dict[str, str]) -> bool:
-    style = attrs.get("style", "")
-    return "hidden" in attrs or bool(style) and bool(_HIDES.search(style)) or tag == "input" and attrs.get("type", "").lower() == "hidden"
-
-
-def _by_rule(tag: str, attrs: dict[str, str], rules: set[tuple[str, str, str]]) -> bool:
-    names = [("", ""), *((".", c) for c in attrs.get("class", "").split()), *([("#", attrs["id"])] if "id" in attrs else [])]
-    return any((t, *n) in rules for n in names for t in ("", tag) if t or n[1])
+def _effect(tag: str, attrs: dict[str, str], rules: dict[tuple[str, str, str], str]) -> str:
+    """What the element's own attributes and the page's rules do to it; ids go before classes, and these before tags."""
+    if "hidden" in attrs or tag == "input" and attrs.get("type", "").lower() == "hidden":
+        return "none"
+    if does := _style(attrs.get("style", "")):
+        return does
+    names = [*([("#", attrs["id"])] if "id" in attrs else []), *((".", c) for c in attrs.get("class", "").split()), ("", "")]
+    return next((rules[t, *n] for n in names for t in (tag, "") if (t or n[1]) and (t, *n) in rules), "") if rules else ""
 
 
 def extract(df: DataFrame, column: str = "html", into: str = "text") -> DataFrame:

@@ -6,24 +6,29 @@ format: a Feistel network over two factors of the format's domain. It is a bijec
 pseudonyms in all documents and different values different ones, and a pseudonym validates as its value did.
 
     card    the digits before the check digit are permuted, the check digit is computed anew; separators stay
-    phone   the ten national digits are permuted; country code and punctuation stay
+    phone   area code, exchange and line are permuted among numbers that the numbering plan allows (area and exchange of
+            200 or more), and among those that it doesn't; country code and punctuation stay
     ipv4    the 32 bits are permuted
     ssn     the valid numbers (area 001-899 but 666, group 01-99, serial 0001-9999) are permuted
     date    the days of 1900-2099 are permuted; YYYY-MM-DD and DD/MM/YYYY keep their form
-    email   runs of letters and digits of the local part are permuted, in lower case; punctuation and domain stay
+    email   runs of letters and digits are permuted, in lower case; punctuation and the last label of the domain stay
 
-Values that don't validate stay as they are. Null texts stay null and empty ones empty; a text is handled whole. Repeated
+The key is the caller's: configured_key() reads it from the session, and makes one up for an application that sets none,
+whose pseudonyms then can't be linked with another run's. Values that don't validate stay as they are. Null texts stay null and empty ones empty; a text is handled whole. Repeated
 rows give repeated results. Other columns are kept; columns named like a result are replaced.
 """
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siteweave.llm.common import table
 
-KEY = "siteweave"
+#: Setting of the session that holds the key.
+KEY = "spark.siteweave.pii.key"
 ROUNDS = 8
 KINDS = ("email", "phone", "card", "ipv4", "ssn", "date")
 
@@ -101,10 +106,15 @@ def _card(v: Column, key: str) -> Column:
 def _phone(v: Column, key: str) -> Column:
     shape = r"^(\D*(?:1\D+)?)(\d{3})(\D{0,2})(\d{3})(\D)(\d{4})$"
     part = lambda k: F.regexp_extract(v, shape, k)
-    digits = F.concat(part(2), part(4), part(6))
-    out = permute(_number(F.substring(digits, 1, 5)), _number(F.substring(digits, 6, 5)), 100_000, 100_000, F.lit("phone"), key)
-    build = lambda d: F.concat(part(1), F.substring(d, 1, 3), part(3), F.substring(d, 4, 3), part(5), F.substring(d, 7, 4))
-    return F.get(F.transform(F.transform(F.array(out), lambda o: F.concat(_pad(o["l"], 5), _pad(o["r"], 5))), build), F.lit(0))
+    area, exchange = part(2).cast("long"), part(4).cast("long")
+    # Numbers of the plan have no area or exchange below 200; those that do stay among their like.
+    first = lambda code: F.when(code < 200, 0).otherwise(200).cast("long")
+    many = lambda code: F.when(code < 200, 200).otherwise(800).cast("long")
+    tweak = F.concat(F.lit("phone"), (area < 200).cast("string"), (exchange < 200).cast("string"))
+    out = permute(area - first(area), (exchange - first(exchange)) * 10_000 + part(6).cast("long"), many(area), many(exchange) * 10_000, tweak, key)
+    code = lambda n, old: _pad(n + first(old), 3)
+    build = lambda s: F.concat(part(1), code(s["l"], area), part(3), code(F.floor(s["r"] / 10_000).cast("long"), exchange), part(5), _pad(s["r"] % 10_000, 4))
+    return F.get(F.transform(F.array(out), build), F.lit(0))
 
 
 def _ipv4(v: Column, key: str) -> Column:
@@ -145,7 +155,8 @@ def _date(v: Column, key: str) -> Column:
 
 
 def _email(v: Column, key: str) -> Column:
-    runs = F.regexp_extract_all(F.lower(F.substring_index(v, "@", 1)), F.lit("[a-z0-9]{1,10}|[^a-z0-9]+"), F.lit(0))
+    last = F.substring_index(v, ".", -1)
+    runs = F.regexp_extract_all(F.lower(F.substring(v, F.lit(1), F.length(v) - F.length(last) - 1)), F.lit("[a-z0-9]{1,10}|[^a-z0-9]+"), F.lit(0))
 
     def run(s: Column, k: Column) -> Column:
         n = F.length(s)
@@ -156,7 +167,7 @@ def _email(v: Column, key: str) -> Column:
         new = F.get(F.transform(F.array(out), lambda o: F.concat(write(o["l"], left), write(o["r"], n - left))), F.lit(0))
         return F.when(s.rlike("^[a-z0-9]"), new).otherwise(s)
 
-    return F.concat(F.array_join(F.transform(runs, run), ""), F.lit("@"), F.substring_index(v, "@", -1))
+    return F.concat(F.array_join(F.transform(runs, run), ""), F.lit("."), last)
 
 
 def _replaced(v: Column, key: str) -> Column:
@@ -170,20 +181,36 @@ def _replaced(v: Column, key: str) -> Column:
     return out.otherwise(F.struct(F.lit("phone").alias("kind"), _phone(v, key).alias("new")))
 
 
-def pseudonymise(df: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
-    """df with its text pseudonymised, and n_<kind>, the number of values replaced, for each kind."""
+_made_up: dict[str, str] = {}
+
+
+def configured_key(spark: SparkSession) -> str:
+    """The session's key, or one for this application alone."""
+    return spark.conf.get(KEY, None) or _made_up.setdefault(spark.sparkContext.applicationId, secrets.token_hex(32))
+
+
+def _unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def pseudonymise(df: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """df with its text pseudonymised under a key, and n_<kind>, the number of values replaced, for each kind."""
     col = F.col(text)
     counts = [f"n_{k}" for k in KINDS]
-    keep = [c for c in df.columns if c not in (*counts, "pii_found", "pii_new")]
+    keep = [c for c in df.columns if c not in counts]
+    own_found, own_new = (_unused(df, name) for name in ("pii_found", "pii_new"))
     found = F.when(col.rlike(_ANY), F.regexp_extract_all(col, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    marked = df.select(*keep, found.alias("pii_found"))
-    made = marked.withColumn("pii_new", F.transform("pii_found", lambda v: _replaced(v, key)))
+    marked = df.select(*keep, found.alias(own_found))
+    made = marked.withColumn(own_new, F.transform(own_found, lambda v: _replaced(v, key)))
     between = F.split(col, PATTERN, -1)
-    parts = F.zip_with(between, F.transform(F.arrays_zip("pii_found", "pii_new"), lambda x: F.coalesce(x["pii_new"]["new"], x["pii_found"])), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    new = F.when(F.size("pii_found") > 0, F.array_join(parts, "")).otherwise(col)
-    number = lambda kind: F.size(F.filter("pii_new", lambda x: (x["kind"] == kind) & x["new"].isNotNull())).cast("long")
+    parts = F.zip_with(between, F.transform(F.arrays_zip(own_found, own_new), lambda x: F.coalesce(x[own_new]["new"], x[own_found])), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    new = F.when(F.size(own_found) > 0, F.array_join(parts, "")).otherwise(col)
+    number = lambda kind: F.size(F.filter(own_new, lambda x: (x["kind"] == kind) & x["new"].isNotNull())).cast("long")
     return made.select(*(new.alias(c) if c == text else F.col(c) for c in keep), *(number(k).alias(c) for k, c in zip(KINDS, counts, strict=True)))
 
 
 def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), configured_key(spark))

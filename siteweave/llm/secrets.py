@@ -75,6 +75,10 @@ RULES = {
 }
 
 
+#: Kinds whose failed match tells that no later start in this run matches: what must follow the run isn't there.
+_RUNS = {"jwt": re.compile(r"[A-Za-z0-9_-]*")}
+
+
 def automaton() -> ahocorasick.Automaton:
     out = ahocorasick.Automaton()
     for kind, (words, _, _) in RULES.items():
@@ -108,15 +112,18 @@ def _hex_runs(text: str) -> Iterator[tuple[int, int]]:
 def find(text: str, auto: ahocorasick.Automaton) -> list[tuple[str, int, int]]:
     """All spans of a text as (kind, start, end) in code points, by start, then by the order of KINDS."""
     ends: dict[str, int] = {}
+    failed: dict[str, int] = {}  # up to here no match of the kind begins: the run that it needs has been read in vain
     out = []
     hits = sorted((end + 1 - size, kind) for end, (kind, size) in auto.iter(_lowered(text)))
     for start, kind in hits:
-        if start >= ends.get(kind, 0):
+        if start >= ends.get(kind, 0) and start >= failed.get(kind, 0):
             _, pattern, good = RULES[kind]
             if m := pattern.match(text, start):
                 ends[kind] = m.end()
                 if good(m):
                     out.append((kind, start, m.end()))
+            elif kind in _RUNS:
+                failed[kind] = _RUNS[kind].match(text, start).end()
     out.extend(("hex", s, e) for s, e in _hex_runs(text))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 

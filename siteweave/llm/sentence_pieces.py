@@ -240,8 +240,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
 def digest(df: DataFrame, path: str, n: int = SEGMENTATIONS, text: str = "text") -> DataFrame:
     """df without its text, with what sums its segmentations up: number of ids of the best, CRC-32 and score of each, and
     whether the ids of the best decode to the text."""
-    keep = [c for c in df.columns if c != text]
     more = {"n_tokens": "long", "ids_crc32": "long", "scores": "array<double>", "crc32s": "array<long>", "round_trip": "boolean"}
+    keep = [c for c in df.columns if c != text and c not in more]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = model(path)

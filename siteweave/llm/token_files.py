@@ -179,8 +179,9 @@ def write(df: DataFrame, folder: str, tokenizer: str, end_id: int, id_column: st
             store.move(f"{name}.{kind}.{trial}", f"{name}.{kind}")
         yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "records": [len(index)], "tokens": [tokens], "bytes": [offset]})
 
-    rows = df.select(F.col(id_column).cast("long").alias(id_column), F.col(text).alias(text))
-    dealt = rows.repartitionByRange(F.col(id_column)).sortWithinPartitions(id_column, F.xxhash64(text), text)
+    # Rows that share an id, or have none, are told apart by a hash of the text: many of them don't end up in one shard.
+    rows = df.select(F.col(id_column).cast("long").alias(id_column), F.col(text).alias(text), F.xxhash64(text).alias("tie"))
+    dealt = rows.repartitionByRange(F.col(id_column), F.col("tie")).sortWithinPartitions(id_column, "tie", text).select(id_column, text)
     path = f"{folder}/manifest.parquet"
     dealt.mapInArrow(run, schema).write.parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)

@@ -31,7 +31,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with pseudonyms; n_chars follows the text."""
-    out = pii.pseudonymise(docs).select(*docs.columns)
+    out = pii.pseudonymise(docs, pii.configured_key(spark)).select(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
 
 

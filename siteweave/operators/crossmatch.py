@@ -71,7 +71,7 @@ def by_address(records: DataFrame, other: DataFrame, key: str) -> DataFrame:
     grade = F.when(a == b, 0).when(prefix, 1).when((r >= 0.90) & ((digits(a) == digits(b)) | (F.col("d") <= 150)), 2).when((r >= 0.85) & (F.col("d") <= 60), 3)
     ranked = graded.withColumn("grade", grade).where("grade is not null")
     order = Window.partitionBy(key).orderBy("grade", F.when(F.col("grade") >= 2, -r).otherwise(0.0), "pos")
-    return ranked.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(key, "pos", F.when(F.col("grade") == 3, "combinado").otherwise("direccion").alias("via"))
+    return ranked.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(key, "pos", F.when(F.col("grade").isin(1, 3), "combinado").otherwise("direccion").alias("via"))
 
 
 def address_key(c: Column) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from siteweave.functions import text
 from siteweave.functions.similarity import neighbourhoods_agree, token_set
 from siteweave.operators.geo import near_join
+from siteweave.shared import written
 
 
 @dataclass(frozen=True)
@@ -105,11 +106,19 @@ def vector(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
     return _best(met.withColumn("d", d).where(F.col("d") <= c.vector_tol), F.round("d", 4), "d")
 
 
+def _firsts(right: DataFrame, *keys: str) -> DataFrame:
+    """The first site of each key and neighbourhood: no other of them can be chosen, however many there are."""
+    area = F.upper(F.trim(F.coalesce(F.col("e_barrio"), F.lit(""))))
+    rank = F.row_number().over(Window.partitionBy(*keys, area).orderBy("e_pos"))
+    return right.withColumn("_f", rank).where("_f = 1").drop("_f")
+
+
 def vector_block(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
     """Same block face: the nearest plate whose neighbourhood agrees."""
     left, right = _sides(v, e)
     keys = lambda s: [F.round(F.col(f"{s}_vec.{x}"), 2).alias(n) for x, n in (("road", "a"), ("cross", "b"))]
-    met = left.where("v_vec.cross <> 0").select("*", *keys("v")).join(right.where("e_vec.cross <> 0").select("*", *keys("e")), ["a", "b"])
+    faces = _firsts(right.where("e_vec.cross <> 0").select("*", *keys("e")), "a", "b", "e_vec.plate")
+    met = left.where("v_vec.cross <> 0").select("*", *keys("v")).join(faces, ["a", "b"])
     near = met.withColumn("d", F.abs(F.col("v_vec.plate") - F.col("e_vec.plate"))).where(F.col("d") <= c.block_plate_tol)
     return _best(near.where(_barrio(c)), F.round("d", 1), "d")
 
@@ -117,7 +126,7 @@ def vector_block(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFra
 def corner(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
     """Equal pairs of street numbers, road types aside; the first site whose neighbourhood agrees."""
     left, right = _sides(v, e, "corner")
-    return _best(left.join(right, F.col("v_corner") == F.col("e_corner")).where(_barrio(c)), F.lit(100.0))
+    return _best(left.join(_firsts(right, "e_corner"), F.col("v_corner") == F.col("e_corner")).where(_barrio(c)), F.lit(100.0))
 
 
 def _near(v: DataFrame, e: DataFrame, radius: float, *more: str) -> DataFrame:
@@ -134,36 +143,54 @@ def geo(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
 
 
 def ngrams(df: DataFrame, key: str, column: str) -> DataFrame:
-    """(key, gram, tf): 2- to 4-grams of words padded with a space; a word shorter than n is its own gram."""
-    word = lambda w: F.concat(F.lit(" "), w, F.lit(" "))
-
+    """(key, gram, tf): 2- to 4-grams of words padded with a space on both sides, of lengths that the padded word has."""
     def grams(w: Column) -> Column:
-        p = word(w)
-        of = lambda n: F.when(F.length(p) < n, F.array(p)).otherwise(F.transform(F.sequence(F.lit(1), F.length(p) - n + 1), lambda i: F.substring(p, i, F.lit(n))))
-        short = lambda n: F.when(F.length(p) >= n - 1, of(n)).otherwise(F.array().cast("array<string>"))
-        return F.concat(of(2), short(3), short(4))
+        p = F.concat(F.lit(" "), w, F.lit(" "))
+        of = lambda n: F.when(F.length(p) >= n, F.transform(F.sequence(F.lit(1), F.length(p) - n + 1), lambda i: F.substring(p, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+        return F.concat(of(2), of(3), of(4))
 
     words = F.filter(F.split(F.lower(F.col(column)), r"\s+"), lambda w: w != "")
     return df.select(key, F.explode(F.flatten(F.transform(words, grams))).alias("gram")).groupBy(key, "gram").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf_pairs(v: DataFrame, e: DataFrame, text_v: Column, text_e: Column, least: float) -> DataFrame:
-    """(visita_id, pos, sim) with a cosine of TF-IDF vectors of at least `least`, through an inverted index on the grams.
+def _vectors(grams: DataFrame, idf: DataFrame, key: str, least: float) -> DataFrame:
+    """(key, grams, weights, lead) of unit TF-IDF vectors, rarest gram first. lead: how many of the first grams it takes until
+    the rest is shorter than `least`."""
+    w = grams.join(idf, "gram").withColumn("w", F.col("tf") * F.col("idf"))
+    rows = w.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("df", "gram", "w"))).alias("x"))  # the grams of one text
+    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, g: s + g["w"] * g["w"]))
+    unit = rows.withColumn("norm", norm).select(key, F.transform("x", lambda g: g["gram"]).alias("grams"), F.transform("x", lambda g: g["w"] / F.col("norm")).alias("weights"))
+    # Squares are summed from the most frequent gram back; as long as the sum stays below the square of `least`, a gram is not in the lead.
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
+    rest = F.aggregate(F.reverse("weights"), start, lambda s, w: F.struct((s["sum"] + w * w).alias("sum"), F.when(s["sum"] + w * w < least * least - 1e-9, s["n"] + 1).otherwise(s["n"]).alias("n")))
+    return unit.withColumn("lead", F.size("weights") - rest["n"])
 
-    Weights are fitted on the sites. Only pairs that share a gram meet; gram lists are not cut.
-    """
-    sites = ngrams(e.select("pos", text_e.alias("t")), "pos", "t")
-    n = e.agg(F.count(F.lit(1)).alias("n_all"))  # one row
-    idf = sites.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(n)).select("gram", (F.log((1 + F.col("n_all")) / (1 + F.col("df"))) + 1).alias("idf"))
-    weigh = lambda g, key: _unit(g.join(idf, "gram").withColumn("w", F.col("tf") * F.col("idf")), key)
-    left = weigh(ngrams(v.select("visita_id", text_v.alias("t")), "visita_id", "t"), "visita_id")
-    met = left.join(weigh(sites, "pos").withColumnRenamed("w", "u"), "gram")
-    return met.groupBy("visita_id", "pos").agg(F.sum(F.col("w") * F.col("u")).alias("sim")).where(F.col("sim") >= least)
 
+def tfidf_pairs(v: DataFrame, e: DataFrame, least: float) -> DataFrame:
+    """(a, b, sim) of texts v (a, t) and e (b, t, n) with a cosine of TF-IDF vectors of at least `least`.
+
+    Weights are fitted on e, where each text counts n times. Two vectors that reach the floor share a gram among the first
+    ones of both, rarest first, that it takes until the rest of a vector is shorter than the floor; only these grams meet, so
+    frequent grams don't bring all texts together. The cosine is then computed on the whole vectors.
+    """
+    sites = written(ngrams(e, "b", "t").join(e.select("b", "n"), "b"), "grams")
+    total = e.agg(F.sum("n").alias("n_all"))  # one row
+    idf = sites.groupBy("gram").agg(F.sum("n").alias("df")).crossJoin(F.broadcast(total)).select("gram", "df", (F.log((1 + F.col("n_all")) / (1 + F.col("df"))) + 1).alias("idf"))
+    left = written(_vectors(ngrams(v, "a", "t"), idf, "a", least), "vectors")
+    right = written(_vectors(sites.select("b", "gram", "tf"), idf, "b", least), "vectors")
+    first = lambda d, key: d.select(key, F.explode(F.slice("grams", F.lit(1), F.col("lead"))).alias("gram"))
+    met = first(left, "a").join(first(right, "b"), "gram").select("a", "b").distinct()
+    x, y = (d.select(k, F.col("grams").alias(f"g{k}"), F.col("weights").alias(f"w{k}")) for d, k in ((left, "a"), (right, "b")))
+
+    @F.pandas_udf("double")
+    def cosine(ga: pd.Series, wa: pd.Series, gb: pd.Series, wb: pd.Series) -> pd.Series:
+        out = []
+        for g, w, h, u in zip(ga, wa, gb, wb, strict=True):
+            own = dict(zip(g, w, strict=True))
+            out.append(float(sum(own[k] * z for k, z in zip(h, u, strict=True) if k in own)))
+        return pd.Series(out, dtype="float64")
 
-def _unit(df: DataFrame, key: str) -> DataFrame:
-    norm = df.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return df.join(norm, key).select(key, "gram", (F.col("w") / F.col("norm")).alias("w"))
+    return met.join(x, "a").join(y, "b").select("a", "b", cosine("ga", "wa", "gb", "wb").alias("sim")).where(F.col("sim") >= least)
 
 
 def _similarity_text() -> Column:
@@ -171,19 +198,31 @@ def _similarity_text() -> Column:
     return F.concat(F.col("canon"), F.when(b.isin(*text.MISSING_SIMILARITY), "").otherwise(F.concat(F.lit(" "), F.upper(b))))
 
 
-def tfidf(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
-    """Of the five most similar texts at the floor or above, the first that is coherent and whose neighbourhood agrees.
+def _text_sims(v: DataFrame, e: DataFrame, least: float, k: int = 5) -> DataFrame:
+    """(key_text, pos, sim) of the visits' distinct texts: equal texts are compared once on both sides, and of the sites of one text
+    the k first are given."""
+    named = e.where("canon <> ''").select("pos", _similarity_text().alias("t"))
+    texts = named.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("b"))
+    first = F.row_number().over(Window.partitionBy("t").orderBy("pos"))
+    places = named.withColumn("_k", first).where(F.col("_k") <= k).drop("_k").join(texts.select("t", "b"), "t").select("b", "pos")
+    pairs = tfidf_pairs(v.select(F.col("key_text").alias("a"), F.col("key_text").alias("t")).distinct(), texts, least)
+    return pairs.join(places, "b").select(F.col("a").alias("key_text"), "pos", "sim")
 
-    Equal texts of visits are compared once.
-    """
+
+def text_pairs(v: DataFrame, e: DataFrame, least: float, k: int = 20) -> DataFrame:
+    """(visita_id, pos, sim) of visits and the sites of similar text, of equal texts the k first sites."""
     v = v.where("canon <> ''").withColumn("key_text", _similarity_text())
-    texts = v.groupBy(F.col("key_text").alias("visita_id")).agg(F.first("canon").alias("canon")).withColumn("t", F.col("visita_id"))
-    sims = tfidf_pairs(texts, e.where("canon <> ''"), F.col("t"), _similarity_text(), c.tfidf_min).withColumnRenamed("visita_id", "key_text")
-    rank = F.row_number().over(Window.partitionBy("key_text").orderBy(F.desc("sim"), "pos"))
-    five = sims.withColumn("_k", rank).where("_k <= 5").drop("_k")
+    return v.select("visita_id", "key_text").join(_text_sims(v, e, least, k), "key_text").drop("key_text")
+
+
+def tfidf(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
+    """Of the five most similar texts at the floor or above, the first that is coherent and whose neighbourhood agrees."""
+    v = v.where("canon <> ''").withColumn("key_text", _similarity_text())
+    rank = F.row_number().over(Window.partitionBy("key_text").orderBy(F.desc(F.round("sim", 12)), "pos"))
+    five = _text_sims(v, e, c.tfidf_min).withColumn("_k", rank).where("_k <= 5").drop("_k")
     left, right = _sides(v.withColumn("handshake", F.col("key_text")), e.withColumn("handshake", F.lit("")), "handshake")
     met = left.join(five, F.col("v_handshake") == F.col("key_text")).join(right, F.col("pos") == F.col("e_pos"))
-    return _best(met, F.round("sim", 3), F.desc("sim"), k=5, guard=text.coherent(F.col("v_vec"), F.col("e_vec"), strict=True) & _barrio(c))
+    return _best(met, F.round("sim", 3), F.desc(F.round("sim", 12)), k=5, guard=text.coherent(F.col("v_vec"), F.col("e_vec"), strict=True) & _barrio(c))
 
 
 def fuzzy_top(asked: list[str], sites: list[tuple[int, str]], least: float, k: int = 5) -> list[tuple[str, int, float]]:
@@ -222,40 +261,46 @@ def fuzzy_top(asked: list[str], sites: list[tuple[int, str]], least: float, k: i
     return out
 
 
-def fuzzy(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG, block: int = 4_096, part: int = 512) -> DataFrame:
-    """Of the five best token-set ratios at the floor or above, the first that is coherent and whose neighbourhood agrees.
-
-    All sites are candidates: blocks of them of bounded size meet parts of the visits' distinct texts.
-    """
-    sites = e.select("pos", _similarity_text().alias("t"))
-    texts = v.where(F.length("canon") >= c.fuzzy_length).select(F.col("canon").alias("t")).distinct()
+def best_texts(texts: DataFrame, sites: DataFrame, top: Callable, block: int = 4_096, part: int = 512) -> DataFrame:
+    """(key_text, pos, ratio) of the five best sites (pos, t) of each of the texts (t): blocks of sites of bounded size meet parts
+    of the texts, and top(texts, [(pos, t)]) gives the best of a block as (text, pos, ratio)."""
     blocks, parts = max(1, -(-sites.count() // block)), max(1, -(-texts.count() // part))
     dealt = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = texts.withColumn("part", dealt("t", parts)).withColumn("block", every(blocks))
     right = sites.withColumn("block", dealt("pos", blocks)).withColumn("part", every(parts))
 
-    def top(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        got = fuzzy_top(x["t"].tolist(), list(zip(y["pos"].tolist(), y["t"].tolist(), strict=True)), c.fuzzy_min)
+    def best(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        got = top(x["t"].tolist(), list(zip(y["pos"].tolist(), y["t"].tolist(), strict=True)))
         return pd.DataFrame({"key_text": pd.Series([g[0] for g in got], dtype="object"), "pos": pd.Series([g[1] for g in got], dtype="int64"), "ratio": pd.Series([g[2] for g in got], dtype="float64")})
 
-    found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(top, "key_text string, pos long, ratio double")
+    found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(best, "key_text string, pos long, ratio double")
     rank = F.row_number().over(Window.partitionBy("key_text").orderBy(F.desc("ratio"), "pos"))
-    five = found.withColumn("_k", rank).where("_k <= 5").drop("_k")
+    return found.withColumn("_k", rank).where("_k <= 5").drop("_k")
+
+
+def fuzzy(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
+    """Of the five best token-set ratios at the floor or above, the first that is coherent and whose neighbourhood agrees. All
+    sites are candidates."""
+    sites = e.select("pos", _similarity_text().alias("t"))
+    texts = v.where(F.length("canon") >= c.fuzzy_length).select(F.col("canon").alias("t")).distinct()
+    five = best_texts(texts, sites, lambda asked, near: fuzzy_top(asked, near, c.fuzzy_min))
     one, two = _sides(v, e)
     met = one.join(five, F.col("v_canon") == F.col("key_text")).join(two, F.col("pos") == F.col("e_pos"))
     return _best(met, F.round("ratio", 1), F.desc("ratio"), k=5, guard=text.coherent(F.col("v_vec"), F.col("e_vec"), strict=True) & _barrio(c))
 
 
-def embedding(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG, block: int = 4_096) -> DataFrame:
-    """Of the five nearest embeddings (column emb) at the floor or above, the first whose street and neighbourhood may agree.
+def nearest_embeddings(v: DataFrame, e: DataFrame, k: int, least: float = -1.0, block: int = 4_096, part: int = 4_096) -> DataFrame:
+    """(visita_id, pos, sim): the k sites of nearest embedding (column emb), at `least` or above.
 
-    Sites are compared in blocks of bounded size, each with all unmatched visits; equal embeddings of visits ask once.
+    Blocks of sites of bounded size meet parts of the visits' distinct embeddings.
     """
     sites = e.where("emb is not null").select("pos", "emb")
     blocks = max(1, -(-sites.count() // block))
     asked = v.where("emb is not null and canon <> ''").withColumn("ask", F.xxhash64("emb"))
-    distinct = asked.groupBy("ask").agg(F.min("emb").alias("emb")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    distinct = written(asked.groupBy("ask").agg(F.min("emb").alias("emb")), "asked")
+    parts = max(1, -(-distinct.count() // part))
+    distinct = distinct.withColumn("part", F.pmod("ask", F.lit(parts)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def top(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
@@ -266,16 +311,22 @@ def embedding(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG, block: int =
         out = []
         for at in range(0, len(x), 1_024):
             sim = np.round(x[at : at + 1_024] @ y.T, 12)
-            best = np.argsort(-sim, axis=1, kind="stable")[:, :5]
+            best = np.argsort(-sim, axis=1, kind="stable")[:, :k]
             out.append(pd.DataFrame({"ask": np.repeat(left["ask"].to_numpy()[at : at + 1_024], best.shape[1]), "pos": right["pos"].to_numpy()[best].ravel(), "sim": np.take_along_axis(sim, best, 1).ravel()}))
         return pd.concat(out)
 
-    dealt = sites.withColumn("block", F.pmod(F.xxhash64("pos"), F.lit(blocks)).cast("int"))
-    found = distinct.groupBy("block").cogroup(dealt.groupBy("block")).applyInPandas(top, "ask long, pos long, sim double").where(F.col("sim") >= c.embedding_min)
+    dealt = sites.withColumn("block", F.pmod(F.xxhash64("pos"), F.lit(blocks)).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    found = distinct.groupBy("block", "part").cogroup(dealt.groupBy("block", "part")).applyInPandas(top, "ask long, pos long, sim double").where(F.col("sim") >= least)
     rank = F.row_number().over(Window.partitionBy("ask").orderBy(F.desc("sim"), "pos"))
-    five = found.withColumn("_k", rank).where("_k <= 5").drop("_k")
-    left, right = _sides(asked, e.select(*_SITE))[0].join(asked.select(F.col("visita_id").alias("v_visita_id"), "ask"), "v_visita_id"), _sides(v, e)[1]
-    met = left.join(five, "ask").join(right, F.col("pos") == F.col("e_pos"))
+    best = found.withColumn("_k", rank).where(F.col("_k") <= k).drop("_k")
+    return asked.select("visita_id", "ask").join(best, "ask").select("visita_id", "pos", "sim")
+
+
+def embedding(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
+    """Of the five nearest embeddings (column emb) at the floor or above, the first whose street and neighbourhood may agree."""
+    five = nearest_embeddings(v, e, 5, c.embedding_min)
+    left, right = _sides(v, e)
+    met = left.join(five, F.col("v_visita_id") == F.col("visita_id")).drop("visita_id").join(right, F.col("pos") == F.col("e_pos"))
     guard = text.embedding_guard(F.col("v_vec"), F.col("e_vec"), F.col("v_canon"), F.col("e_canon")) & _barrio(c)
     return _best(met, F.round("sim", 3), F.desc("sim"), k=5, guard=guard)
 
@@ -308,14 +359,12 @@ def cascade(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG, tiers: tuple[st
     if tiers is None:
         tiers = tuple(t for t in named if t != "embedding" or ("emb" in v.columns and "emb" in e.columns))
     found = None
-    if not set(tiers) <= set(CHEAP):
-        v, e = v.localCheckpoint(), e.localCheckpoint()
     for k, name in enumerate(t for t, _ in TIERS if t in tiers):
         left = v
         if name not in CHEAP and found is not None:
-            # The plan ends here, as each later tier reads what is left several times.
-            found = found.localCheckpoint()
-            left = v.join(found.select("visita_id").distinct(), "visita_id", "left_anti").localCheckpoint()
+            # Written, as each later tier reads what is left several times.
+            found = written(found, "found")
+            left = written(v.join(found.select("visita_id").distinct(), "visita_id", "left_anti"), "left")
         one = named[name](left, e, c).withColumns({"tier": F.lit(k), "match_method": F.lit(name)})
         found = one if found is None else found.unionByName(one)
     first = F.row_number().over(Window.partitionBy("visita_id").orderBy("tier"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from siteweave.functions import text
 from siteweave.operators import integrate, linkage, metrics
 from siteweave.operators.linkage import prepare
+from siteweave.shared import written
 from siteweave.sources.tables import SITES, TYPED, VISITS, sites, view, visits
 
 QUERIES, SQL = {}, {}
@@ -24,8 +25,8 @@ def query(sql: str | None = None):
 
 
 def both(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Both sides with their keys, kept: all tiers read them, and the address expressions are evaluated once."""
-    return prepare(visits(spark, sf_dir)).persist(), prepare(sites(spark, sf_dir)).persist()
+    """Both sides with their keys, written: all tiers read them, and the address expressions are evaluated once."""
+    return written(prepare(visits(spark, sf_dir)), "visits"), written(prepare(sites(spark, sf_dir)), "sites")
 
 
 #: The same sites and visits with the keys that parsing their addresses must give, written as arithmetic.
@@ -73,6 +74,20 @@ for _name in ("tfidf", "fuzzy", "spatial_bridge"):
     query()(_tier(_name))
 SQL["tier_spatial_bridge"] = f"{_PRE} SELECT visita_id, sitio_id, round(d, 1) AS score FROM (SELECT v.visita_id, e.sitio_id, e.pos, {_HAV} AS d, {_OK} AS ok, {_LOOSE} AS l FROM vh v JOIN eh e ON abs(v.lat - e.lat) < 0.001 AND abs(v.lon - e.lon) < 0.001) WHERE d <= 22 AND ok AND l QUALIFY row_number() OVER (PARTITION BY visita_id ORDER BY d, pos) = 1"
 
+#: The text tier, all pairs of texts that share a gram.
+_CANON = {"e": "concat(code, ' ', rn, letter, ' # ', CAST(cr AS BIGINT), '-', CAST(plate AS BIGINT))", "v": "CASE WHEN full_ THEN concat(code, ' ', rn, letter, ' # ', CAST(cr AS BIGINT), '-', CAST(plate AS BIGINT)) WHEN corner_ THEN concat('KR ', rn, ' CON CL ', k % 40 + 1, CASE WHEN k % 5 = 0 THEN 'A' ELSE '' END) WHEN vpos % 8 = 4 THEN 'NUMERO' ELSE '' END"}
+_TEXT = "concat(canon, CASE WHEN trim(coalesce(barrio, '')) IN ('', '-', 'nan') THEN '' ELSE concat(' ', upper(trim(barrio))) END)"
+_NESTED = "(len({a}) = 0 OR len({b}) = 0 OR len(list_filter({a}, lambda n: NOT list_contains({b}, n))) = 0 OR len(list_filter({b}, lambda n: NOT list_contains({a}, n))) = 0)".format(a=_NUMS.format(s="v"), b=_NUMS.format(s="e"))
+_WORDS = "SELECT t, ' ' || w || ' ' AS p FROM (SELECT t, unnest(regexp_split_to_array(lower(t), '\\s+')) AS w FROM {x}) WHERE w <> ''"
+_GRAMS = "SELECT t, g, count(*) AS tf FROM (SELECT t, unnest(list_transform(range(1, CAST(greatest(0, length(p) - n + 1) AS BIGINT) + 1), lambda i: substr(p, CAST(i AS INT), CAST(n AS INT)))) AS g FROM ({w}), (VALUES (2), (3), (4)) AS s(n)) GROUP BY t, g"
+SQL["tier_tfidf"] = f"""{_PRE}, ec AS (SELECT *, {_TEXT} AS t FROM (SELECT *, {_CANON['e']} AS canon FROM eh) WHERE canon <> ''), vc AS (SELECT *, {_TEXT} AS t FROM (SELECT *, {_CANON['v']} AS canon FROM vh) WHERE canon <> ''),
+ et AS (SELECT t, count(*) AS n FROM ec GROUP BY t), vt AS (SELECT DISTINCT t FROM vc), eg AS ({_GRAMS.format(w=_WORDS.format(x='et'))}), vg AS ({_GRAMS.format(w=_WORDS.format(x='vt'))}),
+ idf AS (SELECT g, ln((1 + (SELECT sum(n) FROM et)) / (1 + sum(n))) + 1 AS idf FROM eg JOIN et USING (t) GROUP BY g),
+ ew AS (SELECT t, g, w / sqrt(sum(w * w) OVER (PARTITION BY t)) AS w FROM (SELECT t, g, tf * idf AS w FROM eg JOIN idf USING (g))), vw AS (SELECT t, g, w / sqrt(sum(w * w) OVER (PARTITION BY t)) AS w FROM (SELECT t, g, tf * idf AS w FROM vg JOIN idf USING (g))),
+ s AS (SELECT vw.t AS a, ew.t AS b, sum(vw.w * ew.w) AS sim FROM vw JOIN ew USING (g) GROUP BY 1, 2 HAVING sum(vw.w * ew.w) >= 0.82),
+ five AS (SELECT a, ec.pos, sim FROM s JOIN ec ON ec.t = s.b QUALIFY row_number() OVER (PARTITION BY a ORDER BY round(sim, 12) DESC, ec.pos) <= 5)
+SELECT v.visita_id, e.sitio_id, round(sim, 3) AS score FROM vc v JOIN five ON five.a = v.t JOIN ec e ON e.pos = five.pos WHERE {_OK} AND {_NESTED} QUALIFY row_number() OVER (PARTITION BY v.visita_id ORDER BY round(sim, 12) DESC, e.pos) = 1"""
+
 
 @query(f"{_PRE} SELECT sitio_id AS id, hs AS handshake, road, cr AS crossing, plate, concat(code, ' ', rn, letter, ' # ', CAST(cr AS BIGINT), '-', CAST(plate AS BIGINT)) AS canon FROM eh UNION ALL SELECT visita_id, hs, road, cr, plate, CASE WHEN full_ THEN concat(code, ' ', rn, letter, ' # ', CAST(cr AS BIGINT), '-', CAST(plate AS BIGINT)) WHEN corner_ THEN concat('KR ', rn, ' CON CL ', k % 40 + 1, CASE WHEN k % 5 = 0 THEN 'A' ELSE '' END) WHEN vpos % 8 = 4 THEN 'NUMERO' ELSE '' END FROM vh")
 def address_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +126,7 @@ def with_embeddings(spark: SparkSession, sf_dir: str, v: DataFrame, e: DataFrame
     emb = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("vec_id is not null").groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min("embedding").alias("emb"))
     n = emb.agg(F.count(F.lit(1)).alias("n_emb"))  # one row
     give = lambda d, k: d.crossJoin(F.broadcast(n)).withColumn("vec_id", F.expr(f"try_mod({k}, n_emb)")).join(emb, "vec_id", "left").drop("vec_id", "n_emb")
-    return give(v, "true_pos").persist(), give(e, "pos").persist()
+    return written(give(v, "true_pos"), "visits"), written(give(e, "pos"), "sites")
 
 
 def fully_matched(spark: SparkSession, sf_dir: str, last: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -195,6 +195,7 @@ def sentence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TERMS = [("there?", "grieta_generica", "patologia"), ("tha", "fisura_generica", "patologia"), ("erst", "grieta_diagonal", "patologia"), ("hea", "muro_carga", "elemento"), ("ing", "columna", "elemento")]
 WEIGHT, CRITICAL = {"grieta_generica": 0.25, "fisura_generica": 0.25, "grieta_diagonal": 0.7}, {"muro_carga": 0.8, "columna": 1.0}
+# Findings that give way to more special ones of the same sentence.
 SUPERSEDE = {"grieta_generica": ("grieta_diagonal", "grieta_horizontal_flexion"), "fisura_generica": ("grieta_diagonal", "grieta_horizontal_flexion", "grieta_generica"), "perdida_recubrimiento": ("acero_expuesto",)}
 
 
@@ -221,7 +222,10 @@ def name_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", F.sha1(F.col("c_name").cast("binary")).alias("digest"))
 
 
-@query()
+_SHA = "WITH RECURSIVE d AS (SELECT c_custkey, list_transform(string_split(sha1(c_name), ''), lambda h: CAST(instr('0123456789abcdef', h) - 1 AS INT)) AS n, '' AS o, 0 AS k FROM customer UNION ALL SELECT c_custkey, q.ds, substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', q.r + 1, 1) || o, k + 1 FROM (SELECT c_custkey, o, k, list_reduce(list_transform(n, lambda x: {'ds': [x], 'r': x}), lambda s, x: {'ds': list_append(s.ds, CAST(floor((s.r * 16 + x.r) / 36) AS INT)), 'r': (s.r * 16 + x.r) % 36}, {'ds': CAST([] AS INT[]), 'r': 0}) AS q FROM d WHERE k < 31) t)"
+
+
+@query(_SHA + " SELECT c_custkey, rpad(substr(ltrim(o, '0'), 1, 5), 5, '0') AS id_asignacion FROM d WHERE k = 31")
 def short_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", triage.short_id(F.col("c_name")).alias("id_asignacion"))
 
@@ -262,7 +266,7 @@ def calibrated_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     truth = visits(spark, sf_dir).select("visita_id", F.col("true_pos"))
     labelled = pairs.join(truth, "visita_id").withColumn("label", (F.col("pos") == F.col("true_pos")).cast("double"))
     names = [c for c in pairs.columns if c.startswith("f_")]
-    scored = calibrated.fit(labelled, names, trees=5)(labelled)
+    scored = calibrated.fit(labelled, names, trees=10, folds=2)(labelled)
     best = F.row_number().over(Window.partitionBy("visita_id").orderBy(F.desc("p"), "pos"))
     return scored.withColumn("n", best).where("n = 1 and p >= 0.7").select("visita_id", "pos", "p")
 
@@ -285,10 +289,12 @@ def records_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").join(c, F.col("n_nationkey") == F.col("c_nationkey"), "left").select("n_name", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
-@query(f"SELECT visita_id, coalesce(length(direccion_norm), 0) AS n, CAST((sum(coalesce(length(visita_id), 0) + coalesce(length(direccion_norm), 0)) OVER (ORDER BY vpos ROWS UNBOUNDED PRECEDING) - 1) // 100000 AS BIGINT) AS chunk FROM ({VISITS})".replace("coalesce(length(visita_id), 0) + coalesce(length(direccion_norm), 0)", "length(visita_id) + length(coalesce(direccion_norm, '')) + length(CAST(vpos AS VARCHAR))"))
+@query(f"""WITH RECURSIVE r AS (SELECT vpos, visita_id, coalesce(length(direccion_norm), 0) AS n, CAST(sum(3 + length(visita_id) + length(coalesce(direccion_norm, '')) + length(CAST(vpos AS VARCHAR))) OVER (ORDER BY vpos ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM ({VISITS})),
+ c(chunk, before, upto) AS (SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT), (SELECT max(upto) FROM r WHERE upto <= 100000) UNION ALL SELECT chunk + 1, c.upto, (SELECT max(r.upto) FROM r WHERE r.upto <= c.upto + 100000) FROM c WHERE c.upto < (SELECT max(upto) FROM r))
+SELECT visita_id, n, chunk FROM r JOIN c ON r.upto > c.before AND r.upto <= c.upto""")
 def cell_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = visits(spark, sf_dir).select("vpos", "visita_id", F.coalesce("direccion_norm", F.lit("")).alias("d"), F.col("direccion_norm"))
-    return sinks.chunks(v.drop("direccion_norm"), "vpos", 100_000).join(v.select("vpos", F.coalesce(F.length("direccion_norm"), F.lit(0)).cast("long").alias("n")), "vpos").select("visita_id", "n", "chunk")
+    v = visits(spark, sf_dir).select("vpos", "visita_id", F.coalesce("direccion_norm", F.lit("")).alias("d"))
+    return sinks.chunks(v, "vpos", 100_000).select("visita_id", F.length("d").cast("long").alias("n"), "chunk")
 
 
 @query()

@@ -52,7 +52,11 @@ def id_sequence(n: int, seed: int, taken: set[str] = frozenset(), length: int =
 
 
 def fill_ids(df: DataFrame, column: str, order: str, seed: int, length: int = 4) -> DataFrame:
-    """df with its blank ids filled in order; the others stay. The sequence is made on the driver, one for each blank."""
+    """df with its blank ids filled in order; the others stay.
+
+    The sequence is made on the driver, as each new id depends on those before it; an id of four signs bounds both the ids
+    taken and the new ones by 36 ** 4, about 1.7 million. `order` must be total among the rows without an id.
+    """
     spark = df.sparkSession
     blank = F.trim(F.coalesce(F.col(column), F.lit(""))) == ""
     n = df.where(blank).count()
@@ -81,19 +85,44 @@ def local_date(epoch_ms: Column, zone: str = "America/Bogota") -> Column:
     return F.to_date(F.from_utc_timestamp(F.timestamp_millis(epoch_ms.try_cast("long")), zone))
 
 
-def polygons(spark: SparkSession, path: str, ids: tuple[str, ...] = ("id", "objectid", "codigo", "npn")) -> DataFrame:
+#: Names under which a parcel's id may stand, by preference, in upper case.
+PARCEL_IDS = ("NPN", "CODIGO_PREDIAL", "CODIGO_PRE", "CBML", "LOTE_CODIGO", "CODIGO", "COD_PREDIO", "PREDIO", "MANZANA_LO", "OBJECTID", "FID")
+
+
+def polygons(spark: SparkSession, path: str, ids: tuple[str, ...] = PARCEL_IDS) -> DataFrame:
     """(pos, id, rings) of a GeoJSON file: polygons, and each part of multipolygons; the id by order of preference."""
     raw = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "features array<struct<geometry:struct<type:string,coordinates:string>,properties:map<string,string>>>").getField("features")).alias("f"), F.monotonically_increasing_id().alias("_file"))
     one = F.from_json("f.geometry.coordinates", "array<array<array<double>>>")
     many = F.from_json("f.geometry.coordinates", "array<array<array<array<double>>>>")
     parts = F.when(F.col("f.geometry.type") == "Polygon", F.array(one)).when(F.col("f.geometry.type") == "MultiPolygon", many)
-    props = F.transform_keys("f.properties", lambda k, _: F.lower(k))
-    name = F.coalesce(*(F.try_element_at(props, F.lit(i)) for i in ids), F.get(F.map_values(props), F.lit(0)))
+    # Keys that differ in case only: the last one counts.
+    entries = F.map_entries(F.coalesce("f.properties", F.create_map().cast("map<string,string>")))
+    value = lambda i: F.element_at(F.filter(entries, lambda x: (F.upper(x["key"]) == i) & (F.trim(F.coalesce(x["value"], F.lit(""))) != "")), -1)["value"]
+    scalar = F.filter(entries, lambda x: (F.coalesce(x["value"], F.lit("")) != "") & ~x["value"].rlike(r"^[\[{]"))
+    held = lambda i: F.when(F.exists(entries, lambda x: (F.upper(x["key"]) == i) & (F.trim(F.coalesce(x["value"], F.lit(""))) != "")), F.trim(value(i)))
+    name = F.coalesce(*(held(i) for i in ids), F.get(scalar, F.lit(0))["value"], F.lit(""))
     rings = F.transform("part", lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
     out = raw.select("_file", name.alias("id"), F.explode(parts).alias("part")).select("id", rings.alias("rings"))
     return out.withColumn("pos", F.monotonically_increasing_id())
 
 
+def first_with_rows(spark: SparkSession, paths: list[str]) -> DataFrame | None:
+    """The polygons of the first of several files that holds any; None if none does."""
+    for path in paths:
+        found = polygons(spark, path)
+        if not found.isEmpty():
+            return found
+    return None
+
+
+def distinct_features(features: DataFrame, geometry: str = "geometry", prefix: int = 200) -> DataFrame:
+    """Features of overlapping tiles once: told apart by the beginning of their geometry's text, the first (pos) stays."""
+    start = F.substring(F.col(geometry), 1, prefix)
+    from siteweave.operators.crossmatch import latest
+
+    return latest(features.withColumns({"_g": start, "_t": F.lit(0)}), "_g", "_t", "pos").drop("_g", "_t")
+
+
 def kml_zones(spark: SparkSession, path: str, folder: str = "zonas") -> DataFrame:
     """(pos, id, rings, description) of the polygon placemarks in folders whose name holds the given word; outer rings of three
     points or more. Spark's XML reader takes the placemarks apart."""

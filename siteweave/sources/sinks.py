@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from siteweave.operators.order import numbered
+from siteweave.shared import written
 
 CELL = 50_000
 
@@ -31,11 +38,48 @@ def overwrite(df: DataFrame, path: str, pinned: str, allow_empty: bool = False)
     df.write.mode("overwrite").parquet(path)
 
 
-def chunks(df: DataFrame, order: str, most: int = 1_500_000) -> DataFrame:
-    """df with `chunk`, so that each holds about `most` characters in order: a running sum of the rows' lengths."""
-    size = sum((F.length(F.col(c).cast("string")) for c in df.columns), F.lit(0))
-    total = F.sum(F.coalesce(size, F.lit(0))).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn("chunk", F.floor((total - 1) / most))
+def row_chars(df: DataFrame) -> Column:
+    """Characters of a row as it is sent: its values and a separator for each."""
+    return sum((F.length(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in df.columns), F.lit(len(df.columns)))
+
+
+def chunks(df: DataFrame, order: str, most: int = 1_500_000, per_task: int = 64) -> DataFrame:
+    """df with `chunk`, numbered from 0 in order: a chunk takes rows as long as it stays within `most` characters, and one row at
+    least.
+
+    A task cuts a range of about per_task chunks; up to that size the table is one range. Beyond it a range's first chunk begins
+    with its first row, so the chunks before a range's border may be shorter than they had to be.
+    """
+    sized = df.withColumn("_size", row_chars(df).cast("long"))
+    total = sized.agg(F.coalesce(F.sum("_size"), F.lit(0))).head()[0]
+    dealt = sized.repartitionByRange(max(1, -(-total // (most * per_task))), F.col(order)).sortWithinPartitions(order).withColumn("_range", F.spark_partition_id())
+    names = dealt.columns
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, used = 0, None
+        for batch in batches:
+            out = []
+            for size in batch.column("_size").to_pylist():
+                if used is not None and used + size > most:
+                    at, used = at + 1, 0
+                used = (used or 0) + size
+                out.append(at)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=[*names, "_chunk"])
+
+    done = written(dealt.mapInArrow(cut, T.StructType([*dealt.schema.fields, T.StructField("_chunk", T.LongType())])), "chunks")
+    counts = done.groupBy("_range").agg((F.max("_chunk") + 1).alias("_n"))  # a row for each range
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return done.join(counts.select("_range", before.alias("_before")), "_range").withColumn("chunk", F.col("_chunk") + F.col("_before")).drop("_range", "_size", "_chunk", "_n", "_before")
+
+
+def padded(df: DataFrame, order: str, rows: int, more: int) -> DataFrame:
+    """The cells of df, numbered by `_row`, grown to `rows` rows and `more` further columns of blanks, so that writing them covers
+    what the target held before."""
+    have = numbered(cells(df), [F.col(order)], "_row")
+    have = have.select("_row", *df.columns, *(F.lit("").alias(f"_blank{k}") for k in range(more)))
+    first = have.agg(F.count(F.lit(1)).alias("n"))  # one row
+    blank = df.sparkSession.range(1, rows + 1).withColumnRenamed("id", "_row").crossJoin(F.broadcast(first)).where("_row > n")
+    return have.unionByName(blank.select("_row", *(F.lit("").alias(c) for c in have.columns if c != "_row")))
 
 
 def append_run(spark: SparkSession, record: dict, path: str) -> None:

@@ -279,12 +279,12 @@ def best_texts(texts: DataFrame, sites: DataFrame, top: Callable, block: int = 4
     return found.withColumn("_k", rank).where("_k <= 5").drop("_k")
 
 
-def fuzzy(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
+def fuzzy(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG, block: int = 4_096, part: int = 512) -> DataFrame:
     """Of the five best token-set ratios at the floor or above, the first that is coherent and whose neighbourhood agrees. All
     sites are candidates."""
     sites = e.select("pos", _similarity_text().alias("t"))
     texts = v.where(F.length("canon") >= c.fuzzy_length).select(F.col("canon").alias("t")).distinct()
-    five = best_texts(texts, sites, lambda asked, near: fuzzy_top(asked, near, c.fuzzy_min))
+    five = best_texts(texts, sites, lambda asked, near: fuzzy_top(asked, near, c.fuzzy_min), block, part)
     one, two = _sides(v, e)
     met = one.join(five, F.col("v_canon") == F.col("key_text")).join(two, F.col("pos") == F.col("e_pos"))
     return _best(met, F.round("ratio", 1), F.desc("ratio"), k=5, guard=text.coherent(F.col("v_vec"), F.col("e_vec"), strict=True) & _barrio(c))

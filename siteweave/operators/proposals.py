@@ -62,7 +62,7 @@ def evaluated(df: DataFrame, told: DataFrame, key: str) -> DataFrame:
     parts = form_points(df)
     points = sum((p for p, _ in parts), F.lit(0.0))
     found, none = F.col("findings"), F.array().cast("array<string>")
-    asked = F.array_contains(F.transform(F.split(answer(df, "recomendaciones"), ","), F.trim), "demoler")
+    asked = F.array_contains(F.transform(F.split(answer(df, "recomendaciones"), ","), lambda t: F.trim(t)), "demoler")
     backed = (F.size(found) > 0) | (answer(df, "colapso_parcial") == "si") | (answer(df, "danos_estructura") == "severo")
     written = F.array_contains("actions", "demoler") & backed
     gravity = F.coalesce("gravity", F.lit(0.0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siteweave.plans import linkage, triage
+from siteweave.plans import linkage, reports, triage
 
-QUERIES = {**linkage.QUERIES, **triage.QUERIES}
-SQL = {**linkage.SQL, **triage.SQL}
+QUERIES = {**linkage.QUERIES, **triage.QUERIES, **reports.QUERIES}
+SQL = {**linkage.SQL, **triage.SQL, **reports.SQL}

@@ -18,8 +18,10 @@ def text_table(spark: SparkSession, path: str, header: list[str] | None = None)
 
 
 def recover_header(names: list[str]) -> list[str]:
-    """An unnamed column right between `Zona` and `Tipo` is `Barrio`; no other is guessed."""
-    return ["Barrio" if not n.strip() and 0 < k < len(names) - 1 and names[k - 1].strip() == "Zona" and names[k + 1].strip() == "Tipo" else n for k, n in enumerate(names)]
+    """An unnamed column (blank, or a dash) right between `Zona` and `Tipo` is `Barrio`, if there is none; no other is guessed."""
+    if "Barrio" in names:
+        return list(names)
+    return ["Barrio" if n.strip() in ("", "-") and 0 < k < len(names) - 1 and names[k - 1].strip() == "Zona" and names[k + 1].strip() == "Tipo" else n for k, n in enumerate(names)]
 
 
 def rename(df: DataFrame, exact: dict[str, str], prefix: dict[str, str] | None = None) -> DataFrame:

@@ -8,26 +8,60 @@ from pyspark.sql.streaming import StreamingQuery
 
 from siteweave.operators.crossmatch import latest
 
+#: Buckets of the kept table: a micro-batch rewrites those that it has keys of.
+BUCKETS = 64
+
 
 def new_records(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """A folder of JSON landings as a stream; with the trigger availableNow it polls as the cron job does."""
     return spark.readStream.schema(schema).json(folder)
 
 
-def latest_per_key(stream: DataFrame, key: str, ts: str, table: str, checkpoint: str) -> StreamingQuery:
-    """Keep the newest row of each key in a Parquet table: each micro-batch is merged into a new version of it."""
+def latest_per_key(stream: DataFrame, key: str, ts: str, table: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
+    """Keep the newest row of each key in a Parquet table of buckets of the key.
+
+    A micro-batch merges the buckets that it touches into new files below the batch's number, and then names these as the
+    buckets' present ones; a batch that is run again writes the same. read_latest() reads the table.
+    """
 
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        jvm = spark.sparkContext._jvm
-        old = jvm.org.apache.hadoop.fs.Path(f"{table}/v{epoch - 1}")
-        fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        before = spark.read.schema(batch.schema).parquet(f"{table}/v{epoch - 1}") if epoch and fs.exists(old) else batch.limit(0)
-        both = before.withColumn("_o", F.lit(0)).unionByName(batch.withColumn("_o", F.lit(1)))
-        latest(both, key, ts, "_o").drop("_o").write.mode("overwrite").parquet(f"{table}/v{epoch}")
+        dealt = batch.withColumn("_b", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).persist()
+        touched = [r[0] for r in dealt.select("_b").distinct().collect()]  # BUCKETS numbers at most
+        present = {b: v for b, v in _present(spark, table).items() if v < epoch}
+        new = dealt.withColumn("_o", F.lit(1))
+        old = [f"{table}/v{present[b]}/_b={b}" for b in touched if b in present]
+        if old:
+            before = spark.read.schema(batch.schema).option("basePath", table).parquet(*old).select(*batch.columns)
+            new = before.withColumns({"_b": F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"), "_o": F.lit(0)}).unionByName(new)
+        latest(new, key, ts, "_o").drop("_o").repartition("_b").write.mode("overwrite").partitionBy("_b").parquet(f"{table}/v{epoch}")
+        named = spark.createDataFrame([(b, int(epoch)) for b in touched], "b int, v long") if touched else spark.createDataFrame([], "b int, v long")
+        named.coalesce(1).write.mode("overwrite").json(f"{table}/names/v{epoch}")
+        dealt.unpersist()
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _present(spark: SparkSession, table: str) -> dict[int, int]:
+    """The batch that wrote each bucket last."""
+    if not _exists(spark, f"{table}/names"):
+        return {}
+    names = spark.read.schema("b int, v long").option("recursiveFileLookup", "true").json(f"{table}/names")
+    return dict(names.groupBy("b").agg(F.max("v")).collect())  # a row for each bucket
+
+
+def read_latest(spark: SparkSession, table: str) -> DataFrame:
+    """The rows that latest_per_key() keeps."""
+    paths = [f"{table}/v{v}/_b={b}" for b, v in sorted(_present(spark, table).items())]
+    if not paths:
+        raise FileNotFoundError(f"{table} holds no batch yet")
+    return spark.read.parquet(*paths)
+
+
 def windowed_counts(stream: DataFrame, ts: str, kind: str, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
     return stream.withWatermark(ts, late).groupBy(F.window(ts, width), kind).agg(F.count(F.lit(1)).alias("n"))

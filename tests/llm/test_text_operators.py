@@ -222,3 +222,24 @@ def test_fit_sees_whole_texts(spark):
     bags, toxic, _ = toxicity.labelled(docs, labels)
     got = {t: dict(zip(names.split(), np.frombuffer(n, "<i4").tolist(), strict=True)) for (names, n), t in zip(bags, toxic, strict=True) if names}
     assert got[1] == {b"plain": 20_000, b"word": 20_000, b"slurword": 1}
+
+
+def test_toxicity_of_odd_tables(spark):
+    docs = spark.createDataFrame([(k, ("vile nasty filth " if k % 3 == 0 else "calm plain words ") + f"w{k % 7} and more of it", "x") for k in range(120)] + [(500, None, "y"), (501, "", "y"), (None, "calm", None), (1, "calm plain words w1 and more of it", "x")], "doc_id long, text string, toxicity string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(120)] + [(None, 1), (7, None)], "doc_id long, toxic int")
+    model = toxicity.fit_bags(*toxicity.labelled(docs, labels))
+    got = toxicity.score(docs, model).collect()
+    assert len(got) == 124 and all(0 <= r["toxicity"] <= 1 for r in got) and got[0].asDict().keys() == {"doc_id", "text", "toxicity"}
+    by = {}
+    for r in got:
+        by.setdefault(r["text"], set()).add(r["toxicity"])
+    assert all(len(s) == 1 for s in by.values()) and by[None] == by[""]
+    assert np.mean([(r["toxicity"] >= 0.5) == (r["doc_id"] % 3 == 0) for r in got if r["doc_id"] is not None and r["doc_id"] < 120]) > 0.9
+    none = toxicity.fit_bags(*toxicity.labelled(docs.limit(0), labels.limit(0)))
+    assert toxicity.score(docs.limit(0), none).count() == 0 and {r["toxicity"] for r in toxicity.score(docs, none).collect()} == {0.0}
+
+
+def test_pseudonyms_of_long_texts(spark):
+    long = "word 4078918989542222 " * 5_000
+    got = pii.pseudonymise(spark.createDataFrame([(1, long)], "doc_id long, text string"), "k").head()
+    assert got["n_card"] == 5_000 and len(got["text"]) == len(long)

@@ -11,6 +11,7 @@ from siteweave.operators.crossmatch import by_id_or_near
 from siteweave.operators.geo import containing, covered
 from siteweave.operators.order import numbered
 from siteweave.operators.triage import WEIGHTS, demolition_value, graph_severity, min_max, risk_value, short_id, victim_factor, wave_value
+from siteweave.shared import written
 
 # The columns of the published roster, those of the web export beside them, and the texts that tell damage.
 PUBLISHED = ("prioridad", "estado_visita", "id_asignacion", "score", "registro_id", "direccion", "comuna_corregimiento", "barrio_vereda", "coords", "zona_id", "ola", "despacho", "nivel_riesgo", "estado_estructura", "grafo_severidad", "n_fallecidos", "n_atrapamientos", "n_rescatados", "requiere_demolicion", "antiguedad_dias", "timestamp_registro", "flags", "fecha_corrida")
@@ -67,12 +68,14 @@ def assignments(records: DataFrame, done: DataFrame, visit_times: DataFrame, now
     roster is written (see checked()).
     """
     at = F.lit(now).cast("timestamp")
-    base = resolved_time(located(records), visit_times)
+    # Written at the two places where several later steps start from: place, zone, score and inspection read the first table, both
+    # parts of the roster the second.
+    base = written(resolved_time(located(records), visit_times), "located")
     text = F.concat_ws(" ", *(F.coalesce(column(base, c), F.lit("")) for c in DAMAGE_TEXTS))
     base = graph_severity(base.withColumn("_text", text), terms, "_text").drop("_text")
     seen = done.select(F.trim("registro_id").alias("_done")).where("_done <> ''").distinct()
     base = base.join(seen, F.trim("registro_id") == F.col("_done"), "left").withColumn("visited", F.col("_done").isNotNull()).drop("_done")
-    base = zoned(base, zones, "registro_id")
+    base = written(zoned(base, zones, "registro_id"), "zoned")
     age = (F.unix_micros(at) - F.unix_micros("ts")) / 86_400e6
     victims = {n: number(column(base, f"n_{n}_total")) for n in ("fallecidos", "atrapamientos", "rescatados")}
     base = base.withColumns({"age_days": age, **{f"_{n}": c for n, c in victims.items()}})
@@ -92,6 +95,7 @@ def assignments(records: DataFrame, done: DataFrame, visit_times: DataFrame, now
         F.coalesce(F.date_format("ts", "yyyy-MM-dd HH:mm"), F.lit("")).alias("timestamp_registro"), F.array_join(F.array_compact(F.array(F.when(F.col("zona_id") == "", "fuera_de_zona"), F.when(F.col("ts").isNull(), "sin_timestamp"))), ",").alias("flags"),
         F.date_format(at, "yyyy-MM-dd HH:mm").alias("fecha_corrida"), F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "ede_hecha", "ede_match", "ede_fecha", "ede_dist_m", F.coalesce("age_days", F.lit(-1.0)).alias("_sort"),
     )
+    out = written(out, "roster")
     pending = numbered(out.where("estado_visita = 'pendiente'"), [-F.col("score"), -F.col("_sort"), F.col("registro_id")], "prioridad")
     pending = pending.withColumn("prioridad", F.col("prioridad").cast("int"))
     if top is not None:

@@ -74,6 +74,31 @@ def test_neighbours_recall_and_ties(spark):
     assert neighbours.search(df.limit(0), lambda i: i % 50 == 0).count() == 0
 
 
+def test_neighbours_are_never_too_few(spark, monkeypatch):
+    import dataclasses
+
+    plain = neighbours.fit
+    monkeypatch.setattr(neighbours, "PER_CELL", 1)
+    monkeypatch.setattr(neighbours, "cells_for", lambda rows: 40)
+    monkeypatch.setattr(neighbours, "fit", lambda *a: dataclasses.replace(plain(*a), probes=1))
+    x = np.random.default_rng(3).normal(size=(60, 8))
+    df = spark.createDataFrame([(k, v.tolist(), "a", 1) for k, v in enumerate(x)], "vec_id long, embedding array<double>, cell string, q int")
+    got = neighbours.search(df, lambda i: i % 10 == 0).groupBy("query_id").count().collect()
+    assert {r["query_id"]: r["count"] for r in got} == dict.fromkeys(range(0, 60, 10), 5)
+    assert neighbours.search(df.limit(1), lambda i: i % 10 == 0).count() == 0
+
+
+def test_table_scan_equals_sums():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(900, 12))
+    index = neighbours.fit(x / np.linalg.norm(x, axis=1, keepdims=True), 900, 5)
+    near = index.codes(x / np.linalg.norm(x, axis=1, keepdims=True), np.zeros(900, int))
+    q, row, score = neighbours.scan(index, 0, near, x, x[:70], 900)
+    assert len(q) == 70 * 900 and np.allclose(score, [(x[a] @ x[b]) / np.linalg.norm(x[a]) / np.linalg.norm(x[b]) for a, b in zip(q, row, strict=True)])
+    q, row, _ = neighbours.scan(index, 0, near, x, x[:70], 20)
+    assert (np.bincount(q) == 20).all() and np.mean([k in row[q == k] for k in range(70)]) > 0.9
+
+
 def fields(rng, count, size=80):
     out = [128 + 50 * (f - f.mean()) / f.std() for f in (image_copies._box(image_copies._box(rng.normal(0, 1, (size, size)), 1), 1) for _ in range(count))]
     return np.clip(np.round(np.stack(out)), 0, 255).astype(np.float32)

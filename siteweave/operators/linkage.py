@@ -7,11 +7,13 @@ text tiers run on what the cheaper ones leave. Where candidates tie, the site th
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -154,12 +156,12 @@ def ngrams(df: DataFrame, key: str, column: str) -> DataFrame:
 
 
 def _vectors(grams: DataFrame, idf: DataFrame, key: str, least: float) -> DataFrame:
-    """(key, grams, weights, lead) of unit TF-IDF vectors, rarest gram first. lead: how many of the first grams it takes until
-    the rest is shorter than `least`."""
+    """(key, grams, weights, lead) of unit TF-IDF vectors, rarest gram first, grams as 64-bit hashes. lead: how many of the first
+    grams it takes until the rest is shorter than `least`."""
     w = grams.join(idf, "gram").withColumn("w", F.col("tf") * F.col("idf"))
     rows = w.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("df", "gram", "w"))).alias("x"))  # the grams of one text
     norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, g: s + g["w"] * g["w"]))
-    unit = rows.withColumn("norm", norm).select(key, F.transform("x", lambda g: g["gram"]).alias("grams"), F.transform("x", lambda g: g["w"] / F.col("norm")).alias("weights"))
+    unit = rows.withColumn("norm", norm).select(key, F.transform("x", lambda g: F.xxhash64(g["gram"])).alias("grams"), F.transform("x", lambda g: g["w"] / F.col("norm")).alias("weights"))
     # Squares are summed from the most frequent gram back; as long as the sum stays below the square of `least`, a gram is not in the lead.
     start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
     rest = F.aggregate(F.reverse("weights"), start, lambda s, w: F.struct((s["sum"] + w * w).alias("sum"), F.when(s["sum"] + w * w < least * least - 1e-9, s["n"] + 1).otherwise(s["n"]).alias("n")))
@@ -182,15 +184,29 @@ def tfidf_pairs(v: DataFrame, e: DataFrame, least: float) -> DataFrame:
     met = first(left, "a").join(first(right, "b"), "gram").select("a", "b").distinct()
     x, y = (d.select(k, F.col("grams").alias(f"g{k}"), F.col("weights").alias(f"w{k}")) for d, k in ((left, "a"), (right, "b")))
 
-    @F.pandas_udf("double")
-    def cosine(ga: pd.Series, wa: pd.Series, gb: pd.Series, wb: pd.Series) -> pd.Series:
-        out = []
-        for g, w, h, u in zip(ga, wa, gb, wb, strict=True):
-            own = dict(zip(g, w, strict=True))
-            out.append(float(sum(own[k] * z for k, z in zip(h, u, strict=True) if k in own)))
-        return pd.Series(out, dtype="float64")
-
-    return met.join(x, "a").join(y, "b").select("a", "b", cosine("ga", "wa", "gb", "wb").alias("sim")).where(F.col("sim") >= least)
+    kinds = dict(met.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4_096):
+                part = batch.slice(at, 4_096)
+                (pa_, ga, wa), (pb, gb, wb) = (_flat(part, k) for k in "ab")
+                # Grams of one pair get keys of their own, so that one search finds the common grams of all pairs.
+                own = lambda g, p: g.view(np.uint64) + p.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                x, y = own(ga, pa_), own(gb, pb)
+                order = np.argsort(y)
+                place = np.minimum(np.searchsorted(y, x, sorter=order), max(0, len(y) - 1))
+                hit = y[order[place]] == x if len(y) else np.zeros(len(x), bool)
+                sims = np.bincount(pa_[hit], wa[hit] * wb[order[place[hit]]], part.num_rows)
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(sims)], names=["a", "b", "sim"])
+
+    return met.join(x, "a").join(y, "b").select("a", "b", "ga", "wa", "gb", "wb").mapInArrow(run, f"a {kinds['a']}, b {kinds['b']}, sim double").where(F.col("sim") >= least)
+
+
+def _flat(part: pa.RecordBatch, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, grams and weights of a batch's vectors."""
+    grams, weights = part.column(f"g{side}"), part.column(f"w{side}")
+    return np.repeat(np.arange(part.num_rows), pc.list_value_length(grams).to_numpy()), pc.list_flatten(grams).to_numpy(), pc.list_flatten(weights).to_numpy()
 
 
 def _similarity_text() -> Column:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import gc
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siteweave.shared import delete, fresh, remove, shared_dir, written  # noqa: F401  as the operators import them from here
+
 #: The white space of the word rule [^\x20\x09-\x0D]+; all of it is one byte long in UTF-8.
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -25,43 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not named:
-        named = spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = f"file://{tempfile.mkdtemp(prefix='siteweave-')}"
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
-def fresh(spark: SparkSession, what: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/siteweave/{what}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, what: str) -> DataFrame:
-    """df as a table in the shared folder: lineage ends there, so a lost executor costs no recomputation before it."""
-    spark = df.sparkSession
-    path = fresh(spark, what)
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.written_path = path
-    return out
-
-
-def remove(df: DataFrame) -> None:
-    """Delete a table made by written() that nothing will read again."""
-    delete(df.sparkSession, df.written_path)
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -54,7 +54,8 @@ STAGES = [
     ("source_mix", mix_sources),
     ("sentence_pieces", encode_pieces),
 ]
-#: The stages score, hash and segment by models that SQL can't express; tests hold each against a brute-force version.
+#: The stages score, hash and segment by models that SQL can't express; tests/llm/test_pipeline.py holds each stage against brute
+#: force, SQL or its own parts on the driver.
 ORACLE_SQL = None
 
 

@@ -9,6 +9,7 @@ from siteweave.functions import text
 from siteweave.operators import calibrated, earlier, linkage, proposals, reports, roster
 from siteweave.plans.linkage import _ALL, _PRE, _TIER_SQL, both, matched
 from siteweave.plans.triage import _HAV, _zones, table
+from siteweave.shared import written
 from siteweave.sources import exports, loaders, sinks
 from siteweave.sources.tables import SITES, VISITS, sites, visits
 
@@ -259,9 +260,9 @@ def negative_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def reranked_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The re-ranker on visits with a known site, with few trees."""
+    """The re-ranker on visits with a known site, with few trees and texts of a cosine of 0.6 or more."""
     v, e = both(spark, sf_dir)
-    pairs = calibrated.rerank_features(calibrated.rerank_candidates(v, e), v, e)
+    pairs = written(calibrated.rerank_features(written(calibrated.rerank_candidates(v, e, least=0.6), "candidates"), v, e), "pairs")
     truth = visits(spark, sf_dir).select("visita_id", "true_pos")
     labelled = pairs.join(truth, "visita_id").withColumn("label", (F.col("pos") == F.col("true_pos")).cast("double")).drop("true_pos")
     names = [c for c in pairs.columns if c.startswith("f_")]

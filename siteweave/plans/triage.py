@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from siteweave.functions import coords, similarity, text
 from siteweave.operators import calibrated, crossmatch, geo, linkage, media, metrics, triage
 from siteweave.plans.linkage import both
+from siteweave.shared import written
 from siteweave.sources import readers, sinks
 from siteweave.sources.tables import SITES, VISITS, sites, visits
 
@@ -262,7 +263,7 @@ def block_corroboration(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def calibrated_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     v, e = both(spark, sf_dir)
-    pairs = calibrated.features(calibrated.candidates(v, e), v, e)
+    pairs = written(calibrated.features(calibrated.candidates(v, e), v, e), "pairs")
     truth = visits(spark, sf_dir).select("visita_id", F.col("true_pos"))
     labelled = pairs.join(truth, "visita_id").withColumn("label", (F.col("pos") == F.col("true_pos")).cast("double"))
     names = [c for c in pairs.columns if c.startswith("f_")]

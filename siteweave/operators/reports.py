@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siteweave.functions.coords import haversine_m, parse_latlon
 from siteweave.functions.text import addr_key
 from siteweave.operators.crossmatch import OUTSIDE, by_address, by_id_or_near
 from siteweave.operators.geo import containing, in_ring, nearest
+from siteweave.operators.order import numbered
 from siteweave.operators.triage import short_id
 
 # Radii in metres, and the states of a point that is still to be visited.
@@ -135,7 +136,7 @@ def inspection_cascade(records: DataFrame, inspections: DataFrame, cascade, prep
         return df.select(F.col(key).alias(name), F.col(address).alias("direccion_norm"), F.col(area).alias("barrio"), p["lat"].alias("lat"), p["lon"].alias("lon"), F.lit("tecleada").alias("coords_fuente"), F.lit("").alias("consecutivo"))
 
     e = framed(records, "registro_id", "direccion_unificada", "barrio_unificado", "coords_unificadas", "sitio_id")
-    e = e.withColumn("pos", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("sitio_id")).cast("long")) if "pos" not in records.columns else e.join(records.select(F.col("registro_id").alias("sitio_id"), "pos"), "sitio_id")
+    e = numbered(e, [F.col("sitio_id")], "pos") if "pos" not in records.columns else e.join(records.select(F.col("registro_id").alias("sitio_id"), "pos"), "sitio_id")
     v = framed(inspections, "id_edan", "direccion_norm", "barrio_vereda", "coords", "visita_id")
     found = cascade(prepare(v), prepare(e)).where("sitio_id is not null").select(F.col("sitio_id").alias("_r"), F.col("visita_id").alias("edan_id"), "match_method", "match_score")
     kind = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))

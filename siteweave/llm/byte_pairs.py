@@ -6,7 +6,8 @@ Encoding takes three steps, of which only the middle one sees words of the whole
    its own dictionary (most frequent first), and gives each distinct one to the bucket of its hash, once.
 2. In a bucket, each distinct word is encoded once; the ids go back to every block that asked. However frequent a word is, a
    block asks for it once, so no bucket is hot.
-3. A block puts the ids of its words in the order of their positions and cuts them into documents.
+3. A block puts the ids of its words in the order of their positions and cuts them into documents. Blocks lie in a bucketed
+   table in the shared folder, so they are not shuffled for it; only the ids are.
 
 Decoding joins ids with the token-byte table, whose size the vocabulary fixes, so it is broadcast.
 
@@ -18,7 +19,7 @@ kept as they are, row by row. Columns besides id and text are ignored. An empty
 from __future__ import annotations
 
 import base64
-import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +29,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteweave.llm.common import kept, pieces, table, utf8, written
+from siteweave.llm.common import fresh, kept, pieces, table, utf8
 
-#: Bytes of text in a block, and buckets of words. Words of a bucket are held by one task, one bucket after the other.
+#: Bytes of text in a block, and the least number of buckets of words.
 BLOCK, BUCKETS = 16 << 20, 1_024
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
 
@@ -122,6 +123,23 @@ def _numbers(packed: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, n).T).view("<u4").ravel()
 
 
+def _packed(raw: np.ndarray, offsets: np.ndarray) -> bytes:
+    """Strings that lie one behind the other, compressed: the size of all, their sizes, their bytes."""
+    sizes = np.diff(offsets)
+    body = (np.minimum(sizes, 255).astype(np.uint8).tobytes(), sizes[sizes >= 255].astype("<u4").tobytes(), raw[offsets[0] : offsets[-1]].tobytes())
+    whole = b"".join(body)
+    return len(whole).to_bytes(4, "little") + pa.compress(whole, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> list[str]:
+    whole = pa.decompress(data[4:], decompressed_size=int.from_bytes(data[:4], "little"), codec="zstd", asbytes=True)
+    sizes = np.frombuffer(whole, np.uint8, n).astype(np.int64)
+    long = np.flatnonzero(sizes == 255)
+    sizes[long] = np.frombuffer(whole, "<u4", len(long), n)
+    at = np.append(0, np.cumsum(sizes))
+    return pa.LargeStringArray.from_buffers(n, pa.py_buffer(at), pa.py_buffer(whole).slice(n + 4 * len(long))).to_pylist()
+
+
 def _hash(words: pa.Array) -> np.ndarray:
     """A bucket for each word, alike in every block: its bytes' sum of odd powers, mixed."""
     raw, offsets = utf8(words)
@@ -131,7 +149,7 @@ def _hash(words: pa.Array) -> np.ndarray:
     return ((sums ^ (sums >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)).astype(np.int64)
 
 
-_BLOCKS = "block long, ids array<long>, sizes array<int>, n int, codes binary, places binary, buckets array<struct<bucket:int,words:array<string>>>"
+_BLOCKS = "block long, ids array<long>, sizes array<int>, n int, codes binary, places binary, buckets array<struct<bucket:int,n:int,words:binary>>"
 
 
 def blocks(df: DataFrame, ranks: str, id_column: str = "doc_id", text: str = "text", block: int = BLOCK, buckets: int = BUCKETS) -> DataFrame:
@@ -151,12 +169,15 @@ def blocks(df: DataFrame, ranks: str, id_column: str = "doc_id", text: str = "te
             bucket = _hash(distinct)[often] % buckets if len(distinct) else np.empty(0, np.int64)
             rank = np.empty(len(often), np.uint32)
             rank[often] = np.arange(len(often))
-            order = np.argsort(bucket, kind="stable")
+            words_of = distinct.take(pa.array(often))
+            order = pc.sort_indices(pa.table({"bucket": bucket, "word": words_of}), sort_keys=[("bucket", "ascending"), ("word", "ascending")]).to_numpy()
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order))
             filled, upto = np.unique(bucket[order], return_index=True)
-            lists = pa.ListArray.from_arrays(pa.array([*upto, len(order)], pa.int32()), distinct.take(pa.array(often[order])).cast(pa.string()))
-            shared = pa.StructArray.from_arrays([pa.array(filled, pa.int32()), lists], ["bucket", "words"])
+            raw, offsets = utf8(words_of.take(pa.array(order)))
+            bounds = [*upto.tolist(), len(order)]
+            lists = [_packed(raw, offsets[lo : hi + 1]) for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
+            shared = pa.StructArray.from_arrays([pa.array(filled, pa.int32()), pa.array(np.diff(bounds), pa.int32()), pa.array(lists, pa.binary())], ["bucket", "n", "words"])
             out = [pa.array([(part << 33) + made]), pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())), pa.array([len(codes)], pa.int32()), pa.array([_planes(rank[codes])], pa.binary()), pa.array([_planes(place)], pa.binary())]
             made += 1
             return pa.RecordBatch.from_arrays([*out, pa.ListArray.from_arrays(pa.array([0, len(shared)], pa.int32()), shared)], names=["block", "ids", "sizes", "n", "codes", "places", "buckets"])
@@ -179,7 +200,7 @@ def blocks(df: DataFrame, ranks: str, id_column: str = "doc_id", text: str = "te
 
 
 def answers(asked: DataFrame, ranks: str) -> DataFrame:
-    """Step 2. (block, bucket, sizes, ids) for the rows (block, bucket, words): each distinct word of a bucket is encoded once."""
+    """Step 2. (block, bucket, sizes, n, ids) for the rows (block, bucket, n, words): each distinct word of a bucket is encoded once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = _tools(ranks)
@@ -187,11 +208,11 @@ def answers(asked: DataFrame, ranks: str) -> DataFrame:
         known, at = {}, None
         for batch in batches:
             out = []
-            for block, bucket, words in zip(batch.column("block").to_pylist(), batch.column("bucket").to_pylist(), batch.column("words"), strict=True):
+            for block, bucket, n, words in zip(*(batch.column(c).to_pylist() for c in ("block", "bucket", "n", "words")), strict=True):
                 if bucket != at:
                     known, at = {}, bucket
                 found = []
-                for word in words.values.to_pylist():
+                for word in _unpacked(words, n):
                     ids = known.get(word)
                     if ids is None:
                         ids = known[word] = encode(word)
@@ -230,7 +251,7 @@ def reassembled(cut: DataFrame, answered: DataFrame, ranks: str, id_column: str
                     lo = hi
 
     got = answered.groupBy("block").agg(F.collect_list(F.struct("bucket", "sizes", "n", "ids")).alias("got"))  # as many rows as buckets, at most
-    return cut.join(got, "block", "left").mapInArrow(run, f"`{id_column}` long, ids array<int>")
+    return cut.hint("merge").join(got, "block", "left").mapInArrow(run, f"`{id_column}` long, ids array<int>")
 
 
 def decode(df: DataFrame, ranks: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -260,10 +281,20 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids", into: str = "decoded") -
     return df.mapInArrow(run, f"{fields}, `{into}` binary")
 
 
-def encode(df: DataFrame, ranks: str, id_column: str = "doc_id", text: str = "text", block: int = BLOCK, buckets: int = BUCKETS) -> DataFrame:
-    """(id, ids) of each row."""
-    cut = written(blocks(df, ranks, id_column, text, block, buckets), "blocks")
-    asked = cut.select("block", F.explode("buckets").alias("b")).select("block", "b.bucket", "b.words")
+def _by_block(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder, bucketed by block as joins will want it. The catalog keeps its name until it is dropped."""
+    spark = df.sparkSession
+    name = f"siteweave_blocks_{uuid.uuid4().hex}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(parts, "block").option("compression", "zstd").option("path", fresh(spark, "blocks")).saveAsTable(name)
+    return spark.table(name)
+
+
+def encode(df: DataFrame, ranks: str, id_column: str = "doc_id", text: str = "text", block: int = BLOCK, buckets: int | None = None) -> DataFrame:
+    """(id, ids) of each row. buckets: eight for each shuffle partition, if not given, so that their words stay few."""
+    buckets = buckets or max(BUCKETS, 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cut = _by_block(blocks(df, ranks, id_column, text, block, buckets))
+    asked = cut.select("block", F.explode("buckets").alias("b")).select("block", "b.bucket", "b.n", "b.words")
     return reassembled(cut.select("block", "ids", "sizes", "n", "codes", "places"), answers(asked, ranks), ranks, id_column)
 
 

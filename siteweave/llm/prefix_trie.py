@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from siteweave.llm.common import table, written
 
 #: Conversations of a shard, and nodes that a task works on at once.
-MEMBERS, AT_ONCE = 2_048, 200_000
+MEMBERS, AT_ONCE = 128, 200_000
 _WORDS = r"[^\x20\x09-\x0D]+"
 _PATH = ["d", "p1", "p2"]
 

@@ -11,7 +11,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 from siteweave.functions import text
 from siteweave.functions.similarity import neighbourhoods_agree, token_set
 from siteweave.operators.geo import near_join
+from siteweave.operators.similar import gram_candidates, levelled, nearest_vectors, set_search
 from siteweave.shared import written
 
 
@@ -156,36 +156,28 @@ def ngrams(df: DataFrame, key: str, column: str) -> DataFrame:
 
 
 def _vectors(grams: DataFrame, idf: DataFrame, key: str, least: float) -> DataFrame:
-    """(key, grams, weights, lead) of unit TF-IDF vectors, rarest gram first, grams as 64-bit hashes. lead: how many of the first
-    grams it takes until the rest is shorter than `least`."""
+    """(key, x, level, rest, grams, weights) of unit TF-IDF vectors, rarest gram first, grams as 64-bit hashes."""
     w = grams.join(idf, "gram").withColumn("w", F.col("tf") * F.col("idf"))
     rows = w.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("df", "gram", "w"))).alias("x"))  # the grams of one text
     norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, g: s + g["w"] * g["w"]))
-    unit = rows.withColumn("norm", norm).select(key, F.transform("x", lambda g: F.xxhash64(g["gram"])).alias("grams"), F.transform("x", lambda g: g["w"] / F.col("norm")).alias("weights"))
-    # Squares are summed from the most frequent gram back; as long as the sum stays below the square of `least`, a gram is not in the lead.
-    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
-    rest = F.aggregate(F.reverse("weights"), start, lambda s, w: F.struct((s["sum"] + w * w).alias("sum"), F.when(s["sum"] + w * w < least * least - 1e-9, s["n"] + 1).otherwise(s["n"]).alias("n")))
-    return unit.withColumn("lead", F.size("weights") - rest["n"])
+    unit = rows.withColumn("norm", norm).select(key, F.transform("x", lambda g: F.struct(g["df"].alias("df"), F.xxhash64(g["gram"]).alias("gram"), (g["w"] / F.col("norm")).alias("w"))).alias("x"))
+    return levelled(unit, key, least).withColumns({"grams": F.col("x.gram"), "weights": F.col("x.w")})
 
 
 def tfidf_pairs(v: DataFrame, e: DataFrame, least: float) -> DataFrame:
-    """(a, b, sim) of texts v (a, t) and e (b, t, n) with a cosine of TF-IDF vectors of at least `least`.
+    """(a, b, sim) of texts v (a, t) and e (b, t, n), a and b long, with a cosine of TF-IDF vectors of at least `least`.
 
-    Weights are fitted on e, where each text counts n times. Two vectors that reach the floor share a gram among the first
-    ones of both, rarest first, that it takes until the rest of a vector is shorter than the floor; only these grams meet, so
-    frequent grams don't bring all texts together. The cosine is then computed on the whole vectors.
+    Weights are fitted on e, where each text counts n times. Partial products over rare grams leave few candidates (see
+    gram_candidates); their cosines are then computed on the whole vectors.
     """
     sites = written(ngrams(e, "b", "t").join(e.select("b", "n"), "b"), "grams")
     total = e.agg(F.sum("n").alias("n_all"))  # one row
-    idf = sites.groupBy("gram").agg(F.sum("n").alias("df")).crossJoin(F.broadcast(total)).select("gram", "df", (F.log((1 + F.col("n_all")) / (1 + F.col("df"))) + 1).alias("idf"))
+    idf = written(sites.groupBy("gram").agg(F.sum("n").alias("df")).crossJoin(F.broadcast(total)).select("gram", "df", (F.log((1 + F.col("n_all")) / (1 + F.col("df"))) + 1).alias("idf")), "idf")
     left = written(_vectors(ngrams(v, "a", "t"), idf, "a", least), "vectors")
     right = written(_vectors(sites.select("b", "gram", "tf"), idf, "b", least), "vectors")
-    first = lambda d, key: d.select(key, F.explode(F.slice("grams", F.lit(1), F.col("lead"))).alias("gram"))
-    met = first(left, "a").join(first(right, "b"), "gram").select("a", "b").distinct()
+    met = gram_candidates(left.select("a", "x", "level", "rest"), right.select("b", "x", "level", "rest"), least)
     x, y = (d.select(k, F.col("grams").alias(f"g{k}"), F.col("weights").alias(f"w{k}")) for d, k in ((left, "a"), (right, "b")))
 
-    kinds = dict(met.dtypes)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 4_096):
@@ -200,7 +192,7 @@ def tfidf_pairs(v: DataFrame, e: DataFrame, least: float) -> DataFrame:
                 sims = np.bincount(pa_[hit], wa[hit] * wb[order[place[hit]]], part.num_rows)
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(sims)], names=["a", "b", "sim"])
 
-    return met.join(x, "a").join(y, "b").select("a", "b", "ga", "wa", "gb", "wb").mapInArrow(run, f"a {kinds['a']}, b {kinds['b']}, sim double").where(F.col("sim") >= least)
+    return met.join(x, "a").join(y, "b").select("a", "b", "ga", "wa", "gb", "wb").mapInArrow(run, "a long, b long, sim double").where(F.col("sim") >= least)
 
 
 def _flat(part: pa.RecordBatch, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,8 +213,9 @@ def _text_sims(v: DataFrame, e: DataFrame, least: float, k: int = 5) -> DataFram
     texts = named.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("b"))
     first = F.row_number().over(Window.partitionBy("t").orderBy("pos"))
     places = named.withColumn("_k", first).where(F.col("_k") <= k).drop("_k").join(texts.select("t", "b"), "t").select("b", "pos")
-    pairs = tfidf_pairs(v.select(F.col("key_text").alias("a"), F.col("key_text").alias("t")).distinct(), texts, least)
-    return pairs.join(places, "b").select(F.col("a").alias("key_text"), "pos", "sim")
+    asked = written(v.select("key_text").distinct().withColumn("a", F.monotonically_increasing_id()), "texts")
+    pairs = tfidf_pairs(asked.select("a", F.col("key_text").alias("t")), written(texts, "texts"), least)
+    return pairs.join(places, "b").join(asked, "a").select("key_text", "pos", "sim")
 
 
 def text_pairs(v: DataFrame, e: DataFrame, least: float, k: int = 20) -> DataFrame:
@@ -241,100 +234,20 @@ def tfidf(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
     return _best(met, F.round("sim", 3), F.desc(F.round("sim", 12)), k=5, guard=text.coherent(F.col("v_vec"), F.col("e_vec"), strict=True) & _barrio(c))
 
 
-def fuzzy_top(asked: list[str], sites: list[tuple[int, str]], least: float, k: int = 5) -> list[tuple[str, int, float]]:
-    """(text, pos, ratio): the k best token-set ratios of each text among all sites, at the floor or above; ties by pos.
-
-    Ratios are computed where a bound by shared words and letters allows the floor.
-    """
-    at: dict[str, list[int]] = {}
-    for pos, t in sorted(sites):
-        at.setdefault(t, []).append(pos)
-    texts = [t for t in at if t.split()]
-    words = [sorted(set(t.split())) for t in texts]
-    size = np.array([len(" ".join(w)) for w in words])
-    column = {ch: j for j, ch in enumerate(sorted({" ", *(ch for t in texts for ch in t)}))}
-    letters = lambda w: np.bincount([column[ch] for ch in " ".join(w) if ch in column], minlength=len(column)).astype(np.int32)
-    counts = np.array([letters(w) for w in words]).reshape(len(words), len(column))
-    index: dict[str, list[int]] = {}
-    for j, w in enumerate(words):
-        for one in w:
-            index.setdefault(one, []).append(j)
-    where = {one: np.array(js) for one, js in index.items()}
-    out = []
-    for t in asked:
-        mine = sorted(set(t.split()))
-        if not mine or not texts:
-            continue
-        own = len(" ".join(mine))
-        shared = np.zeros(len(texts))
-        for one in mine:
-            if one in where:
-                shared[where[one]] += len(one) + 1
-        shared = np.maximum(shared - 1, 0)  # the shared words with spaces between
-        bound = np.maximum(200 * np.minimum(counts, letters(mine)).sum(1) / (own + size), 200 * shared / (shared + np.minimum(own, size)))
-        near = [(-r, pos) for j in np.flatnonzero(bound >= least - 1e-6).tolist() if (r := token_set(t, texts[j])) >= least for pos in at[texts[j]][:k]]
-        out += [(t, pos, -r) for r, pos in sorted(near)[:k]]
-    return out
-
-
-def best_texts(texts: DataFrame, sites: DataFrame, top: Callable, block: int = 4_096, part: int = 512) -> DataFrame:
-    """(key_text, pos, ratio) of the five best sites (pos, t) of each of the texts (t): blocks of sites of bounded size meet parts
-    of the texts, and top(texts, [(pos, t)]) gives the best of a block as (text, pos, ratio)."""
-    blocks, parts = max(1, -(-sites.count() // block)), max(1, -(-texts.count() // part))
-    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = texts.withColumn("part", dealt("t", parts)).withColumn("block", every(blocks))
-    right = sites.withColumn("block", dealt("pos", blocks)).withColumn("part", every(parts))
-
-    def best(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        got = top(x["t"].tolist(), list(zip(y["pos"].tolist(), y["t"].tolist(), strict=True)))
-        return pd.DataFrame({"key_text": pd.Series([g[0] for g in got], dtype="object"), "pos": pd.Series([g[1] for g in got], dtype="int64"), "ratio": pd.Series([g[2] for g in got], dtype="float64")})
-
-    found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(best, "key_text string, pos long, ratio double")
-    rank = F.row_number().over(Window.partitionBy("key_text").orderBy(F.desc("ratio"), "pos"))
-    return found.withColumn("_k", rank).where("_k <= 5").drop("_k")
-
-
-def fuzzy(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG, block: int = 4_096, part: int = 512) -> DataFrame:
+def fuzzy(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
     """Of the five best token-set ratios at the floor or above, the first that is coherent and whose neighbourhood agrees. All
     sites are candidates."""
     sites = e.select("pos", _similarity_text().alias("t"))
-    texts = v.where(F.length("canon") >= c.fuzzy_length).select(F.col("canon").alias("t")).distinct()
-    five = best_texts(texts, sites, lambda asked, near: fuzzy_top(asked, near, c.fuzzy_min), block, part)
+    five = set_search(v.where(F.length("canon") >= c.fuzzy_length).select(F.col("canon").alias("t")), sites, token_set, c.fuzzy_min, 5)
     one, two = _sides(v, e)
     met = one.join(five, F.col("v_canon") == F.col("key_text")).join(two, F.col("pos") == F.col("e_pos"))
     return _best(met, F.round("ratio", 1), F.desc("ratio"), k=5, guard=text.coherent(F.col("v_vec"), F.col("e_vec"), strict=True) & _barrio(c))
 
 
-def nearest_embeddings(v: DataFrame, e: DataFrame, k: int, least: float = -1.0, block: int = 4_096, part: int = 4_096) -> DataFrame:
-    """(visita_id, pos, sim): the k sites of nearest embedding (column emb), at `least` or above.
-
-    Blocks of sites of bounded size meet parts of the visits' distinct embeddings.
-    """
-    sites = e.where("emb is not null").select("pos", "emb")
-    blocks = max(1, -(-sites.count() // block))
+def nearest_embeddings(v: DataFrame, e: DataFrame, k: int, least: float = -1.0) -> DataFrame:
+    """(visita_id, pos, sim): the k sites of nearest embedding (column emb), at `least` or above, of visits with an address."""
     asked = v.where("emb is not null and canon <> ''").withColumn("ask", F.xxhash64("emb"))
-    distinct = written(asked.groupBy("ask").agg(F.min("emb").alias("emb")), "asked")
-    parts = max(1, -(-distinct.count() // part))
-    distinct = distinct.withColumn("part", F.pmod("ask", F.lit(parts)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def top(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"ask": pd.Series(dtype="int64"), "pos": pd.Series(dtype="int64"), "sim": pd.Series(dtype="float64")})
-        unit = lambda m: m / (np.linalg.norm(m, axis=1, keepdims=True) + 1e-9)
-        right = right.sort_values("pos")
-        x, y = (unit(np.stack(d["emb"].to_numpy()).astype(np.float64)) for d in (left, right))
-        out = []
-        for at in range(0, len(x), 1_024):
-            sim = np.round(x[at : at + 1_024] @ y.T, 12)
-            best = np.argsort(-sim, axis=1, kind="stable")[:, :k]
-            out.append(pd.DataFrame({"ask": np.repeat(left["ask"].to_numpy()[at : at + 1_024], best.shape[1]), "pos": right["pos"].to_numpy()[best].ravel(), "sim": np.take_along_axis(sim, best, 1).ravel()}))
-        return pd.concat(out)
-
-    dealt = sites.withColumn("block", F.pmod(F.xxhash64("pos"), F.lit(blocks)).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    found = distinct.groupBy("block", "part").cogroup(dealt.groupBy("block", "part")).applyInPandas(top, "ask long, pos long, sim double").where(F.col("sim") >= least)
-    rank = F.row_number().over(Window.partitionBy("ask").orderBy(F.desc("sim"), "pos"))
-    best = found.withColumn("_k", rank).where(F.col("_k") <= k).drop("_k")
+    best = nearest_vectors(asked.groupBy("ask").agg(F.min("emb").alias("emb")), e.select("pos", "emb"), k, least)
     return asked.select("visita_id", "ask").join(best, "ask").select("visita_id", "pos", "sim")
 
 

@@ -116,7 +116,11 @@ def test_fuzzy_meets_all_sites(spark):
     made = lambda: " ".join(rng.choice(words) for _ in range(rng.randrange(7)))
     sites, asked = [(k, made()) for k in range(300)], sorted({made() for _ in range(60)})
     brute = [(t, pos, -r) for t in asked for r, pos in sorted((-token_set(t, s), pos) for pos, s in sites if token_set(t, s) >= 88)[:5]]
-    assert len(brute) > 50 and linkage.fuzzy_top(asked, sites, 88.0) == brute
+    from siteweave.operators.similar import set_search
+
+    texts, held = spark.createDataFrame([(t,) for t in asked], "t string"), spark.createDataFrame(sites, "pos long, t string")
+    got = sorted((r["key_text"], -r["ratio"], r["pos"]) for r in set_search(texts, held, token_set, 88.0, 5).collect())
+    assert len(brute) > 50 and [(t, pos, -r) for t, r, pos in got] == brute
     e = [(0, "S0", "CL 38 # 120-5, Cali", "", None, None, None, None), (1, "S1", "PARQUEADERO LOS GUADUALES, Cali", "", None, None, None, None)]
     left, right = sides(spark, e, [("V", "PARQUEADEROS LOS GUADUALES, Cali", "", None, None, None, None)])
-    assert [r["sitio_id"] for r in linkage.fuzzy(left, right, block=1, part=1).collect()] == ["S1"]
+    assert [r["sitio_id"] for r in linkage.fuzzy(left, right).collect()] == ["S1"]

@@ -43,7 +43,7 @@ def levelled(rows: DataFrame, key: str, least: float) -> DataFrame:
     return out.select(key, "x", "level", F.sqrt(beyond).alias("rest"))
 
 
-def gram_candidates(left: DataFrame, right: DataFrame, least: float, part: int = 4_096) -> DataFrame:
+def gram_candidates(left: DataFrame, right: DataFrame, least: float, part: int = 2_048) -> DataFrame:
     """(a, b): pairs of vectors, as levelled() gives them for keys a and b (long), that may reach the least cosine.
 
     For two vectors, products are summed over the grams up to the higher one of their levels. The grams beyond add no more than
@@ -51,10 +51,12 @@ def gram_candidates(left: DataFrame, right: DataFrame, least: float, part: int =
     moved: parts of the left side meet the postings of their own grams, and of other grams those of vectors that have them
     within their own level.
     """
-    one = lambda d, k: d.select(k, "rest", F.col("level").alias("own_level"), F.explode("x").alias("g")).select(k, "rest", "g.gram", "g.w", (F.col("g.level") <= F.col("own_level")).alias("own"))
-    parts = max(1, -(-left.count() // part))
-    asks = one(left.withColumn("part", F.pmod(F.xxhash64("a"), F.lit(parts)).cast("int")), "a").withColumn("part", F.pmod(F.xxhash64("a"), F.lit(parts)).cast("int"))
-    holds = one(right, "b")
+    one = lambda d, k: d.select(k, "rest", F.col("level").alias("own_level"), F.explode("x").alias("g")).select(k, "rest", "own_level", "g.gram", "g.w", (F.col("g.level") <= F.col("own_level")).alias("own"))
+    # Parts hold vectors of one level, so that frequent grams' postings go only where vectors need them; there are few levels.
+    sizes = {r["level"]: r["count"] for r in left.groupBy("level").count().collect()}
+    share = F.coalesce(*(F.when(F.col("own_level") == level, F.pmod(F.xxhash64("a"), F.lit(-(-n // part)))) for level, n in sizes.items()), F.lit(0))
+    asks = one(left, "a").withColumn("part", F.col("own_level").cast("long") * 1_000_000_000 + share).drop("own_level")
+    holds = one(right, "b").drop("own_level")
     needs = written(asks.groupBy("gram", "part").agg(F.max("own").alias("whole")), "needs")
     shipped = needs.where("whole").join(holds, "gram").unionByName(needs.where("not whole").join(holds.where("own"), "gram")).select("part", "gram", "b", "w", "own", "rest")
 
@@ -68,26 +70,35 @@ def gram_candidates(left: DataFrame, right: DataFrame, least: float, part: int =
         first = np.searchsorted(gb, ga)
         count = np.searchsorted(gb, ga, side="right") - first
         upto = np.append(0, np.cumsum(count))
-        out, lo, n = [], 0, len(a)
-        while lo < n:
-            # Whole vectors of about two million products at a time.
-            hi = min(n, max(lo + 1, int(np.searchsorted(upto, upto[lo] + (1 << 21)))))
-            while hi < n and a[hi] == a[hi - 1]:
-                hi += 1
+        heads = np.append(np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.empty(0, np.int64), len(a))
+        ids, where, place = np.unique(b, return_index=True, return_inverse=True)
+        rests, n = rb[where], len(ids)
+        out, k = [], 0
+        while k < len(heads) - 1:
+            # Whole vectors of about two million products, and as many sums, at a time.
+            lo = heads[k]
+            last = min(int(np.searchsorted(upto[heads], upto[lo] + (1 << 21))), k + max(1, (1 << 21) // max(1, n)), len(heads) - 1)
+            last = max(last, k + 1)
+            hi = heads[last]
             row = np.repeat(np.arange(lo, hi), count[lo:hi])
             at = np.arange(len(row)) - np.repeat(upto[lo:hi] - upto[lo], count[lo:hi]) + first[row]
-            keep = oa[row] | ob[at]
-            row, at = row[keep], at[keep]
-            if len(row):
-                ids, place = np.unique(b[at], return_inverse=True)
-                pair = np.searchsorted(a[lo:hi], a[row]) * len(ids) + place
-                met = np.argsort(pair, kind="stable")
-                head = np.flatnonzero(np.append(True, pair[met][1:] != pair[met][:-1]))
-                sums = np.add.reduceat((wa[row] * wb[at])[met], head)
-                r, p = row[met][head], at[met][head]
-                good = sums + ra[r] * rb[p] >= least - 1e-9
-                out.append((a[r][good], b[p][good]))
-            lo = hi
+            if not oa[lo:hi].all():
+                keep = oa[row] | ob[at]
+                row, at = row[keep], at[keep]
+            own = np.searchsorted(heads[k : last + 1], np.arange(lo, hi), side="right") - 1
+            pair = own[row - lo] * n + place[at]
+            products = wa[row] * wb[at]
+            if len(pair) * 32 >= (last - k) * n:
+                sums = np.bincount(pair, products, (last - k) * n)
+                pair = np.flatnonzero(sums > 0)
+                sums = sums[pair]
+            else:
+                pair, which = np.unique(pair, return_inverse=True)
+                sums = np.bincount(which, products)
+            x_at, y_at = heads[k + pair // n] if len(pair) else pair, pair % max(1, n)
+            good = sums + ra[x_at] * rests[y_at] >= least - 1e-9
+            out.append((a[x_at[good]], ids[y_at[good]]))
+            k = last
         whole = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.empty(0, np.int64)] * 2
         return pa.table({"a": whole[0], "b": whole[1]})
 

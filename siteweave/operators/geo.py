@@ -11,19 +11,28 @@ from siteweave.functions.coords import haversine_m
 DEGREE_M = 110_000.0
 
 
-def near_join(left: DataFrame, right: DataFrame, radius_m: float, lat: str = "lat", lon: str = "lon", rlat: str = "rlat", rlon: str = "rlon", distance: str = "dist_m", most_lat: float = 10.0) -> DataFrame:
+def near_join(left: DataFrame, right: DataFrame, radius_m: float, lat: str = "lat", lon: str = "lon", rlat: str = "rlat", rlon: str = "rlon", distance: str = "dist_m") -> DataFrame:
     """Pairs of rows within a radius: an equi join on grid cells no smaller than the radius, the right side in its nine
-    neighbours, then the true distance. Points with nulls meet nothing. most_lat: the largest latitude, which sets the width of a cell.
-    """
-    import math
+    neighbours, then the true distance. Points with nulls meet nothing.
 
+    Cells lie in bands of latitude; each band is cut into as many cells as its narrowest parallel allows, around the globe, so
+    the join is right at every latitude and across the 180th meridian.
+    """
     high = radius_m / DEGREE_M
-    wide = high / math.cos(math.radians(most_lat))
-    cell = lambda a, b: (F.floor(F.col(a) / high).alias("cell_y"), F.floor(F.col(b) / wide).alias("cell_x"))
-    here = left.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select("*", *cell(lat, lon))
-    steps = F.array(*(F.struct(F.lit(dy).alias("y"), F.lit(dx).alias("x")) for dy in (-1, 0, 1) for dx in (-1, 0, 1)))
-    there = right.where(F.col(rlat).isNotNull() & F.col(rlon).isNotNull()).select("*", *(c.alias(n) for c, n in zip(cell(rlat, rlon), ("cy", "cx"), strict=True)), F.explode(steps).alias("step"))
-    there = there.withColumns({"cell_y": F.col("cy") + F.col("step.y"), "cell_x": F.col("cx") + F.col("step.x")}).drop("cy", "cx", "step")
+    band = lambda a: F.floor(F.col(a) / high)
+
+    def around(y: Column) -> Column:
+        """Cells of a band: narrow enough for it and for the bands beside it."""
+        edge = F.least(F.greatest(F.abs((y - 1) * high), F.abs((y + 2) * high)), F.lit(90.0))
+        n = F.floor(F.lit(360.0) * F.cos(F.radians(edge)) / high)
+        return F.when(n < 16, F.lit(1).cast("long")).otherwise(n)  # close to a pole, where arcs bend, one cell
+
+    spot = lambda b, n: F.least(F.floor((F.pmod(F.col(b) + 180.0, F.lit(360.0))) / 360.0 * n), n - 1)
+    here = left.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).withColumn("cell_y", band(lat))
+    here = here.withColumn("cell_x", spot(lon, around(F.col("cell_y"))))
+    rows = right.where(F.col(rlat).isNotNull() & F.col(rlon).isNotNull()).withColumn("_band", band(rlat))
+    rows = rows.withColumn("cell_y", F.explode(F.array(*(F.col("_band") + k for k in (-1, 0, 1))))).withColumn("_n", around(F.col("cell_y"))).withColumn("_x", spot(rlon, F.col("_n")))
+    there = rows.withColumn("cell_x", F.explode(F.array_distinct(F.array(*(F.pmod(F.col("_x") + k, F.col("_n")) for k in (-1, 0, 1)))))).drop("_band", "_n", "_x")
     met = here.join(there, ["cell_y", "cell_x"]).withColumn(distance, haversine_m(F.col(lat), F.col(lon), F.col(rlat), F.col(rlon)))
     return met.where(F.col(distance) <= radius_m).drop("cell_y", "cell_x")
 

@@ -50,6 +50,25 @@ def test_near_join_is_brute_force(spark):
     assert got.count() == brute.count() > 400 and got.select("id", "rid").exceptAll(brute.select("id", "rid")).count() == 0
 
 
+def test_near_join_anywhere_on_the_globe(spark):
+    import math
+    import random
+
+    rng = random.Random(9)
+    spots = [(60.0, 10.0), (-75.0, 179.9995), (89.9995, 0.0), (0.0, -180.0), (3.4, -76.5)]
+    made = lambda n: [(k, max(-90.0, min(90.0, y + rng.uniform(-0.004, 0.004))), (x + rng.uniform(-0.02, 0.02) * (9_000 if y > 89 else 1) + 180) % 360 - 180) for k, (y, x) in enumerate(rng.choice(spots) for _ in range(n))]
+    one, two = made(300), made(300)
+
+    def metres(a, b, c, d):
+        a, b, c, d = map(math.radians, (a, b, c, d))
+        return 2 * 6_371_000 * math.asin(math.sqrt(math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2))
+
+    want = {(i, j) for i, a, b in one for j, c, d in two if metres(a, b, c, d) <= 150}
+    left, right = spark.createDataFrame(one, "i int, lat double, lon double"), spark.createDataFrame(two, "j int, rlat double, rlon double")
+    got = [(r["i"], r["j"]) for r in geo.near_join(left, right, 150.0).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 300
+
+
 def test_robust_centroid_drops_strays(spark):
     pts = spark.createDataFrame([("a", 3.45, -76.53), ("a", 3.45001, -76.53), ("a", 3.45, -76.53001), ("a", 3.49, -76.53), ("b", 3.4, -76.5)], "k string, lat double, lon double")
     got = {r["k"]: r for r in geo.robust_centroid(pts, "k").collect()}

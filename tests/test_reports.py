@@ -174,8 +174,19 @@ def test_chunks_padding_and_order(spark):
         used += size
         want.append((k, at))
     assert got == want and sinks.chunks(df.limit(0), "k").count() == 0
-    many = {r["k"]: r["chunk"] for r in sinks.chunks(spark.range(500).select(F.col("id").alias("k"), F.lit("abc").alias("t")), "k", 100, per_task=2).collect()}
-    assert sorted(set(many.values())) == list(range(max(many.values()) + 1)) and all(many[k] <= many[k + 1] for k in range(499))
+    rng = __import__("random").Random(8)
+    for most, per_task, widest in ((100, 2, 20), (100, 1, 400), (60, 3, 1)):
+        texts = [(k, "x" * rng.randrange(widest)) for k in range(400)] + [(None, "first")]
+        cut = spark.createDataFrame(texts, "k int, t string").repartition(5)
+        got = sorted(((-1 if r["k"] is None else r["k"], r["chunk"]) for r in sinks.chunks(cut, "k", most, per_task).collect()))
+        want, at, used = [], 0, 0
+        for k, t in sorted(((-1 if k is None else k), t) for k, t in texts):
+            size = len(t) + len("" if k < 0 else str(k)) + 2
+            if used and used + size > most:
+                at, used = at + 1, 0
+            used += size
+            want.append((k, at))
+        assert got == want
     pad = sinks.padded(df, "k", 12, 2).orderBy("_row").collect()
     assert len(pad) == 12 and pad[0]["t"] == "x" * 5 and pad[11]["t"] == pad[11]["_blank1"] == ""
     ranked = order.numbered(spark.range(1000).select((F.col("id") % 10).alias("a"), "id"), [-F.col("a"), F.col("id")], "n").orderBy("n").collect()

@@ -80,10 +80,10 @@ def chunks(df: DataFrame, order: str, most: int = 1_500_000, per_task: int = 16)
     def land(x: pa.Table, y: pa.Table) -> pa.Table:
         if not x.num_rows or not y.num_rows:
             return pa.table({c: pa.array([], pa.int64()) for c in ("at", "next", "n")})
-        rows = np.sort(y.column("at").to_numpy())
+        rows = np.sort(y.column("row").to_numpy())
         return pa.table({"at": x.column("at"), "next": rows[np.searchsorted(rows, x.column("to").to_numpy(), side="right") - 1], "n": x.column("n")})
 
-    jump = written(aims.groupBy("range").cogroup(exits.select("range", "at").groupBy("range")).applyInArrow(land, "at long, next long, n long"), "links")
+    jump = written(aims.groupBy("range").cogroup(exits.select("range", "at").toDF("range", "row").groupBy("range")).applyInArrow(land, "at long, next long, n long"), "links")
     reached = written(df.sparkSession.createDataFrame([(0, 0)], "at long, base long"), "reached")
     while True:
         more = reached.join(jump, "at").select(F.col("next").alias("at"), (F.col("base") + F.col("n")).alias("base"))
@@ -98,7 +98,7 @@ def chunks(df: DataFrame, order: str, most: int = 1_500_000, per_task: int = 16)
     last = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
     known = starts.join(first, "_range", "left").join(entered.select(F.col("range").alias("_range"), (F.col("base") + F.col("n") - 1).alias("_end")), "_range", "left")
     known = known.withColumn("_open", F.last("_end", ignorenulls=True).over(last)).select("_range", "_lo", "_at", "_base", "_open")
-    names = [*df.columns, "chunk"]
+    columns = df.columns
     fields = T.StructType([*df.schema.fields, T.StructField("chunk", T.LongType())])
 
     def number(x: pa.Table) -> pa.Table:
@@ -112,9 +112,9 @@ def chunks(df: DataFrame, order: str, most: int = 1_500_000, per_task: int = 16)
                 stop = max(k + 1, int(np.searchsorted(upto, begins[k] + most, side="right")))
                 chunk[k:stop] = chunk_at
                 k, chunk_at = stop, chunk_at + 1
-        return x.select(df.columns).append_column("chunk", pa.array(chunk))
+        return x.select(columns).append_column("chunk", pa.array(chunk))
 
-    return rows.join(known, "_range").groupBy("_range").applyInArrow(number, fields).select(*names)
+    return rows.join(known, "_range").groupBy("_range").applyInArrow(number, fields)
 
 
 def _sorted(x: pa.Table, order: str) -> pa.Table:

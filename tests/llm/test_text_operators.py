@@ -243,3 +243,31 @@ def test_pseudonyms_of_long_texts(spark):
     long = "word 4078918989542222 " * 5_000
     got = pii.pseudonymise(spark.createDataFrame([(1, long)], "doc_id long, text string"), "k").head()
     assert got["n_card"] == 5_000 and len(got["text"]) == len(long)
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<style>@media print{.y{display:none}}</style><p class=y>2</p>", "2"),
+    ("<style media=print>p{display:none}</style><p>yes", "yes"),
+    ('<style>@media screen{.z{display:none}} @import "x"; @media (max-width:3px){p{display:none}}</style><p class=z>no</p><p>yes', "yes"),
+    ("<svg><title>t</title><defs><text>no</text></defs><text>hi</text></svg>", "hi"),
+    ("<style>div p{display:none}</style><div><p>a</p></div><p>b</p>", "b"),
+    ("<style>ul>li.x, a:hover{display:none}.k .m{visibility:hidden}</style><ul><li class=x>no<li>yes</ul><b class=k><i class=m>gone</i>here</b>", "- yes\n\nhere"),
+    ("<style>.a>.b .c{display:none}</style><div class=a><div class=b><div><p class=c>no</p></div></div></div><div class=b><p class=c>yes", "yes"),
+    ("<details>x<summary>s</summary><p>body</p><summary>no</summary></details><details open><summary>s2</summary>shown</details>", "s\ns2\nshown"),
+    ("<ol reversed><li>a<li>b<li>c</ol><ol type=a><li value=9>x<li>y</ol><ol type=I start=4><li>q</ol>", "3. a\n2. b\n1. c\n\ni. x\nj. y\n\nIV. q"),
+    ("<table><tr><td>日本<td>x<tr><td>abcdef<td>y</table>", "日本   | x\nabcdef | y"),
+    ("<table><thead><tr><th rowspan=9>h<th>a</thead><tbody><tr><td>1<td>2</table>", "h | a\n1 | 2"),
+    ("<table><tr><td rowspan=3>a<td>b<tr><td>c<table><tbody><tr><td>n</table><tr><td>d<tr><td>e<td>f</table>", "a | b\n  | c\n  |\n  | n\n  | d\ne | f"),
+])
+def test_html_as_a_screen_shows_it(page, text):
+    assert html_text.render(page) == text
+
+
+def test_html_spans_in_linear_time():
+    import time
+
+    sizes = []
+    for n in (5_000, 20_000):
+        began = time.process_time()
+        sizes.append((len(html_text.render("<table>" + "<tr><td rowspan=65534>x" * n + "</table>")), time.process_time() - began))
+    assert sizes[1][0] < 5 * sizes[0][0] and sizes[1][1] < 10 * max(sizes[0][1], 0.2)

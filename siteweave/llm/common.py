@@ -102,7 +102,8 @@ class Recent(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
-        self.turn(1)
+        if len(self) >= self.most:
+            self.turn(1)
         self[key] = value
         return value
 

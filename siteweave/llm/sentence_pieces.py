@@ -18,6 +18,7 @@ import heapq
 import itertools
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -33,7 +34,7 @@ _LITERAL = "\udcff"
 _SEGMENT = re.compile(r" +[^ ]*")
 NEVER = float("-inf")
 #: Segments that a worker remembers, twice over at most.
-CACHED = 300_000
+CACHED = 450_000
 SEGMENTATIONS = 4
 
 
@@ -79,7 +80,10 @@ class Model:
         return out
 
     def as_ids(self, path: list[object]) -> bytes:
-        out: list[int] = []
+        try:
+            return array("I", path).tobytes()
+        except TypeError:  # characters that no piece covers
+            out: list[int] = []
         for p in path:
             if isinstance(p, str):
                 out += [self.byte_ids[b] for b in (SPACE if p == _LITERAL else p).encode("utf-8", "surrogatepass")]
@@ -105,29 +109,31 @@ class Model:
         forward, back = [NEVER] * (n + 1), [None] * (n + 1)
         forward[0] = 0.0
         for e in edges:
-            v = forward[e[0]] + e[2]
-            if v > forward[e[1]]:
-                forward[e[1]], back[e[1]] = v, e
-        path, at = [], n
+            start, end, score, _ = e
+            v = forward[start] + score
+            if v > forward[end]:
+                forward[end], back[end] = v, e
+        path, at, on_path = [], n, [None] * (n + 1)
         while at:
-            e = back[at]
-            path.append(e)
+            e = on_path[at] = back[at]
+            path.append(e[3])
             at = e[0]
+        path.reverse()
         second = NEVER
         if len(edges) > len(path):
             # Another way holds an edge that the best lacks; the best way over an edge is forward + edge + backward.
             backward = [NEVER] * (n + 1)
             backward[n] = 0.0
-            for s, t, score, _ in reversed(edges):
-                v = backward[t] + score
-                if v > backward[s]:
-                    backward[s] = v
-            on_path = set(map(id, path))
+            edges.reverse()
             for e in edges:
-                v = forward[e[0]] + e[2] + backward[e[1]]
-                if v > second and id(e) not in on_path:
+                start, end, score, _ = e
+                v = backward[end] + score
+                if v > backward[start]:
+                    backward[start] = v
+                v = forward[start] + score + backward[end]
+                if v > second and on_path[end] is not e:
                     second = v
-        return self.as_ids([e[3] for e in reversed(path)]), forward[n], forward[n] - second
+        return self.as_ids(path), forward[n], forward[n] - second
 
     def segment_ways(self, segment: str, n: int) -> list[tuple[float, bytes]]:
         """The n best ways through a segment, by A-star from its end."""
@@ -178,15 +184,23 @@ class Model:
         loss = np.array(losses)
         least = np.sort(loss.argpartition(n - 2)[: n - 1]) if len(loss) >= n else np.arange(len(loss))
         open_at = [(int(k), self.segment_ways(SPACE + parts[k], n)) for k in least if np.isfinite(loss[k])]
+        # Where the ids of the open segments lie.
+        whole, spans, at, done = out[0][1], [], 0, 0
+        for k, _ in open_at:
+            at += sum(map(len, ids[done:k]))
+            spans.append((at, at + len(ids[k])))
+            done = k
         # A-star over the chain: a state says which way each open segment goes; the next states lose no less.
         heap, seen = [(-best, (0,) * len(open_at))], {(0,) * len(open_at)}
         while heap:
             total, ways = heapq.heappop(heap)
             if any(ways):
-                changed = list(ids)
-                for (k, options), w in zip(open_at, ways, strict=True):
-                    changed[k] = options[w][1]
-                out.append((-total, b"".join(changed)))
+                changed, at = [], 0
+                for (_, options), w, (lo, hi) in zip(open_at, ways, spans, strict=True):
+                    if w:
+                        changed += [whole[at:lo], options[w][1]]
+                        at = hi
+                out.append((-total, b"".join([*changed, whole[at:]])))
                 if len(out) == n:
                     break
             for j, (_, options) in enumerate(open_at):

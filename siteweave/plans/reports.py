@@ -231,7 +231,7 @@ def settled_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{_PRE}, f AS (SELECT visita_id, sitio_id, 'handshake' AS match_method, score, 0 AS tier FROM ({_TIER_SQL['handshake']}) UNION ALL SELECT visita_id, sitio_id, 'vector', score, 1 FROM ({_TIER_SQL['vector']})) SELECT v.visita_id, sitio_id, match_method, CAST(score AS DOUBLE) AS match_score FROM vh v JOIN (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY visita_id ORDER BY tier) = 1) b ON b.visita_id = v.visita_id")
 def first_generation_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return earlier.first_generation(*both(spark, sf_dir)).where("match_method in ('handshake', 'vector')")
+    return earlier.first_generation(*both(spark, sf_dir), fuzzy=False).where("match_method is not null")
 
 
 @query()

@@ -43,8 +43,12 @@ def not_empty(df: DataFrame, but: tuple[str, ...] = ()) -> DataFrame:
 
 
 def id_sequence(n: int, seed: int, taken: set[str] = frozenset(), length: int = 4) -> list[str]:
-    """n new ids of a seeded sequence, without those taken and those that read as numbers."""
+    """n new ids of a seeded sequence, without those taken and those that read as numbers; an error if there aren't so many."""
     rng, out, seen = random.Random(seed), [], set(taken)
+    usable = re.compile(rf"(?!\d+$|\d+E\d+$)[A-Z0-9]{{{length}}}")
+    free = 36**length - 10**length - max(0, length - 2) * 10 ** (length - 1) - sum(bool(usable.fullmatch(x)) for x in seen)
+    if n > free:
+        raise ValueError(f"{n} ids of {length} signs are asked for, {free} are free")
     while len(out) < n:
         new = "".join(rng.choices(string.ascii_uppercase + string.digits, k=length))
         if new not in seen and not re.fullmatch(r"\d+|\d+E\d+", new):

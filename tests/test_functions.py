@@ -63,3 +63,11 @@ def test_ids_and_headers():
     ids = id_sequence(500, 42)
     assert len(set(ids)) == 500 and not any(i.isdigit() for i in ids) and ids == id_sequence(500, 42)
     assert recover_header(["Zona", "", "Tipo"]) == ["Zona", "Barrio", "Tipo"] and recover_header(["", "Tipo"]) == ["", "Tipo"]
+
+
+def test_ids_end_with_their_space():
+    assert sorted(id_sequence(26, 1, {"7", "xx"}, 1)) == [chr(65 + k) for k in range(26)]
+    assert len(set(id_sequence(25, 1, {"A", "7"}, 1)) - {"A"}) == 25
+    with pytest.raises(ValueError, match="25 are free"):
+        id_sequence(26, 1, {"A", "7"}, 1)
+    assert len(id_sequence(36**3 - 1000 - 100, 2, length=3)) == 36**3 - 1100

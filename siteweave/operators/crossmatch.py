@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from siteweave.functions.coords import haversine_m
 from siteweave.functions.similarity import difflib_ratio
 from siteweave.functions.text import addr_key, global_id
-from siteweave.operators.geo import near_join
+from siteweave.operators.geo import nearest
 
 OUTSIDE = "(fuera de zona)"
 
@@ -42,9 +42,8 @@ def by_id_or_near(records: DataFrame, other: DataFrame, key: str, radius_m: floa
         return records.select(key, F.lit(None).cast("string").alias("gid"), F.lit("").alias("via"), F.lit(None).cast("long").alias("dist"), F.lit(None).cast("boolean").alias("found"))
     ids = records.where(F.col("origin").startswith("arcgis:")).select(key, global_id(F.regexp_replace("origin", "^arcgis:", "")).alias("k"))
     exact = ids.join(other.select(global_id(F.col("gid")).alias("k"), "gid").dropDuplicates(["k"]), "k").select(key, F.col("gid").alias("x_gid"))
-    met = near_join(records.select(key, "lat", "lon"), other, radius_m)
-    rank = F.row_number().over(Window.partitionBy(key).orderBy("dist_m", "gid"))
-    near = met.withColumn("_n", rank).where("_n = 1").select(key, F.col("gid").alias("n_gid"), F.round("dist_m").cast("long").alias("n_dist"))
+    met = nearest(records.select(key, "lat", "lon"), other, key, radius_m, "gid")
+    near = met.select(key, F.col("gid").alias("n_gid"), F.round("dist_m").cast("long").alias("n_dist"))
     out = records.select(key).join(exact, key, "left").join(near, key, "left")
     via = F.when(F.col("x_gid").isNotNull(), "globalid").when(F.col("n_gid").isNotNull(), "cercania").otherwise("")
     return out.select(key, F.coalesce("x_gid", "n_gid").alias("gid"), via.alias("via"), F.when(F.col("x_gid").isNull(), F.col("n_dist")).alias("dist"), (via != "").alias("found"))

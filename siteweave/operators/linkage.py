@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from siteweave.functions import text
 from siteweave.functions.similarity import neighbourhoods_agree, token_set
-from siteweave.operators.geo import near_join
+from siteweave.operators.geo import near_join, nearest
 from siteweave.operators.similar import gram_candidates, levelled, nearest_vectors, set_search
 from siteweave.shared import written
 
@@ -131,9 +131,11 @@ def corner(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
     return _best(left.join(_firsts(right, "e_corner"), F.col("v_corner") == F.col("e_corner")).where(_barrio(c)), F.lit(100.0))
 
 
-def _near(v: DataFrame, e: DataFrame, radius: float, *more: str) -> DataFrame:
-    left, right = _sides(v, e, *more)
-    return near_join(left, right, radius, "v_lat", "v_lon", "e_lat", "e_lon", "d")
+def _near(v: DataFrame, e: DataFrame, radius: float, k: int | None = None) -> DataFrame:
+    """Pairs within the radius, or the k nearest sites of each visit in it, with their distance d."""
+    left, right = _sides(v, e)
+    names = ("v_lat", "v_lon", "e_lat", "e_lon", "d")
+    return near_join(left, right, radius, *names) if k is None else nearest(left, right, "v_visita_id", radius, "e_pos", k, *names)
 
 
 def geo(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
@@ -141,7 +143,7 @@ def geo(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
     if both coordinates were geocoded."""
     close = F.col("d") <= F.when(F.col("e_vec.road") != 0, c.geo_near_m).otherwise(c.geo_far_m)
     guard = close & ~_both_geocoded() & text.coherent(F.col("v_vec"), F.col("e_vec"), strict=False)
-    return _best(_near(v, e, max(c.geo_near_m, c.geo_far_m)), F.round("d", 1), "d", k=3, guard=guard)
+    return _best(_near(v, e, max(c.geo_near_m, c.geo_far_m), 3), F.round("d", 1), "d", k=3, guard=guard)
 
 
 def ngrams(df: DataFrame, key: str, column: str) -> DataFrame:
@@ -337,7 +339,7 @@ def geo_key(matches: DataFrame, v: DataFrame, e: DataFrame, c: MatchConfig = CON
     """matches, with unmatched visits linked to the nearest site if it is near, clearly nearer than the next, in an agreeing
     neighbourhood, not geocoded on both sides, and trusted enough by what the coordinate's source is worth."""
     rest = v.join(matches.where("sitio_id is null").select("visita_id"), "visita_id", "left_semi")
-    met = _near(rest, e, c.geo_key_m + c.geo_key_margin_m)
+    met = _near(rest, e, c.geo_key_m + c.geo_key_margin_m, 2)
     w = Window.partitionBy("v_visita_id").orderBy("d", "e_pos")
     two = met.withColumn("_n", F.row_number().over(w)).withColumn("next", F.lead("d").over(w)).where("_n = 1")
     good = (F.col("d") <= c.geo_key_m) & (F.col("next").isNull() | (F.col("next") - F.col("d") >= c.geo_key_margin_m)) & ~_both_geocoded() & _barrio(c)

@@ -48,6 +48,18 @@ def close_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.near_join(s.select("pos", F.col("sitio_id").alias("a"), "lat", "lon"), right, 90.0).where("pos < rpos").select("a", "b", F.round("dist_m", 3).alias("m"))
 
 
+_SPOT = "SELECT c_custkey AS id, 3.45 + (c_custkey * 7919 % 20011) / 20011.0::DOUBLE * 0.0006 AS lat, -76.53 + (c_custkey * 104729 % 19997) / 19997.0::DOUBLE * 0.0006 AS lon FROM customer"
+
+
+@query(f"WITH c AS ({_SPOT}), p AS (SELECT a.id, {_HAV.format(a='a.lat', b='a.lon', c='b.lat', d='b.lon')} AS m FROM c a JOIN c b ON a.id % 2 = 0 AND b.id % 2 = 1) SELECT id, near_rank, round(m, 3) AS m FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY m) AS near_rank FROM p WHERE m <= 90) WHERE near_rank <= 3")
+def crowded_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers within one radius: the three nearest of the odd ones to each of the even ones."""
+    k = F.col("c_custkey")
+    c = table(spark, sf_dir, "customer").select(k.alias("id"), (3.45 + (k * 7919 % 20011) / 20011.0 * 0.0006).alias("lat"), (-76.53 + (k * 104729 % 19997) / 19997.0 * 0.0006).alias("lon"))
+    right = c.where("id % 2 = 1").select(F.col("id").alias("other"), F.col("lat").alias("rlat"), F.col("lon").alias("rlon"))
+    return geo.nearest(c.where("id % 2 = 0"), right, "id", 90.0, "other", 3).select("id", "near_rank", F.round("dist_m", 3).alias("m"))
+
+
 @query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) DESC, event_id) AS n FROM events) WHERE n = 1")
 def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").withColumn("t", F.unix_micros(F.col("ts").cast("timestamp")))

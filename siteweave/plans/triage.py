@@ -9,7 +9,7 @@ from siteweave.functions import coords, similarity, text
 from siteweave.operators import calibrated, crossmatch, geo, linkage, media, metrics, triage
 from siteweave.plans.linkage import both
 from siteweave.shared import written
-from siteweave.sources import readers, sinks
+from siteweave.sources import images, readers, sinks
 from siteweave.sources.tables import SITES, VISITS, sites, visits
 
 QUERIES, SQL = {}, {}
@@ -176,6 +176,21 @@ def drone_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.file_coordinates(f).select("folder", F.col("stem").cast("int").alias("stem"), "fuente")
 
 
+@query("SELECT c_custkey AS id, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE round((CASE WHEN c_custkey % 3 = 0 THEN -1 ELSE 1 END) * (c_custkey % 90 + (c_custkey % 60) / 60.0::DOUBLE + (c_custkey % 5999) / 100.0::DOUBLE / 3600), 9) END AS lat, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE round(-(c_custkey % 179 + (c_custkey % 59) / 60.0::DOUBLE), 9) END AS lon FROM customer")
+def image_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bytes of a photograph for each customer, and the position read from them; every eleventh is cut short."""
+    k = F.col("c_custkey")
+    word = lambda c, n=8: F.lpad(F.hex(c.cast("long")), n, "0")
+    one = word(F.lit(1))
+    head = F.lit("FFD8FFE100884578696600004D4D002A00000008000188250004000000010000001A00000000")
+    entries = F.concat(F.lit("0004" + "0001000200000002"), F.when(k % 3 == 0, "53000000").otherwise("4E000000"), F.lit("000200050000000300000050" + "00030002000000025700" + "0000" + "000400050000000300000068" + "00000000"))
+    lat = F.concat(word(k % 90), one, word(k % 60), one, word(k % 5999), word(F.lit(100)))
+    lon = F.concat(word(k % 179), one, word(k % 59), one, word(F.lit(0)), one)
+    whole = F.concat(head, entries, lat, lon, F.lit("FFD9"))
+    content = F.unhex(F.when(k % 11 == 0, F.substring(whole, 1, 200)).otherwise(whole))
+    return table(spark, sf_dir, "customer").select(k.alias("id"), images.position(content).alias("p")).select("id", F.round("p.lat", 9).alias("lat"), F.round("p.lon", 9).alias("lon"))
+
+
 @query("SELECT c_custkey AS key, CASE c_custkey % 4 WHEN 0 THEN 15.0::DOUBLE WHEN 1 THEN 40.0::DOUBLE END AS precision_m, CASE c_custkey % 4 WHEN 2 THEN 'imprecisa' WHEN 3 THEN 'sin_resultados' ELSE '' END AS motivo FROM customer")
 def geocode_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")

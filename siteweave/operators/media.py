@@ -42,6 +42,18 @@ def place_coordinates(files: DataFrame, geocoded: DataFrame, drift_m: float = 50
     return out.select("flight", "place", F.when(use, F.col("g_lat")).otherwise(F.col("c_lat")).alias("lat"), F.when(use, F.col("g_lon")).otherwise(F.col("c_lon")).alias("lon"), F.when(use, "geocode").when(F.col("c_lat").isNotNull(), "fotos").otherwise("").alias("fuente"))
 
 
+def folder_counts(files: DataFrame) -> DataFrame:
+    """Files (flight, place, fuente, lat) of each place of a flight, and how many have a coordinate."""
+    return files.groupBy("flight", F.coalesce("place", F.lit("")).alias("place")).agg(F.count(F.lit(1)).alias("n"), F.count("lat").alias("n_gps"))
+
+
+def source_counts(files: DataFrame) -> DataFrame:
+    """Files and those with a coordinate by where it comes from, and their share of all files in percent."""
+    by = files.groupBy("fuente").agg(F.count(F.lit(1)).alias("n"), F.count("lat").alias("n_gps"))
+    every = by.agg(F.sum("n").alias("_all"))  # one row
+    return by.crossJoin(every).select("fuente", "n", "n_gps", F.round(100.0 * F.col("n") / F.col("_all"), 1).alias("pct"))
+
+
 def accept_geocode(answers: DataFrame) -> DataFrame:
     """Answers (key, location_type, lat, lon) with precision_m where one is taken, and why the others are not."""
     from siteweave.functions.coords import CITY, within

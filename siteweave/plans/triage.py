@@ -191,6 +191,75 @@ def image_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(k.alias("id"), images.position(content).alias("p")).select("id", F.round("p.lat", 9).alias("lat"), F.round("p.lon", 9).alias("lon"))
 
 
+def _flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of an order each: two of three with their own position."""
+    n = F.col("l_linenumber")
+    f = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    own = n % 3 != 2
+    return f.select((F.col("l_orderkey") % 10).alias("flight"), F.col("l_orderkey").cast("string").alias("place"), F.when(own, "exif").otherwise("sin_gps").alias("fuente"), F.when(own, F.lit(3.4)).alias("lat"), F.when(own, F.lit(-76.5)).alias("lon"))
+
+
+_FLIGHTS = "f AS (SELECT DISTINCT l_orderkey % 10 AS flight, CAST(l_orderkey AS VARCHAR) AS place, l_linenumber, l_linenumber % 3 <> 2 AS own FROM lineitem)"
+
+
+@query(f"WITH {_FLIGHTS} SELECT flight, place, count(*) AS n, count_if(own) AS n_gps FROM f GROUP BY ALL")
+def flight_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.folder_counts(_flights(spark, sf_dir))
+
+
+@query(f"WITH {_FLIGHTS} SELECT CASE WHEN own THEN 'exif' ELSE 'sin_gps' END AS fuente, count(*) AS n, count_if(own) AS n_gps, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM f), 1) AS pct FROM f GROUP BY own")
+def flight_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.source_counts(_flights(spark, sf_dir))
+
+
+@query(f"""WITH {_FLIGHTS}, p AS (SELECT flight, place, bool_or(own) AS own, CAST(place AS BIGINT) % 4 AS k FROM f GROUP BY flight, place)
+SELECT flight, place, CASE WHEN k >= 2 OR (k = 1 AND NOT own) THEN 'geocode' WHEN own THEN 'fotos' ELSE '' END AS fuente, CASE WHEN k >= 2 THEN 3.402::DOUBLE WHEN k = 1 AND NOT own THEN 3.5::DOUBLE WHEN own THEN 3.4::DOUBLE END AS lat FROM p""")
+def place_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places by photographs and geocoder: a quarter unknown to the geocoder, a quarter 11 km off."""
+    f, k = _flights(spark, sf_dir), F.col("o_orderkey") % 4
+    answers = table(spark, sf_dir, "orders").where(k > 0).select((F.col("o_orderkey") % 10).alias("flight"), F.col("o_orderkey").cast("string").alias("place"), F.when(k == 1, 3.5).otherwise(3.402).alias("lat"), F.lit(-76.5).alias("lon"))
+    return media.place_coordinates(f, answers).select("flight", "place", "fuente", F.round("lat", 9).alias("lat"))
+
+
+@query(f"SELECT visita_id, CASE WHEN vpos % 4 = 0 THEN 'exif' ELSE coords_fuente END AS coords_fuente, CASE WHEN vpos % 4 = 0 THEN 3.41::DOUBLE ELSE round(lat, 9) END AS lat, CASE WHEN vpos % 4 = 0 THEN 0.0::DOUBLE END AS coords_precision_m, CASE WHEN vpos % 4 = 0 THEN 2 ELSE 0 END AS n_fotos FROM ({VISITS})")
+def photographed_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fourth visit has three photographs, one of them a kilometre off."""
+    v = visits(spark, sf_dir)
+    files = v.where("vpos % 4 = 0").select("visita_id", F.explode(F.array(F.lit(0.0), F.lit(0.0), F.lit(0.01))).alias("off")).select("visita_id", (3.41 + F.col("off")).alias("lat"), F.lit(-76.52).alias("lon"))
+    return media.photo_points(files, v.select("visita_id", "lat", "lon", "coords_fuente")).select("visita_id", "coords_fuente", F.round("lat", 9).alias("lat"), "coords_precision_m", "n_fotos")
+
+
+@query(f"SELECT visita_id, CASE WHEN lat IS NULL AND vpos % 3 = 0 THEN 'geocode' ELSE coords_fuente END AS coords_fuente, CASE WHEN lat IS NULL AND vpos % 3 = 0 THEN 3.42::DOUBLE ELSE round(lat, 9) END AS lat FROM ({VISITS})")
+def geocoded_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits without a place from the geocoder's cache; a third of them are in it with one, a third without."""
+    v = visits(spark, sf_dir)
+    cache = v.where("vpos % 3 < 2").select(F.col("visita_id").alias("key"), F.when(F.col("vpos") % 3 == 0, 3.42).alias("lat"), F.lit(-76.52).alias("lon"), F.lit(15.0).alias("precision_m"))
+    return media.fill_from_cache(v.select("visita_id", "lat", "lon", "coords_fuente"), cache, "visita_id").select("visita_id", "coords_fuente", F.round("lat", 9).alias("lat"))
+
+
+@query(f"SELECT DISTINCT CAST(floor(lat / 0.01::DOUBLE) AS BIGINT) AS cy, CAST(floor(lon / 0.01::DOUBLE) AS BIGINT) AS cx, round(floor(lat / 0.01::DOUBLE) * 0.01::DOUBLE - 0.0025::DOUBLE, 6) AS lat_min, round((floor(lon / 0.01::DOUBLE) + 1) * 0.01::DOUBLE + 0.0025::DOUBLE, 6) AS lon_max FROM ({SITES}) WHERE lat IS NOT NULL")
+def tiles_to_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.occupied_tiles(sites(spark, sf_dir)).select("cy", "cx", F.round("lat_min", 6).alias("lat_min"), F.round("lon_max", 6).alias("lon_max"))
+
+
+@query("SELECT l_partkey AS part, min(l_orderkey * 10 + l_linenumber) AS pos FROM lineitem GROUP BY l_partkey")
+def features_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features that several tiles hold: the parts of all orders by their geometry's text."""
+    f = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"), F.concat(F.lit("[[["), F.lpad(F.col("l_partkey").cast("string"), 12, "0")).alias("geometry"))
+    return readers.distinct_features(f).select(F.substring("geometry", 4, 12).cast("long").alias("part"), "pos")
+
+
+@query("SELECT c_custkey AS id, CASE c_custkey % 5 WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE round(3 + (c_custkey % 900) / 1000.0::DOUBLE, 9) END AS lat, CASE c_custkey % 5 WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE round(CASE c_custkey % 5 WHEN 2 THEN -(176 + (c_custkey % 4)) ELSE -(76 + (c_custkey % 4)) END - 0.5::DOUBLE, 9) END AS lon FROM customer")
+def subtitle_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subtitle files of drones: labelled, with the longitude first, in the other order, at the null island, and without a point."""
+    k = F.col("c_custkey")
+    lat = F.format_string("%.3f", 3 + (k % 900) / 1000.0)
+    lon = lambda d: F.format_string("-%d.5", d + k % 4)
+    told = F.when(k % 5 == 0, F.concat(F.lit("1\n00:00 --> 00:01\n[latitude: "), lat, F.lit("] [longitude: "), lon(76), F.lit("] [rel_alt: 1.5]"))).when(k % 5 == 1, F.concat(F.lit("GPS("), lon(76), F.lit(","), lat, F.lit(",19)")))
+    told = told.when(k % 5 == 2, F.concat(F.lit("GPS ( "), lat, F.lit(", "), lon(176), F.lit(", 19)"))).when(k % 5 == 3, "latitude: 0.000 longitude: 0.000").otherwise("HOME")
+    return table(spark, sf_dir, "customer").select(k.alias("id"), coords.srt_point(told).alias("p")).select("id", F.round("p.lat", 9).alias("lat"), F.round("p.lon", 9).alias("lon"))
+
+
 @query("SELECT c_custkey AS key, CASE c_custkey % 4 WHEN 0 THEN 15.0::DOUBLE WHEN 1 THEN 40.0::DOUBLE END AS precision_m, CASE c_custkey % 4 WHEN 2 THEN 'imprecisa' WHEN 3 THEN 'sin_resultados' ELSE '' END AS motivo FROM customer")
 def geocode_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import StructField, StructType
 
 from siteweave.operators.crossmatch import latest
 
@@ -42,6 +45,60 @@ def latest_per_key(stream: DataFrame, key: str, ts: str, table: str, checkpoint:
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+class _Newest(StatefulProcessor):
+    """Keeps the newest row of a key and gives it whenever it changes; the row that came first wins ties."""
+
+    def __init__(self, columns: list[str], ts: str, schema: str, keep_ms: int | None) -> None:
+        self.columns, self.ts, self.schema, self.keep_ms = columns, ts, schema, keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.kept = handle.getValueState("kept", self.schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        at = self.columns.index(self.ts)
+        age = lambda row: float("-inf") if row[at] is None else row[at]
+        before = self.kept.get() if self.kept.exists() else None
+        best = before
+        for row in rows:
+            values = tuple(row[c] for c in self.columns)
+            if best is None or age(values) > age(best):
+                best = values
+        if self.keep_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer[0])
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.keep_ms)
+        if best is not before:
+            self.kept.update(tuple(best))
+            yield Row(**dict(zip(self.columns, best, strict=True)))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        self.kept.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def newest_rows(stream: DataFrame, key: str, ts: str, keep_ms: int | None = None) -> DataFrame:
+    """A stream of changes: a row of each key whenever a newer one (ts, a number; null is oldest) has come. Write it in update mode.
+
+    Each key's newest row is its state, in the state store's partitions, so a batch touches only its own keys, a repeated or late
+    row changes nothing, and old versions go with the store's own retention. keep_ms: a key without rows for so long is forgotten.
+    read_newest() reads all keys from the checkpoint. Rows without a key are left out.
+    """
+    spark = stream.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    schema = StructType([StructField(f.name, f.dataType) for f in stream.schema.fields])
+    worker = _Newest(stream.columns, ts, schema, keep_ms)
+    return stream.where(F.col(key).isNotNull()).groupBy(key).transformWithState(worker, schema, "Update", "None" if keep_ms is None else "ProcessingTime")
+
+
+def read_newest(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The newest row of each key as the last finished batch of newest_rows() left it."""
+    return spark.read.format("statestore").option("stateVarName", "kept").load(checkpoint).select("value.*")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -84,7 +84,8 @@ def newest_rows(stream: DataFrame, key: str, ts: str, keep_ms: int | None = None
     """A stream of changes: a row of each key whenever a newer one (ts, a number; null is oldest) has come. Write it in update mode.
 
     Each key's newest row is its state, in the state store's partitions, so a batch touches only its own keys, a repeated or late
-    row changes nothing, and old versions go with the store's own retention. keep_ms: a key without rows for so long is forgotten.
+    row changes nothing, and old versions go with the store's own retention. keep_ms: a key without rows for so long is forgotten;
+    with the trigger availableNow such a query waits for its timers and doesn't end.
     read_newest() reads all keys from the checkpoint. Rows without a key are left out.
     """
     spark = stream.sparkSession

@@ -34,7 +34,7 @@ def test_idle_keys_are_forgotten(spark, tmp_path):
 
     def run():
         changes = state.newest_rows(state.new_records(spark, str(folder), "k string, ts long"), "k", "ts", keep_ms=1)
-        changes.writeStream.outputMode("update").foreachBatch(lambda df, n: df.count()).option("checkpointLocation", cp).trigger(availableNow=True).start().awaitTermination()
+        changes.writeStream.outputMode("update").foreachBatch(lambda df, n: df.count()).option("checkpointLocation", cp).trigger(once=True).start().awaitTermination()
 
     (folder / "a.json").write_text('{"k": "a", "ts": 1}')
     run()

@@ -176,7 +176,7 @@ def drone_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.file_coordinates(f).select("folder", F.col("stem").cast("int").alias("stem"), "fuente")
 
 
-@query("SELECT c_custkey AS id, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE round((CASE WHEN c_custkey % 3 = 0 THEN -1 ELSE 1 END) * (c_custkey % 90 + (c_custkey % 60) / 60.0::DOUBLE + (c_custkey % 5999) / 100.0::DOUBLE / 3600), 9) END AS lat, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE round(-(c_custkey % 179 + (c_custkey % 59) / 60.0::DOUBLE), 9) END AS lon FROM customer")
+@query("SELECT c_custkey AS id, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE round((CASE WHEN c_custkey % 3 = 0 THEN -1 ELSE 1 END) * (c_custkey % 90 + (c_custkey % 60) / 60.0::DOUBLE + (c_custkey % 5999) / 100.0::DOUBLE / 3600), 9) END AS lat, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE round(0 - (c_custkey % 179 + (c_custkey % 59) / 60.0::DOUBLE), 9) END AS lon FROM customer")
 def image_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bytes of a photograph for each customer, and the position read from them; every eleventh is cut short."""
     k = F.col("c_custkey")

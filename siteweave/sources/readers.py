@@ -6,10 +6,14 @@ import random
 import re
 import string
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siteweave.operators.order import numbered
+from siteweave.shared import written
+
 
 def text_table(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
     """A CSV file as text throughout; short rows are padded, nothing is inferred."""
@@ -57,21 +61,65 @@ def id_sequence(n: int, seed: int, taken: set[str] = frozenset(), length: int =
     return out
 
 
-def fill_ids(df: DataFrame, column: str, order: str, seed: int, length: int = 4) -> DataFrame:
-    """df with its blank ids filled in order; the others stay.
+def _drawn(spark: SparkSession, seed: int, length: int, n: int) -> DataFrame:
+    """(_j, _id): the first n draws of the seeded sequence, made in a task; repeats are in it."""
+
+    def draw(batches):
+        rng = random.Random(seed)
+        for _ in batches:
+            for start in range(0, n, 65_536):
+                end = min(n, start + 65_536)
+                yield pd.DataFrame({"_j": range(start, end), "_id": ["".join(rng.choices(string.ascii_uppercase + string.digits, k=length)) for _ in range(start, end)]})
+
+    return spark.range(0, 1, 1, 1).mapInPandas(draw, "_j long, _id string")
+
+
+def _permuted(spark: SparkSession, seed: int, length: int, n: int) -> DataFrame:
+    """(_j, _id): the first n ids of a keyed permutation of all ids of this length: four rounds over halves of 6 ** length."""
+    half = 6**length
+    l, r = F.floor(F.col("id") / half), F.col("id") % half  # noqa: E741
+    out = spark.range(n).select("id", l.alias("l"), r.alias("r"))
+    for k in range(4):
+        out = out.select("id", F.col("r").alias("l"), F.pmod(F.col("l") + F.pmod(F.xxhash64(F.lit(seed), F.lit(k), "r"), F.lit(half)), F.lit(half)).alias("r"))
+    signs, whole = F.lit(string.ascii_uppercase + string.digits), F.col("l") * half + F.col("r")
+    sign = lambda k: F.substring(signs, (F.floor(whole / 36**k) % 36 + 1).cast("int"), F.lit(1))
+    return out.select(F.col("id").alias("_j"), F.concat(*(sign(k) for k in range(length))).alias("_id"))
+
+
+def new_ids(spark: SparkSession, n: int, taken: DataFrame, seed: int, length: int = 4, drawn: int = 100_000) -> DataFrame:
+    """(_k from 1, _id): n new ids without those taken (a table of one column, _id) and those that read as numbers; an error if
+    there aren't so many.
 
-    The sequence is made on the driver, as each new id depends on those before it; an id of four signs bounds both the ids
-    taken and the new ones by 36 ** 4, about 1.7 million. `order` must be total among the rows without an id.
+    Up to `drawn` new ids are those of id_sequence(), drawn in a task; more are numbered along a keyed permutation of the id
+    space, so no task makes or holds all of them. Nothing is collected.
     """
-    spark = df.sparkSession
+    usable = F.col("_id").rlike(rf"^[A-Z0-9]{{{length}}}$") & ~F.col("_id").rlike(r"^(\d+|\d+E\d+)$")
+    taken = written(taken.where(usable).select("_id").distinct(), "taken")
+    numberlike = 10**length + max(0, length - 2) * 10 ** (length - 1)
+    held = taken.count()
+    if n > 36**length - numberlike - held:
+        raise ValueError(f"{n} ids of {length} signs are asked for, {36**length - numberlike - held} are free")
+    if n > drawn:
+        # At most held + numberlike of these are left out.
+        rows = _permuted(spark, seed, length, min(36**length, n + held + numberlike))
+        return numbered(rows.where(usable).join(taken, "_id", "left_anti"), [F.col("_j")], "_k").where(F.col("_k") <= n).select("_k", "_id")
+    draws = 2 * n + 64
+    while True:
+        firsts = _drawn(spark, seed, length, draws).where(usable).groupBy("_id").agg(F.min("_j").alias("_j"))
+        got = numbered(firsts.join(taken, "_id", "left_anti"), [F.col("_j")], "_k").where(F.col("_k") <= n)
+        if got.count() == n:
+            return got.select("_k", "_id")
+        draws *= 4
+
+
+def fill_ids(df: DataFrame, column: str, order: str, seed: int, length: int = 4, drawn: int = 100_000) -> DataFrame:
+    """df with its blank ids filled in order by new_ids(); the others stay. `order` must be total among the rows without an id."""
     blank = F.trim(F.coalesce(F.col(column), F.lit(""))) == ""
     n = df.where(blank).count()
     if not n:
         return df
-    taken = {r[0] for r in df.where(~blank).select(column).distinct().collect()}
-    new = spark.createDataFrame([(k + 1, x) for k, x in enumerate(id_sequence(n, seed, taken, length))], "_k long, _id string")
-    numbered = df.where(blank).withColumn("_k", F.row_number().over(Window.orderBy(order)).cast("long"))
-    filled = numbered.join(new, "_k").withColumn(column, F.col("_id")).drop("_k", "_id")
+    new = new_ids(df.sparkSession, n, df.where(~blank).select(F.col(column).alias("_id")), seed, length, drawn)
+    filled = numbered(df.where(blank), [F.col(order)], "_k").join(new, "_k").withColumn(column, F.col("_id"))
     return df.where(~blank).unionByName(filled.select(*df.columns))
 
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siteweave.functions import coords, similarity, text
-from siteweave.sources.readers import id_sequence, recover_header
+from siteweave.sources.readers import fill_ids, id_sequence, new_ids, recover_header
 
 
 def values(spark, column, rows):
@@ -71,3 +71,23 @@ def test_ids_end_with_their_space():
     with pytest.raises(ValueError, match="25 are free"):
         id_sequence(26, 1, {"A", "7"}, 1)
     assert len(id_sequence(36**3 - 1000 - 100, 2, length=3)) == 36**3 - 1100
+
+
+def test_ids_without_the_driver(spark):
+    given = [(k, ["", "  ", None, f"T{k:03d}", "Q0Q0", "1234"][k % 6]) for k in range(300)]
+    df = spark.createDataFrame(given, "k long, id string").repartition(4)
+    taken = {i for _, i in given if i and i.strip()}
+    blanks = [k for k, i in given if not (i or "").strip()]
+    got = {r["k"]: r["id"] for r in fill_ids(df, "id", "k", 42).collect()}
+    assert [got[k] for k in blanks] == id_sequence(150, 42, taken) and all(got[k] == i for k, i in given if k not in blanks)
+    far = {r["k"]: r["id"] for r in fill_ids(df, "id", "k", 42, drawn=10).collect()}
+    new = [far[k] for k in blanks]
+    assert len(set(new)) == 150 and not set(new) & taken and all(len(i) == 4 and not i.isdigit() for i in new)
+    assert far == {r["k"]: r["id"] for r in fill_ids(df.repartition(3), "id", "k", 42, drawn=10).collect()}
+    none = spark.createDataFrame([("A",), ("7",)], "_id string")
+    for drawn in (0, 100):
+        assert {r["_id"] for r in new_ids(spark, 25, none, 1, 1, drawn).collect()} == set("BCDEFGHIJKLMNOPQRSTUVWXYZ")
+        with pytest.raises(ValueError, match="25 are free"):
+            new_ids(spark, 26, none, 1, 1, drawn)
+    whole = [r["_id"] for r in new_ids(spark, 36**3 - 1100, none.limit(0), 5, 3, 0).collect()]
+    assert len(set(whole)) == 36**3 - 1100

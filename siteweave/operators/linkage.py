@@ -166,18 +166,29 @@ def _vectors(grams: DataFrame, idf: DataFrame, key: str, least: float) -> DataFr
     return levelled(unit, key, least).withColumns({"grams": F.col("x.gram"), "weights": F.col("x.w")})
 
 
+def _weights(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The grams of texts e (b, t, n), and (gram, df, idf), where each text counts n times."""
+    sites = written(ngrams(e, "b", "t").join(e.select("b", "n"), "b"), "grams")
+    total = e.agg(F.sum("n").alias("n_all"))  # one row
+    idf = written(sites.groupBy("gram").agg(F.sum("n").alias("df")).crossJoin(F.broadcast(total)).select("gram", "df", (F.log((1 + F.col("n_all")) / (1 + F.col("df"))) + 1).alias("idf")), "idf")
+    return sites, idf
+
+
 def tfidf_pairs(v: DataFrame, e: DataFrame, least: float) -> DataFrame:
     """(a, b, sim) of texts v (a, t) and e (b, t, n), a and b long, with a cosine of TF-IDF vectors of at least `least`.
 
     Weights are fitted on e, where each text counts n times. Partial products over rare grams leave few candidates (see
     gram_candidates); their cosines are then computed on the whole vectors.
     """
-    sites = written(ngrams(e, "b", "t").join(e.select("b", "n"), "b"), "grams")
-    total = e.agg(F.sum("n").alias("n_all"))  # one row
-    idf = written(sites.groupBy("gram").agg(F.sum("n").alias("df")).crossJoin(F.broadcast(total)).select("gram", "df", (F.log((1 + F.col("n_all")) / (1 + F.col("df"))) + 1).alias("idf")), "idf")
+    sites, idf = _weights(e)
     left = written(_vectors(ngrams(v, "a", "t"), idf, "a", least), "vectors")
     right = written(_vectors(sites.select("b", "gram", "tf"), idf, "b", least), "vectors")
     met = gram_candidates(left.select("a", "x", "level", "rest"), right.select("b", "x", "level", "rest"), least)
+    return cosines(met, left, right).where(F.col("sim") >= least)
+
+
+def cosines(met: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a, b, sim) of the pairs met, by the whole vectors of both sides."""
     x, y = (d.select(k, F.col("grams").alias(f"g{k}"), F.col("weights").alias(f"w{k}")) for d, k in ((left, "a"), (right, "b")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +205,7 @@ def tfidf_pairs(v: DataFrame, e: DataFrame, least: float) -> DataFrame:
                 sims = np.bincount(pa_[hit], wa[hit] * wb[order[place[hit]]], part.num_rows)
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(sims)], names=["a", "b", "sim"])
 
-    return met.join(x, "a").join(y, "b").select("a", "b", "ga", "wa", "gb", "wb").mapInArrow(run, "a long, b long, sim double").where(F.col("sim") >= least)
+    return met.join(x, "a").join(y, "b").select("a", "b", "ga", "wa", "gb", "wb").mapInArrow(run, "a long, b long, sim double")
 
 
 def _flat(part: pa.RecordBatch, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -208,6 +219,22 @@ def _similarity_text() -> Column:
     return F.concat(F.col("canon"), F.when(b.isin(*text.MISSING_SIMILARITY), "").otherwise(F.concat(F.lit(" "), F.upper(b))))
 
 
+def text_cosines(pairs: DataFrame, v: DataFrame, e: DataFrame) -> DataFrame:
+    """(visita_id, pos, sim) of given pairs: cosines of TF-IDF vectors with weights fitted on all sites; 0 where a text has no gram.
+
+    Equal texts are compared once.
+    """
+    asked, named = v.select("visita_id", _similarity_text().alias("t")), e.select("pos", _similarity_text().alias("t"))
+    left = written(asked.groupBy("t").agg(F.min(F.xxhash64("visita_id")).alias("a")), "texts")
+    right = written(named.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("b")), "texts")
+    sites, idf = _weights(right)
+    met = pairs.select("visita_id", "pos").join(asked.join(left, "t").select("visita_id", "a"), "visita_id").join(named.join(right, "t").select("pos", "b"), "pos")
+    met = written(met, "met")
+    one, two = (written(_vectors(g, idf, k, 0.5), "vectors") for g, k in ((ngrams(left, "a", "t"), "a"), (sites.select("b", "gram", "tf"), "b")))
+    sims = cosines(met.select("a", "b").distinct(), one, two)
+    return met.join(sims, ["a", "b"], "left").select("visita_id", "pos", F.coalesce("sim", F.lit(0.0)).alias("sim"))
+
+
 def _text_sims(v: DataFrame, e: DataFrame, least: float, k: int = 5) -> DataFrame:
     """(key_text, pos, sim) of the visits' distinct texts: equal texts are compared once on both sides, and of the sites of one text
     the k first are given."""
@@ -246,9 +273,10 @@ def fuzzy(v: DataFrame, e: DataFrame, c: MatchConfig = CONFIG) -> DataFrame:
     return _best(met, F.round("ratio", 1), F.desc("ratio"), k=5, guard=text.coherent(F.col("v_vec"), F.col("e_vec"), strict=True) & _barrio(c))
 
 
-def nearest_embeddings(v: DataFrame, e: DataFrame, k: int, least: float = -1.0) -> DataFrame:
-    """(visita_id, pos, sim): the k sites of nearest embedding (column emb), at `least` or above, of visits with an address."""
-    asked = v.where("emb is not null and canon <> ''").withColumn("ask", F.xxhash64("emb"))
+def nearest_embeddings(v: DataFrame, e: DataFrame, k: int, least: float = -1.0, addressed: bool = True) -> DataFrame:
+    """(visita_id, pos, sim): the k sites of nearest embedding (column emb), at `least` or above, of visits with an address or, if
+    not `addressed`, of all."""
+    asked = v.where("emb is not null" + (" and canon <> ''" if addressed else "")).withColumn("ask", F.xxhash64("emb"))
     best = nearest_vectors(asked.groupBy("ask").agg(F.min("emb").alias("emb")), e.select("pos", "emb"), k, least)
     return asked.select("visita_id", "ask").join(best, "ask").select("visita_id", "pos", "sim")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siteweave.functions import coords, similarity, text
 from siteweave.operators import calibrated, crossmatch, geo, linkage, media, metrics, triage
-from siteweave.plans.linkage import both
+from siteweave.plans.linkage import _PRE, both, with_embeddings
 from siteweave.shared import written
 from siteweave.sources import images, readers, sinks
 from siteweave.sources.tables import SITES, VISITS, sites, visits
@@ -347,25 +347,35 @@ def name_token_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT v.visita_id, s.pos, true AS hit FROM ({VISITS}) v JOIN ({SITES}) s ON {_HAV.format(a='v.lat', b='v.lon', c='s.lat', d='s.lon')} <= 200 AND abs(v.lat - s.lat) < 0.002 AND abs(v.lon - s.lon) < 0.002")
 def geo_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     v, e = both(spark, sf_dir)
-    return calibrated.candidates(v, e).where(F.array_contains("blocks", "geo")).select("visita_id", "pos", F.lit(True).alias("hit"))
+    right = e.select("pos", F.col("lat").alias("rlat"), F.col("lon").alias("rlon"))
+    return geo.near_join(v.select("visita_id", "lat", "lon"), right, 200.0).select("visita_id", "pos", F.lit(True).alias("hit"))
 
 
-@query()
+def _with_similar(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Visits and sites with embeddings, and each visit's ten nearest sites by them."""
+    v, e = (written(d, "sides") for d in with_embeddings(spark, sf_dir, *both(spark, sf_dir)))
+    return v, e, written(linkage.nearest_embeddings(v, e, 10, addressed=False), "similar")
+
+
+@query(f"""{_PRE}, m AS (SELECT CAST(vec_id AS BIGINT) AS id, min(embedding) AS x FROM embeddings WHERE vec_id IS NOT NULL GROUP BY 1), c AS (SELECT count(*) AS n FROM m),
+ ve AS (SELECT k, x FROM (SELECT DISTINCT true_pos AS k FROM vh), c JOIN m ON m.id = k % c.n), ee AS (SELECT pos, x FROM eh, c JOIN m ON m.id = pos % c.n),
+ t AS (SELECT k, pos FROM ve JOIN ee ON true QUALIFY row_number() OVER (PARTITION BY k ORDER BY list_cosine_similarity(CAST(ve.x AS DOUBLE[]), CAST(ee.x AS DOUBLE[])) DESC, pos) <= 10),
+ p AS (SELECT visita_id, t.pos, 'emb' AS b FROM vh JOIN t ON t.k = vh.true_pos UNION ALL SELECT v.visita_id, e.pos, 'via' FROM vh v JOIN eh e ON floor(v.road) = floor(e.road) AND v.road <> 0
+ UNION ALL SELECT v.visita_id, e.pos, 'barrio' FROM vh v JOIN eh e ON upper(trim(v.barrio)) = upper(trim(e.barrio)) AND length(trim(v.barrio)) > 3
+ UNION ALL SELECT v.visita_id, e.pos, 'geo' FROM vh v JOIN eh e ON abs(v.lat - e.lat) < 0.002 AND abs(v.lon - e.lon) < 0.002 WHERE {_HAV.format(a='v.lat', b='v.lon', c='e.lat', d='e.lon')} <= 200)
+SELECT blocks, count(*) AS n FROM (SELECT array_to_string(list_sort(list(b)), '+') AS blocks FROM p GROUP BY visita_id, pos) GROUP BY blocks""")
 def block_corroboration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v, e = both(spark, sf_dir)
-    return calibrated.candidates(v, e).groupBy(F.array_join("blocks", "+").alias("blocks")).agg(F.count(F.lit(1)).alias("n"))
+    v, e, similar = _with_similar(spark, sf_dir)
+    return calibrated.corroboration(v, e, similar=similar)
 
 
 @query()
 def calibrated_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v, e = both(spark, sf_dir)
-    pairs = written(calibrated.features(calibrated.candidates(v, e), v, e), "pairs")
-    truth = visits(spark, sf_dir).select("visita_id", F.col("true_pos"))
-    labelled = pairs.join(truth, "visita_id").withColumn("label", (F.col("pos") == F.col("true_pos")).cast("double"))
-    names = [c for c in pairs.columns if c.startswith("f_")]
-    scored = calibrated.fit(labelled, names, trees=10, folds=2)(labelled)
-    best = F.row_number().over(Window.partitionBy("visita_id").orderBy(F.desc("p"), "pos"))
-    return scored.withColumn("n", best).where("n = 1 and p >= 0.7").select("visita_id", "pos", "p")
+    """The calibrated model in full: four blocks, 13 features, 200 trees, 5 folds, floors and labels."""
+    v, e, similar = _with_similar(spark, sf_dir)
+    near_certain = linkage.cascade(v, e, tiers=("preregistro", "handshake", "vector", "vector_block")).where("match_method in ('handshake', 'vector', 'vector_block')")
+    known = written(near_certain.join(e.select("sitio_id", "pos"), "sitio_id").select("visita_id", "pos"), "known")
+    return calibrated.calibrated(v, e, similar, known).select("visita_id", "pos", "trust", "match_method", "p", F.array_join("blocks", "+").alias("blocks"))
 
 
 @query(f"SELECT pos, nation FROM ({SITES}) WHERE NOT (lat IS NULL AND coalesce(trim(barrio), '') IN ('', '-'))")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siteweave.operators import calibrated, earlier, linkage, order, proposals, reports, roster, triage
+from siteweave.shared import written
 from siteweave.sources import exports, loaders, readers, sinks
 from siteweave.streaming import state
 
@@ -237,8 +238,78 @@ def test_calibrated_model_and_rates(spark):
     assert scored.where("f_a > 1.5 and p < 0.5").count() == 0
     rates = calibrated.precision_recall(model.held, F.col("p"), F.col("label"), 0.5).head()
     assert rates["precision"] > 0.8 and rates["recall"] > 0.8 and 0 < rates["f1"] <= 1
-    got = calibrated.decided(scored.withColumns({"blocks": F.array(F.lit("geo")), "p": F.lit(0.1)}), F.col("pos") == 3, F.lit(0.9)).collect()
-    assert len(got) == 40 and {r["match_method"] for r in got} == {"exacto", "lm_fuerte"} and min(r["trust"] for r in got) == 0.72
+    at = lambda x, k: {n: (x[n], x[n]) for n in ("f_a", "f_b")}
+    for r in scored.where("f_a is not null").limit(30).collect():
+        assert abs(model.limit(at(r, 1), 1)[0] - r["p"]) < 1e-9
+    assert abs(model.limit({"f_a": (-9.0, 9.0), "f_b": (1.0, 1.0)}, 2)[1] - scored.agg(F.max("p")).head()[0]) < 1e-9
+
+
+def test_labels_and_floors(spark):
+    base = {"f_lm": 0.9, "f_tfidf": 0.0, "f_fuzzy": 0.0, "f_barrio": 1.0, "f_numbers": 0.0, "f_sign": 0.0, "f_placed": 1.0, "plate": 0.0, "unparsed": False, "p": 0.1, "blocks": ["geo"]}
+    cases = [("sign", {"f_sign": 1.0}, ("handshake", 0.75)), ("plate", {"f_numbers": 1.0}, ("vector", 0.75)), ("far plate", {"f_numbers": 1.0, "plate": 4.0}, ("vector_block", 0.72)), ("veto", {"f_sign": 1.0, "f_lm": 0.44}, None),
+             ("unparsed", {"unparsed": True}, ("geo", 0.72)), ("weak", {"unparsed": True, "f_lm": 0.81}, None), ("model", {"p": 0.8, "f_lm": None, "f_tfidf": 0.6}, ("tfidf", 0.8)), ("rounded", {"p": 0.696, "f_lm": 0.1, "f_fuzzy": 0.7}, ("fuzzy", 0.7))]
+    rows = [{"visita_id": n, "pos": 1, **base, **over} for n, over, _ in cases] + [{"visita_id": "sign", "pos": 0, **base}]
+    got = {r["visita_id"]: (r["match_method"], r["trust"]) for r in calibrated.decided(spark.createDataFrame(rows)).collect()}
+    assert got == {n: want for n, _, want in cases if want}
+
+
+@pytest.fixture(scope="module")
+def modelled(spark):
+    """120 sites and 160 visits in few roads and neighbourhoods, with embeddings and near-certain matches."""
+    import random
+
+    rng = random.Random(3)
+    unit = lambda s: [rng.gauss(0, s) for _ in range(48)]
+    alike = unit(1)
+    vecs = [[x + y for x, y in zip(alike, unit(0.2))] if k % 5 == 1 else unit(1) for k in range(120)]
+    address = lambda k: f"{('CL', 'KR')[k % 2]} {k % 5 + 1} # {k % 7 + 1}-{k % 90 + 1}"
+    sites = [(k, f"S{k}", address(k), ("Granada", "El Lido", "-", "Sur")[k % 4], None if k % 6 == 0 else 3.4 + k * 7 % 50 / 1e4, -76.5 - k * 11 % 50 / 1e4, vecs[k] if k % 10 else None, "exif", "") for k in range(120)]
+    kind = lambda j, k: "" if j % 8 == 5 else "EDIFICIO AZUL" if j % 8 == 6 else f"{address(k)} APTO 2" if j % 3 else address(k)
+    visits = [(f"V{j}", kind(j, j * 7 % 120), None if j % 9 == 0 else sites[j * 7 % 120][3].lower(), sites[j * 7 % 120][4] if j % 2 else None, sites[j * 7 % 120][5], [x + rng.gauss(0, 0.3) for x in vecs[j * 7 % 120]] if j % 7 else None, "exif", "") for j in range(160)]
+    e = linkage.prepare(spark.createDataFrame(sites, "pos long, sitio_id string, direccion_norm string, barrio string, lat double, lon double, emb array<double>, coords_fuente string, consecutivo string"))
+    v = linkage.prepare(spark.createDataFrame(visits, "visita_id string, direccion_norm string, barrio string, lat double, lon double, emb array<double>, coords_fuente string, consecutivo string"))
+    similar = written(linkage.nearest_embeddings(v, e, 3, addressed=False), "similar")
+    known = linkage.cascade(v, e, tiers=("handshake", "vector", "vector_block")).where("sitio_id is not null").join(e.select("sitio_id", "pos"), "sitio_id").select("visita_id", "pos")
+    return written(v, "v"), written(e, "e"), similar, written(known, "known")
+
+
+def test_blocks_counted_without_their_pairs(spark, modelled):
+    v, e, similar, _ = modelled
+    a, b = v.select("visita_id", "vec", "barrio", "lat", "lon").collect(), e.select("pos", "vec", "barrio", "lat", "lon").collect()
+    top = {(r["visita_id"], r["pos"]) for r in similar.collect()}
+    near = {(r["visita_id"], r["pos"]) for r in calibrated._near(v, e, 200.0).collect()}
+    area = lambda r: (r["barrio"] or "").strip().upper()
+    want = {}
+    for x in a:
+        for y in b:
+            key = (x["visita_id"], y["pos"])
+            held = [n for n, hit in (("barrio", len(area(x)) > 3 and area(x) == area(y)), ("emb", key in top), ("geo", key in near), ("via", x["vec"]["road"] != 0 and int(x["vec"]["road"]) == int(y["vec"]["road"]))) if hit]
+            if held:
+                want[key] = held
+    assert {(r["visita_id"], r["pos"]): r["blocks"] for r in calibrated.candidates(v, e, 200.0, similar).collect()} == want
+    counts = {}
+    for held in want.values():
+        counts["+".join(held)] = counts.get("+".join(held), 0) + 1
+    assert {r["blocks"]: r["n"] for r in calibrated.corroboration(v, e, 200.0, similar).collect()} == counts and len(counts) > 8
+
+
+def test_hot_keys_meet_in_slices(spark):
+    left = spark.createDataFrame([(k, "hot" if k % 3 else None if k % 2 else "b") for k in range(90)], "i long, k string")
+    right = left.select(F.col("i").alias("j"), "k").where("j < 40")
+    want = sorted((x["i"], y["j"]) for x in left.collect() for y in right.collect() if x["k"] and x["k"] == y["k"])
+    assert sorted((r["i"], r["j"]) for r in calibrated.split_join(left, right, ["k"], 7).collect()) == want
+
+
+def test_closed_blocks_hold_no_match(spark, modelled, monkeypatch):
+    """The result of opening only what the trees' bound asks for is that of all candidates."""
+    v, e, similar, known = modelled
+    told, run = {}, lambda **kw: sorted((r["visita_id"], r["pos"], r["trust"], r["match_method"], "+".join(r["blocks"])) for r in calibrated.calibrated(v, e, similar, known, trees=12, folds=2, **kw).collect())
+    got = run(stats=told)
+    assert got and 0 < told["opened"] < 80
+    monkeypatch.setattr(calibrated, "_opened", lambda model, v, *_: v.select("visita_id", F.array(F.lit("road"), F.lit("area")).alias("open")))
+    every = {}
+    assert run(stats=every) == got and every["rest"] > told["rest"]
+    assert every["listed"] + every["rest"] == calibrated.candidates(v, e, 200.0, similar).count()
 
 
 def test_streams(spark, tmp_path):

@@ -260,9 +260,9 @@ def negative_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def reranked_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The re-ranker on visits with a known site, with few trees and texts of a cosine of 0.6 or more."""
+    """The re-ranker on visits with a known site, from a cosine of 0.30 on, with few trees."""
     v, e = both(spark, sf_dir)
-    pairs = written(calibrated.rerank_features(written(calibrated.rerank_candidates(v, e, least=0.6), "candidates"), v, e), "pairs")
+    pairs = written(calibrated.rerank_features(written(calibrated.rerank_candidates(v, e), "candidates"), v, e), "pairs")
     truth = visits(spark, sf_dir).select("visita_id", "true_pos")
     labelled = pairs.join(truth, "visita_id").withColumn("label", (F.col("pos") == F.col("true_pos")).cast("double")).drop("true_pos")
     names = [c for c in pairs.columns if c.startswith("f_")]

@@ -195,3 +195,36 @@ def test_large_nodes_and_groups_equal_brute_force(spark, monkeypatch, node, grou
         rows.append((k, " ".join(w)))
     got = near_duplicates.classes(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
     assert {r["id"]: (r["n"], r["component"]) for r in got} == brute_classes(rows)
+
+
+def brute_recall(x, got, queries, k=5):
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    hit = 0
+    for q in queries:
+        s = u @ u[q]
+        s[q] = -9
+        best = np.lexsort((np.arange(len(u)), -np.round(s, 12)))[:k]
+        hit += len(set(best) & set(got[got.query_id == q].id))
+    return hit / len(queries) / k
+
+
+def test_neighbours_in_dense_groups_are_found(spark):
+    # Groups far narrower than the codes' cells: all rows of a group look alike to the scan.
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(6, 64)), 700, 0)
+    x = (x + rng.normal(0, 1e-3, x.shape)).astype(np.float32)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = neighbours.search(df, lambda i: i % 50 == 0).toPandas()
+    assert brute_recall(x, got, range(0, len(x), 50)) >= 0.95
+
+
+def test_fit_of_a_large_table_takes_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(30_000, 4))
+    tracemalloc.start()
+    neighbours.fit(x / np.linalg.norm(x, axis=1, keepdims=True), 4 * 900**2, 5)  # 900 cells
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20  # all distances at once would be 216 MB, and as much again for their sums

@@ -25,6 +25,17 @@ def test_cascade_order_and_empty(spark):
     assert matched(left, right.limit(0)) == {f"V{k}": (None, None) for k in range(5)}
 
 
+def test_address_is_searched_once(spark, monkeypatch):
+    e = [(k, f"S{k}", f"CL 5 # 4-{k + 1}, Cali", "Granada", None, None, None, None) for k in range(20)]
+    v = [(f"V{k}", f"CL 5 # 4-30 APTO {k}, Cali", None if k % 2 else "Granada", None, None, None, None) for k in range(50)]
+    left, right = sides(spark, e, v)
+    seen, best = [], linkage._best
+    monkeypatch.setattr(linkage, "_best", lambda df, *a, **k: seen.append(df.count()) or best(df, *a, **k))
+    assert [tuple(r) for r in linkage.vector_block(left, right).select("sitio_id", "score").distinct().collect()] == [("S19", 10.0)]
+    assert linkage.vector_block(left, right).count() == 50 and max(seen) <= 40
+    assert matched(left, right, tiers=linkage.CHEAP) == {f"V{k}": ("S19", "vector_block") for k in range(50)} and max(seen) <= 40
+
+
 def test_geo_truncates_before_it_guards(spark):
     near = [(k, f"S{k}", f"CL {k + 20} # {k + 50}-1, Cali", "", 3.45 + k * 1e-5, -76.53, "exif", None) for k in range(3)]
     e = [*near, (3, "S3", "CL 5 # 4-3, Cali", "", 3.45 + 2e-4, -76.53, "exif", None)]

@@ -36,6 +36,16 @@ def test_address_is_searched_once(spark, monkeypatch):
     assert matched(left, right, tiers=linkage.CHEAP) == {f"V{k}": ("S19", "vector_block") for k in range(50)} and max(seen) <= 40
 
 
+def test_bridge_sees_a_spot_once(spark, monkeypatch):
+    e = [(k, f"S{k}", None, ("Granada", "El Lido")[k % 2], 3.45, -76.53, "exif", None) for k in range(30)]
+    v = [(f"V{k}", None, "El Lido" if k % 3 else None, 3.45, -76.53, "exif", None) for k in range(40)]
+    left, right = sides(spark, e, v)
+    seen, best = [], linkage._best
+    monkeypatch.setattr(linkage, "_best", lambda df, *a, **k: seen.append(df.count()) or best(df, *a, **k))
+    got = {r["visita_id"]: r["sitio_id"] for r in linkage.spatial_bridge(left, right).collect()}
+    assert got == {f"V{k}": "S1" if k % 3 else "S0" for k in range(40)} and max(seen) <= 4
+
+
 def test_geo_truncates_before_it_guards(spark):
     near = [(k, f"S{k}", f"CL {k + 20} # {k + 50}-1, Cali", "", 3.45 + k * 1e-5, -76.53, "exif", None) for k in range(3)]
     e = [*near, (3, "S3", "CL 5 # 4-3, Cali", "", 3.45 + 2e-4, -76.53, "exif", None)]

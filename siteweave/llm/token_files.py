@@ -36,7 +36,7 @@ _TAIL = struct.Struct("<I")
 _META = struct.Struct("<BqB")
 _MASK = 0xA282EAD8
 #: Words kept by a worker, twice over at most.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_000_000
 #: A space next to other white space: there the words can't be taken one by one.
 _LOOSE = r" [\s\x0B\x1C-\x1F\x{85}\p{Z}]|[\s\x0B\x1C-\x1F\x{85}\p{Z}] "
 

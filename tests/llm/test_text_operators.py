@@ -271,3 +271,14 @@ def test_html_spans_in_linear_time():
         began = time.process_time()
         sizes.append((len(html_text.render("<table>" + "<tr><td rowspan=65534>x" * n + "</table>")), time.process_time() - began))
     assert sizes[1][0] < 5 * sizes[0][0] and sizes[1][1] < 10 * max(sizes[0][1], 0.2)
+
+
+def test_words_stay_known_over_a_million():
+    from siteweave.llm.common import Recent
+    from siteweave.llm.token_files import CACHED_WORDS
+
+    store = Recent(CACHED_WORDS)
+    parts = [{f"{k}-{n}" for n in range(200_000)} for k in range(5)]
+    for part in parts:
+        store.update((w, b"") for w in store.missing(part))
+    assert store.missing(parts[0]) == []

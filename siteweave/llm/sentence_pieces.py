@@ -33,8 +33,8 @@ SPACE = "▁"
 _LITERAL = "\udcff"
 _SEGMENT = re.compile(r" +[^ ]*")
 NEVER = float("-inf")
-#: Segments that a worker remembers, twice over at most.
-CACHED = 450_000
+#: Segments that a worker remembers, twice over at most; each takes about 300 bytes.
+CACHED = 150_000
 SEGMENTATIONS = 4
 
 

@@ -282,3 +282,8 @@ def test_words_stay_known_over_a_million():
     for part in parts:
         store.update((w, b"") for w in store.missing(part))
     assert store.missing(parts[0]) == []
+
+
+def test_remembered_segments_take_no_more_than_200_mb_of_a_worker():
+    model = sentence_pieces.Model(sentence_pieces.model_path())
+    assert 2 * 300 * (model.known.most + model.parts.most + model.ways.most) <= 200 << 20

@@ -39,3 +39,17 @@ def test_survey_parses_addresses_once(spark, monkeypatch):
     monkeypatch.setattr(reports, "by_address", lambda records, *more: asked.append(plan(records)) or search(records, *more))
     assert reports.survey_rollup(reports.survey_cross(critical, survey)).head()["n_levantados"] == 1
     assert len(asked) == 1 and text._NUMBER_SIGN not in asked[0]
+
+
+def test_inspections_parse_addresses_once(spark):
+    kinds = "registro_id string, sitio_id string, visita_id string, direccion_unificada string, barrio_unificado string, comuna_unificada string, coords_unificadas string, tipo_estructura_edan string, tipo_estructura_visita string"
+    r = spark.createDataFrame([("R1", "S1", "V1", "CL 5 # 43A-15, Cali", "El Lido", "", "", "casa", "")], kinds)
+    f = spark.createDataFrame([("E1", "CL 5 # 43A-15, Cali", "El Lido", "", "", "casa")], "id_edan string, direccion_norm string, barrio_vereda string, comuna string, coords string, uso_edificacion string")
+    seen = []
+
+    def cascade(v, e):
+        seen.extend([plan(v), plan(e)])
+        return linkage.cascade(v, e, tiers=("handshake",))
+
+    assert [x["edan_id"] for x in reports.inspection_cascade(r, f, cascade, linkage.prepare).collect()] == ["E1"]
+    assert not any("APARTAMENTO" in p for p in seen)

@@ -293,6 +293,15 @@ def test_blocks_counted_without_their_pairs(spark, modelled):
     assert {r["blocks"]: r["n"] for r in calibrated.corroboration(v, e, 200.0, similar).collect()} == counts and len(counts) > 8
 
 
+def test_close_pairs_are_counted_by_spots(spark, monkeypatch):
+    rows = [(k, f"V{k}", "CL 5 # 3-8", ("Granada", "El Lido")[k % 2], 3.4 + k % 3 / 1e4, -76.5, "exif", "") for k in range(600)]
+    both = linkage.prepare(spark.createDataFrame(rows, "pos long, visita_id string, direccion_norm string, barrio string, lat double, lon double, coords_fuente string, consecutivo string"))
+    met, join = [], calibrated.near_join
+    monkeypatch.setattr(calibrated, "near_join", lambda x, y, *a: met.append((x.count(), y.count())) or join(x, y, *a))
+    got = {r["blocks"]: r["n"] for r in calibrated.corroboration(both, both).collect()}
+    assert got == {"barrio+geo+via": 180_000, "geo+via": 180_000} and met == [(6, 6)]
+
+
 def test_hot_keys_meet_in_slices(spark):
     left = spark.createDataFrame([(k, "hot" if k % 3 else None if k % 2 else "b") for k in range(90)], "i long, k string")
     right = left.select(F.col("i").alias("j"), "k").where("j < 40")

@@ -44,6 +44,15 @@ def test_nearest_in_one_crowded_cell_compares_few(spark, monkeypatch):
     assert last.agg(F.sum("_n")).head()[0] < 1_000 * 1_000  # points in the cells that remain
 
 
+def test_few_cells_are_moved_on_the_way_down(spark, monkeypatch):
+    right = spark.createDataFrame([(j, 3.45 + (j * 7919 % 20011) / 20011 * 6e-4, -76.53 + (j * 104729 % 19997) / 19997 * 6e-4) for j in range(20_000)], "j long, rlat double, rlon double")
+    left = spark.createDataFrame([(i, 3.45 + (i * 31 % 1009) / 1009 * 6e-4, -76.53 + (i * 17 % 997) / 997 * 6e-4) for i in range(500)], "i long, lat double, lon double")
+    near, keep = [], geo.written
+    monkeypatch.setattr(geo, "written", lambda df, what: near.append(keep(df, what)) or near[-1] if what == "near" else keep(df, what))
+    assert geo.nearest(left, right, "i", 90.0, "j", 2).count() == 1_000
+    assert sum(d.count() for d in near[:-1]) < 500 * 3 * (len(near) - 1)  # by the cells' corners alone, about ten for each place
+
+
 def test_containing_is_brute_force(spark):
     rng = random.Random(8)
 

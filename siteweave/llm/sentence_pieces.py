@@ -33,15 +33,15 @@ SPACE = "▁"
 _LITERAL = "\udcff"
 _SEGMENT = re.compile(r" +[^ ]*")
 NEVER = float("-inf")
-#: Segments that a worker remembers, twice over at most; each takes about 300 bytes.
-CACHED = 150_000
+#: Segments that a worker remembers, twice over at most; each takes about 300 bytes. ALONE: in workers that serve no other operator.
+CACHED, ALONE = 150_000, 450_000
 SEGMENTATIONS = 4
 
 
 class Model:
     """The pieces of a model file, and what this worker has encoded with them."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, cached: int = CACHED) -> None:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -68,8 +68,8 @@ class Model:
         self.written = [bytes([self.bytes[i]]) if i in self.bytes else piece.replace(SPACE, " ").encode() for i, piece in enumerate(self.text)]
         self.unknown = lowest - 10
         # A segment is looked up without its leading space, which all have.
-        self.known = Recent(CACHED, lambda rest: self.best(SPACE + rest))
-        self.parts, self.ways = Recent(CACHED, self.viterbi), Recent(CACHED // 8)
+        self.known = Recent(cached, lambda rest: self.best(SPACE + rest))
+        self.parts, self.ways = Recent(cached, self.viterbi), Recent(cached // 8)
 
     def edges(self, segment: str) -> list[tuple[int, int, float, object]]:
         """(start, end, score, id or character) of the lattice, by end."""
@@ -216,12 +216,14 @@ class Model:
         return b"".join(map(self.written.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
 
 
-def model(path: str) -> Model:
+def model(path: str, cached: int = CACHED) -> Model:
     """This worker's model; it lives on from task to task."""
     models = kept("sentence_pieces")
-    if path not in models:
-        models[path] = Model(path)
-    return models[path]
+    if (path, cached) not in models:
+        for other in [k for k in models if k[0] == path]:  # one size of a model at a time, so that they don't add up
+            del models[other]
+        models[path, cached] = Model(path, cached)
+    return models[path, cached]
 
 
 def encode(df: DataFrame, path: str, n: int = SEGMENTATIONS, text: str = "text", into: str = "segmentations") -> DataFrame:
@@ -251,14 +253,14 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
     return df.select(*keep).mapInArrow(run, schema_with(df.select(*keep), **{into: "string"}))
 
 
-def digest(df: DataFrame, path: str, n: int = SEGMENTATIONS, text: str = "text") -> DataFrame:
+def digest(df: DataFrame, path: str, n: int = SEGMENTATIONS, text: str = "text", cached: int = CACHED) -> DataFrame:
     """df without its text, with what sums its segmentations up: number of ids of the best, CRC-32 and score of each, and
-    whether the ids of the best decode to the text."""
+    whether the ids of the best decode to the text. cached: segments that a worker remembers."""
     more = {"n_tokens": "long", "ids_crc32": "long", "scores": "array<double>", "crc32s": "array<long>", "round_trip": "boolean"}
     keep = [c for c in df.columns if c != text and c not in more]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sp = model(path)
+        sp = model(path, cached)
         for batch in pieces(batches, text, 4 << 20):
             rows = []
             for t in batch.column(text).to_pylist():
@@ -279,4 +281,4 @@ def model_path() -> str:
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(table(spark, sf_dir, "documents").select("doc_id", "text"), model_path())
+    return digest(table(spark, sf_dir, "documents").select("doc_id", "text"), model_path(), cached=ALONE)

@@ -287,3 +287,14 @@ def test_words_stay_known_over_a_million():
 def test_remembered_segments_take_no_more_than_200_mb_of_a_worker():
     model = sentence_pieces.Model(sentence_pieces.model_path())
     assert 2 * 300 * (model.known.most + model.parts.most + model.ways.most) <= 200 << 20
+
+
+def test_op4_remembers_more_segments_than_the_pipeline(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    seen, digest = [], sentence_pieces.digest
+    monkeypatch.setattr(sentence_pieces, "digest", lambda df, path, **more: seen.append(more.get("cached", sentence_pieces.CACHED)) or digest(df, path, **more))
+    docs = spark.createDataFrame([(1, "web", "a few words")], "doc_id long, source string, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    one, two = sentence_pieces.op4_sentencepiece(spark, str(tmp_path)), corpus_pipeline.encode_pieces(spark, docs, "")
+    assert seen[0] >= 3 * seen[1] and one.head()["ids_crc32"] == two.head()["ids_crc32"]

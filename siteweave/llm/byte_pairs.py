@@ -33,6 +33,8 @@ from siteweave.llm.common import fresh, kept, pieces, table, utf8
 
 #: Bytes of text in a block, and the least number of buckets of words.
 BLOCK, BUCKETS = 16 << 20, 1_024
+#: Pre-tokens of a block whose ids are put in order at once; each takes about 60 bytes meanwhile.
+CHUNK = 1 << 18
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
 
 
@@ -163,7 +165,9 @@ def blocks(df: DataFrame, ranks: str, id_column: str = "doc_id", text: str = "te
 
         def row() -> pa.RecordBatch:
             nonlocal made
-            tokens = pa.chunked_array(words, pa.large_string()).combine_chunks().dictionary_encode()
+            tokens = pa.chunked_array(words, pa.large_string()).combine_chunks()
+            words.clear()  # a block's pre-tokens are several times its text
+            tokens = tokens.dictionary_encode()
             codes, distinct = tokens.indices.to_numpy(zero_copy_only=False), tokens.dictionary
             often = np.argsort(-np.bincount(codes, minlength=len(distinct)), kind="stable")
             bucket = _hash(distinct)[often] % buckets if len(distinct) else np.empty(0, np.int64)
@@ -193,8 +197,10 @@ def blocks(df: DataFrame, ranks: str, id_column: str = "doc_id", text: str = "te
             if held >= block:
                 yield row()
                 ids, sizes, words, held = [], [], [], 0
+                pa.default_memory_pool().release_unused()
         if ids:
             yield row()
+            pa.default_memory_pool().release_unused()
 
     return df.select(F.col(id_column).cast("long").alias(id_column), F.col(text).cast("string").alias(text)).mapInArrow(run, _BLOCKS)
 
@@ -236,13 +242,13 @@ def reassembled(cut: DataFrame, answered: DataFrame, ranks: str, id_column: str
                 got = sorted(row["got"] or [], key=lambda g: g["bucket"])
                 sizes = np.concatenate([np.empty(0, np.int64), *(_numbers(g["sizes"], g["n"]) for g in got)]).astype(np.int64)
                 flat = np.frombuffer(b"".join(g["ids"] for g in got), f"<u{width}")
-                codes = _numbers(row["places"], len(sizes)).astype(np.int64)[_numbers(row["codes"], row["n"])]
+                place, rank = _numbers(row["places"], len(sizes)), _numbers(row["codes"], row["n"])
                 starts = np.cumsum(sizes) - sizes
                 words = np.array([0, *np.cumsum(row["sizes"])])
                 lo = 0
-                while lo < len(row["ids"]):  # documents of about 2 ** 20 pre-tokens at a time
-                    hi = max(lo + 1, int(np.searchsorted(words, words[lo] + (1 << 20), side="right")) - 1)
-                    own = codes[words[lo] : words[hi]]
+                while lo < len(row["ids"]):  # documents of about CHUNK pre-tokens at a time
+                    hi = max(lo + 1, int(np.searchsorted(words, words[lo] + CHUNK, side="right")) - 1)
+                    own = place[rank[words[lo] : words[hi]]]
                     each = sizes[own]
                     upto = np.append(0, np.cumsum(each))
                     ids = flat[np.repeat(starts[own] - upto[:-1], each) + np.arange(upto[-1])].astype(np.int32)

@@ -73,6 +73,15 @@ def test_byte_pairs_encode_and_decode_as_the_library(spark, block, buckets):
     assert sums[0].ids_sha256 == sums[1].decoded_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_byte_pairs_are_put_in_order_a_few_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(byte_pairs, "CHUNK", 5)
+    texts = ["one two three four five six seven", "", "eight", "nine ten eleven it's", None, "twelve " * 9]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    enc = of_ids(ranks())
+    got = {r["doc_id"]: r["ids"] for r in byte_pairs.encode(df, ranks()).collect()}
+    assert got == {k: enc.encode_ordinary(t or "") for k, t in enumerate(texts)}
+
+
 def test_byte_pairs_of_nothing(spark):
     assert byte_pairs.encode(spark.createDataFrame([], "doc_id long, text string"), ranks()).count() == 0
     assert [r.decoded for r in byte_pairs.decode(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>"), ranks()).collect()] == [None]

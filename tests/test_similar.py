@@ -119,3 +119,20 @@ def test_bounds_rule_out_most_pairs(spark):
     visits, placed = similar.visited_units(asked, sites, 5, 0.75)
     met = visits.groupBy("unit").count().join(placed.groupBy("unit").agg(F.count(F.lit(1)).alias("n")), "unit").agg(F.sum(F.col("count") * F.col("n"))).first()[0]
     assert met < 0.25 * 300 * 3_000
+
+
+def test_pairs_of_texts_move_no_vectors(spark, monkeypatch):
+    # Vectors were joined to each pair that might reach the cosine; now blocks meet blocks, and only pairs that do are given.
+    monkeypatch.setattr(similar, "VECTORS", 30)
+    monkeypatch.setattr(similar, "PRODUCTS", 500)
+    monkeypatch.setattr(similar, "WHOLE", 7)
+    rng = random.Random(5)
+    texts = sorted({*addresses(rng, 150)})
+    left = spark.createDataFrame([*enumerate(texts)], "a long, t string")
+    right = spark.createDataFrame([(j, t, 1) for j, t in enumerate(texts)], "b long, t string, n long")
+    pairs = linkage.tfidf_pairs(left, right, 0.82)
+    got = {(r["a"], r["b"]): r["sim"] for r in pairs.collect()}
+    monkeypatch.undo()
+    whole = {(r["a"], r["b"]): r["sim"] for r in linkage.tfidf_pairs(left, right, 0.82).collect()}
+    assert got == whole and all((k, k) in got for k, t in enumerate(texts) if t.split())
+    assert "Join" not in pairs._jdf.queryExecution().executedPlan().toString()

@@ -1,5 +1,7 @@
 """What several steps read is made once: plans that follow hold none of the work before it."""
 
+from pyspark.sql import functions as F
+
 from siteweave.functions import text
 from siteweave.operators import linkage, reports
 from siteweave.plans import linkage as queries
@@ -53,3 +55,24 @@ def test_inspections_parse_addresses_once(spark):
 
     assert [x["edan_id"] for x in reports.inspection_cascade(r, f, cascade, linkage.prepare).collect()] == ["E1"]
     assert not any("APARTAMENTO" in p for p in seen)
+
+
+def test_only_the_embedding_tier_takes_embeddings_along(spark, monkeypatch):
+    v, e = queries.both(spark, SMALL)
+    emb = F.array(*(F.lit(float(k)) for k in range(4)))
+    v, e = v.withColumn("emb", emb), e.withColumn("emb", emb)
+    seen = {}
+
+    def watched(name, tier):
+        def run(left, *more):
+            seen[name] = (left.count(), left.where("emb is not null").count())
+            return tier(left, *more)
+
+        return run
+
+    want = {tuple(r) for r in linkage.cascade(v, e).collect()}
+    monkeypatch.setattr(linkage, "TIERS", tuple((n, t if n in linkage.CHEAP else watched(n, t)) for n, t in linkage.TIERS))
+    assert {tuple(r) for r in linkage.cascade(v, e).collect()} == want
+    assert [*seen] == ["tfidf", "fuzzy", "spatial_bridge", "embedding"]
+    rows = [n for n, _ in seen.values()]
+    assert rows == sorted(rows, reverse=True) and [k for _, k in seen.values()] == [0, 0, 0, rows[-1]]
